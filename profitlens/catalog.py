@@ -17,7 +17,7 @@ from profitlens.functions.expr import conform_code, conform_numeric_code, patter
 from profitlens.operators.rollup import reconcile, rollup
 from profitlens.operators.stats import quantile_filter, sigma_outliers
 from profitlens.plans import abnormal, coupon as coupon_plans, fresh, margin, stock as stock_plans, supplier
-from profitlens.sources.testdata import Facts, load_facts, read_table
+from profitlens.sources.testdata import Facts, cached_facts, read_table
 
 # Parameters of the registered queries.
 MODULES = ("1", "2", "3")      # modules analysed by the store x SKU OI waterfall
@@ -39,7 +39,7 @@ def finish(df: DataFrame) -> DataFrame:
 
 
 def _facts(spark: SparkSession, sf_dir: str) -> Facts:
-    return load_facts(spark, sf_dir)
+    return cached_facts(spark, sf_dir)
 
 
 def q_pipe04_margin_sku(spark, sf_dir):

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from profitlens.functions.expr import MONEY, SHARE, UNALLOCATED
+from profitlens.session import materialize
 
 MIN_BASE = 0.01
 
@@ -121,11 +122,15 @@ def waterfall(lines: DataFrame, pool: DataFrame, levels: Sequence[Level], weight
                  reported instead of silently dropped.
     """
     out_cols = _uniq([c for lv in levels for c in list(lv.keys) + list(lv.grain)])
-    pending = pool_rollup(pool, levels[0].keys, amount)
+    # One pre-aggregation at the finest grain any level needs; every level
+    # re-aggregates this (much smaller) frame, and Spark reuses its shuffle.
+    fine_cols = sorted(c for c in out_cols if c in lines.columns)
+    fine = materialize(lines.groupBy(*fine_cols).agg(F.sum(weight).alias(weight)))
+    pending = materialize(pool_rollup(pool, levels[0].keys, amount))
     unallocated = None
     parts = []
     for i, lv in enumerate(levels):
-        lines_i = lv.lines if lv.lines is not None else lines
+        lines_i = lv.lines if lv.lines is not None else fine
         alloc, resid = allocate(lines_i, pending, lv.keys, weight, amount, lv.grain,
                                 min_base=min_base, strict_reference=strict_reference,
                                 pool_is_rolled_up=True)
@@ -137,7 +142,7 @@ def waterfall(lines: DataFrame, pool: DataFrame, levels: Sequence[Level], weight
             unallocated = resid.join(scope.select(*scope_keys).distinct(), scope_keys, "left_anti")
             resid = resid.join(scope.select(*scope_keys).distinct(), scope_keys, "left_semi")
         if i + 1 < len(levels):
-            pending = pool_rollup(resid, levels[i + 1].keys, amount)
+            pending = materialize(pool_rollup(resid, levels[i + 1].keys, amount))
         else:
             pending = resid
     kept = pending.select(*[c for c in pending.columns if c in out_cols],

@@ -15,6 +15,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -52,6 +53,35 @@ def checkpoint_dir(spark: SparkSession, local_fallback: bool = False) -> str:
     return d
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition a scan that yields fewer partitions than the
+    cluster can run at once (e.g. a single-row-group file). Large inputs split
+    into many file partitions already and pass through untouched, so this never
+    adds a shuffle at scale."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Materialise an intermediate that several later steps read.
+
+    ``profitlens.materialize=persist`` (default): MEMORY_AND_DISK persist — blocks
+    lost with an executor are recomputed from the lineage.
+    ``profitlens.materialize=checkpoint``: reliable checkpoint into the shared
+    ``spark.checkpoint.dir`` (cuts the lineage; use for very long plans).
+    """
+    from pyspark import StorageLevel
+
+    mode = df.sparkSession.conf.get("profitlens.materialize", "persist")
+    if mode == "checkpoint":
+        return cut_lineage(df)
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out.count()  # materialise now, so later plans read the blocks instead of re-planning the lineage
+    return out
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
