@@ -270,7 +270,7 @@ def q_pipe01_union_complete(spark, sf_dir):
 def q_agg13_reconcile(spark, sf_dir):
     f = _facts(spark, sf_dir)
     alloc, unalloc = margin.oi_store_category(f.sales, f.oi, f.category)
-    cm = margin.company_margin(f.sales, f.coupon, f.oi, f.category)
+    cm = margin.company_margin(f.sales, f.coupon, f.oi, f.category, alloc=alloc)
     oi_out = alloc.select(F.col("alloc_amount").alias("amount")).unionByName(
         unalloc.select(F.col("oi_amount").cast("decimal(18,4)").alias("amount")))
     inc = margin.supplier_income(f.oi)

@@ -131,9 +131,12 @@ def sku_margin_with_oi(sales: DataFrame, coupon: DataFrame, oi: DataFrame, categ
                                extra={"oi": (o, ["alloc_share", "alloc_amount"])})
 
 
-def company_margin(sales: DataFrame, coupon: DataFrame, oi: DataFrame, category: DataFrame) -> DataFrame:
-    """PIPE-13 (company): PIPE-05 at category x store x channel ⟗ ALC-06 re-rolled."""
-    alloc, _ = oi_store_category(sales, oi, category)
+def company_margin(sales: DataFrame, coupon: DataFrame, oi: DataFrame, category: DataFrame,
+                   alloc: DataFrame | None = None) -> DataFrame:
+    """PIPE-13 (company): PIPE-05 at category x store x channel ⟗ ALC-06 re-rolled.
+    ``alloc`` reuses an ALC-06 result computed by the caller."""
+    if alloc is None:
+        alloc, _ = oi_store_category(sales, oi, category)
     o = oi_rerolled(alloc, STORE_CHANNEL_KEYS)
     return sales_coupon_margin(sales, coupon, STORE_CHANNEL_KEYS, how="full",
                                measures=SALES_MEASURES + ("footfall",),
