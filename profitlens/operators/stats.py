@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from profitlens.session import materialize
+
 
 def _by(by: str | Sequence[str]) -> list[str]:
     return [by] if isinstance(by, str) else list(by)
@@ -46,16 +48,45 @@ def sigma_outliers(df: DataFrame, by: str | Sequence[str], col: str, k: float =
 
 def group_quantile(df: DataFrame, by: str | Sequence[str], col: str, q: float = 0.8,
                    exact: bool = True, accuracy: int = 100_000) -> DataFrame:
-    """Per-group quantile with linear interpolation (AGG-16).
+    """Per-group quantile with linear interpolation (AGG-16, pandas' default).
 
-    ``exact=True`` uses ``percentile`` (pandas' default interpolation). Its
-    per-group state is a value->count map, so for very large groups use
-    ``exact=False`` (``percentile_approx``: bounded memory, rank error 1/accuracy).
+    ``exact=True`` is a distributed rank computation that never gathers a group
+    in one task: rows are range-partitioned on (group, value), so a group holding
+    a third of all rows spreads over many tasks; each task's rows are sorted and
+    numbered; a small table of per-(group, partition) counts gives every
+    partition its rank offset; the two rows that bracket rank (n-1)*q are picked
+    and interpolated. ``exact=False`` uses ``percentile_approx`` (one aggregate,
+    rank error 1/accuracy). Returns keys + ``_threshold``.
     """
+    keys = _by(by)
     v = F.col(col).cast("double")
     v = F.when(F.isnan(v), F.lit(None)).otherwise(v)
-    agg = F.percentile(v, q) if exact else F.percentile_approx(v, q, accuracy)
-    return df.groupBy(*_by(by)).agg(agg.alias("_threshold"))
+    base = df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull())
+    if not exact:
+        return base.groupBy(*keys).agg(F.percentile_approx("_v", q, accuracy).alias("_threshold"))
+
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranked = materialize(
+        base.repartitionByRange(n_parts, *keys, "_v").sortWithinPartitions(*keys, "_v")
+        .withColumn("_pid", F.spark_partition_id())
+        .withColumn("_mid", F.monotonically_increasing_id()))
+    # per (group, partition) segment: bounded by the number of partitions
+    seg = ranked.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
+    offset = F.sum("_cnt").over(Window.partitionBy(*keys).orderBy("_pid")) - F.col("_cnt")
+    seg = seg.withColumn("_off", offset)
+    tot = seg.groupBy(*keys).agg(F.sum("_cnt").alias("_n"))
+    pos = (F.col("_n") - 1).cast("double") * F.lit(q)
+    tot = tot.select(*keys, F.floor(pos).cast("long").alias("_lo"), F.ceil(pos).cast("long").alias("_hi"),
+                     (pos - F.floor(pos)).alias("_frac"))
+    rank = F.col("_off") + F.col("_mid") - F.col("_first")
+    picked = (ranked.join(seg.select(*keys, "_pid", "_off", "_first"), keys + ["_pid"])
+              .join(tot, keys)
+              .withColumn("_rank", rank)
+              .where((F.col("_rank") == F.col("_lo")) | (F.col("_rank") == F.col("_hi"))))
+    out = picked.groupBy(*keys).agg(F.max(F.when(F.col("_rank") == F.col("_lo"), F.col("_v"))).alias("_a"),
+                                    F.max(F.when(F.col("_rank") == F.col("_hi"), F.col("_v"))).alias("_b"),
+                                    F.first("_frac").alias("_frac"))
+    return out.select(*keys, (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_frac")).alias("_threshold"))
 
 
 def quantile_filter(df: DataFrame, by: str | Sequence[str], col: str, q: float = 0.8,

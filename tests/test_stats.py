@@ -18,3 +18,16 @@ def test_quantile_linear(spark):
     df = spark.createDataFrame([("g", 1.0), ("g", 2.0), ("g", 10.0)], "k string, v double")
     assert abs(group_quantile(df, "k", "v", 0.8).collect()[0]._threshold - 6.8) < 1e-12
     assert [r.v for r in quantile_filter(df, "k", "v", 0.8).collect()] == [10.0]
+
+
+def test_exact_quantile_matches_numpy_on_a_hot_group(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    hot = [("hot", float(x)) for x in rng.normal(0, 10, 3000).round(2)]   # spans many range partitions
+    cold = [(f"g{i % 7}", float(x)) for i, x in enumerate(rng.uniform(0, 5, 200).round(3))]
+    df = spark.createDataFrame(hot + cold, "k string, v double")
+    got = {r.k: r._threshold for r in group_quantile(df, "k", "v", 0.8).collect()}
+    for k in {r[0] for r in hot + cold}:
+        vals = [v for g, v in hot + cold if g == k]
+        assert abs(got[k] - float(np.percentile(vals, 80))) < 1e-9, k
