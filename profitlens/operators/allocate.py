@@ -55,8 +55,8 @@ def pool_rollup(pool: DataFrame, keys: Sequence[str], amount: str) -> DataFrame:
 
 def allocate(lines: DataFrame, pool: DataFrame, keys: Sequence[str], weight: str,
              amount: str, grain: Sequence[str] = (), min_base: float = MIN_BASE,
-             strict_reference: bool = False, pool_is_rolled_up: bool = False
-             ) -> tuple[DataFrame, DataFrame]:
+             strict_reference: bool = False, pool_is_rolled_up: bool = False,
+             pre_aggregated: bool = False) -> tuple[DataFrame, DataFrame]:
     """Allocate ``pool[amount]`` over ``lines`` pro rata to ``lines[weight]`` within ``keys``.
 
     Returns ``(allocated, residual)``:
@@ -68,9 +68,13 @@ def allocate(lines: DataFrame, pool: DataFrame, keys: Sequence[str], weight: str
     cols = _uniq(keys + list(grain))
     pl = pool if pool_is_rolled_up else pool_rollup(pool, keys, amount)
 
-    # Pre-aggregated lines at the output grain.
-    lw = (lines.where(_all_present(cols)).groupBy(*cols)
-          .agg(F.coalesce(F.sum(weight), F.lit(0)).alias(weight)))
+    # Pre-aggregated lines at the output grain (skipped when the caller already
+    # aggregated the lines at exactly this grain).
+    if pre_aggregated and set(cols) == set(lines.columns) - {weight}:
+        lw = lines.where(_all_present(cols)).select(*cols, F.coalesce(F.col(weight), F.lit(0)).alias(weight))
+    else:
+        lw = (lines.where(_all_present(cols)).groupBy(*cols)
+              .agg(F.coalesce(F.sum(weight), F.lit(0)).alias(weight)))
     base = lw.groupBy(*keys).agg(F.sum(weight).alias("_base"))
     if strict_reference:
         # reference: any pool with lines counts as matched, share 0 when base < min_base
@@ -133,7 +137,7 @@ def waterfall(lines: DataFrame, pool: DataFrame, levels: Sequence[Level], weight
         lines_i = lv.lines if lv.lines is not None else fine
         alloc, resid = allocate(lines_i, pending, lv.keys, weight, amount, lv.grain,
                                 min_base=min_base, strict_reference=strict_reference,
-                                pool_is_rolled_up=True)
+                                pool_is_rolled_up=True, pre_aggregated=lv.lines is None)
         parts.append(alloc.select(*[c for c in out_cols if c in alloc.columns],
                                   "alloc_share", "alloc_amount")
                      .withColumn("alloc_level", F.lit(i + 1)))

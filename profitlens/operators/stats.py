@@ -46,6 +46,14 @@ def sigma_outliers(df: DataFrame, by: str | Sequence[str], col: str, k: float =
     return df.join(m, keys, "inner").where(cond).drop("_mean", "_std")
 
 
+def outside_band(value: str, mean: str, std: str, k: float):
+    """Strictly outside mean ± k·std; NULL / NaN never qualify."""
+    v = F.col(value).cast("double")
+    lo = F.col(mean) - F.lit(k) * F.col(std)
+    hi = F.col(mean) + F.lit(k) * F.col(std)
+    return F.coalesce(((v > hi) | (v < lo)) & ~F.isnan(v), F.lit(False))
+
+
 def group_quantile(df: DataFrame, by: str | Sequence[str], col: str, q: float = 0.8,
                    exact: bool = True, accuracy: int = 100_000) -> DataFrame:
     """Per-group quantile with linear interpolation (AGG-16, pandas' default).

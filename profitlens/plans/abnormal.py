@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from profitlens.functions.expr import MONEY, ratio, round_half_even
 from profitlens.operators.dims import enrich, first_wins
 from profitlens.operators.rollup import combine
-from profitlens.operators.stats import sigma_outliers
+from profitlens.operators.stats import outside_band
 from profitlens.plans.margin import sales_coupon_margin
 
 ABN_KEYS = ("category_id", "store_id", "sku_id", "sku_name")
@@ -30,13 +30,24 @@ def working_data(sales: DataFrame, coupon: DataFrame) -> DataFrame:
 def two_metric_outliers(work: DataFrame, k: float = 6.0) -> DataFrame:
     """STA-05: rows whose post-coupon margin is a k-sigma outlier in its category;
     the post-coupon rate is reported only where the rate is an outlier too.
-    Joined on category + store + SKU (the reference omits the category and can
-    fan out a SKU listed in two categories)."""
+
+    Both metrics' moments come from one aggregate joined back once (the input is
+    unique per category x store x SKU x name, so this equals joining the two
+    outlier lists on those keys; the original joins without the category and
+    can fan out a SKU listed in two categories)."""
     keys = ["category_id", "store_id", "sku_id", "sku_name"]
-    amt = sigma_outliers(work.select(*keys, "post_coupon_margin"), "category_id", "post_coupon_margin", k)
-    rate = sigma_outliers(work.select(*keys, "post_coupon_margin_rate"), "category_id",
-                          "post_coupon_margin_rate", k)
-    return amt.join(rate, keys, "left")
+    amt, rate = "post_coupon_margin", "post_coupon_margin_rate"
+
+    def clean(c):
+        v = F.col(c).cast("double")
+        return F.when(F.isnan(v), F.lit(None)).otherwise(v)
+
+    moments = work.groupBy("category_id").agg(
+        F.avg(clean(amt)).alias("_am"), F.stddev_samp(clean(amt)).alias("_as"),
+        F.avg(clean(rate)).alias("_rm"), F.stddev_samp(clean(rate)).alias("_rs"))
+    joined = work.select(*keys, amt, rate).join(moments, "category_id", "inner")
+    return (joined.where(outside_band(amt, "_am", "_as", k))
+            .select(*keys, amt, F.when(outside_band(rate, "_rm", "_rs", k), F.col(rate)).alias(rate)))
 
 
 def abnormal_categories(category: DataFrame, excluded_names: Sequence[str] = EXCLUDED_CATEGORY_NAMES,
