@@ -17,6 +17,7 @@ from profitlens.functions.expr import conform_code, conform_numeric_code, patter
 from profitlens.operators.rollup import reconcile, rollup
 from profitlens.operators.stats import quantile_filter, sigma_outliers
 from profitlens.plans import abnormal, coupon as coupon_plans, fresh, margin, stock as stock_plans, supplier
+from profitlens.session import materialize
 from profitlens.sources.testdata import Facts, cached_facts, read_table
 
 # Parameters of the registered queries.
@@ -270,6 +271,7 @@ def q_pipe01_union_complete(spark, sf_dir):
 def q_agg13_reconcile(spark, sf_dir):
     f = _facts(spark, sf_dir)
     alloc, unalloc = margin.oi_store_category(f.sales, f.oi, f.category)
+    alloc = materialize(alloc)  # read by the margin report and by the OI control total
     cm = margin.company_margin(f.sales, f.coupon, f.oi, f.category, alloc=alloc)
     oi_out = alloc.select(F.col("alloc_amount").alias("amount")).unionByName(
         unalloc.select(F.col("oi_amount").cast("decimal(18,4)").alias("amount")))

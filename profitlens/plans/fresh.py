@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from profitlens.functions.expr import MONEY, matches_any, ratio
 from profitlens.operators.allocate import Level, reallocate_single, waterfall
-from profitlens.operators.rollup import combine
+from profitlens.operators.rollup import combine, rollup
+from profitlens.session import materialize
 from profitlens.plans.margin import active_categories, sales_coupon_margin, supplier_income
 
 # Fixed value (reference): module / department names of the fresh-food modules
@@ -56,7 +57,9 @@ def fresh_oi(sales: DataFrame, oi: DataFrame, category: DataFrame) -> DataFrame:
     on the sentinel store with share 1. Columns: store, SKU, share, SKU amount,
     store x SKU amount."""
     hop1, _ = fresh_oi_hop1(sales, oi, category)
-    sku_amount = hop1.select("sku_id", F.col("alloc_amount").alias("sku_amount"))
+    # SKU totals of hop 1 (AGG-11) are the pool of hop 2: small, read twice, materialised once
+    sku_amount = materialize(rollup(hop1, ["sku_id"], ["alloc_amount"])
+                             .select("sku_id", F.col("alloc_amount").alias("sku_amount")))
     lines = (fresh_sales(sales, category).where(F.col("net_sales") > 0)
              .select("store_id", "sku_id", "net_sales"))
     out = reallocate_single(lines, sku_amount, ["sku_id"], "net_sales", "sku_amount", ("store_id",),
