@@ -92,3 +92,16 @@ def test_preaggregation_equivalence(spark):
     alloc, _ = allocate(lines, pool, ["g"], "w", "amt", ["line"])
     got = {r.line: float(r.alloc_amount) for r in alloc.collect()}
     assert got == {"k1": 30.0, "k2": 30.0, "k3": 8.0}
+
+
+def test_hot_key_holding_a_third_of_the_lines(spark):
+    # one group carries a third of all lines; results must be exact and whole
+    n = 3000
+    rows = [("hot" if i % 3 == 0 else f"g{i % 50}", f"l{i}", _d(1 + i % 7)) for i in range(n)]
+    lines = spark.createDataFrame(rows, LINES)
+    pools = spark.createDataFrame([("hot", _d(1000)), ("g1", _d(50)), ("nope", _d(5))], POOL)
+    alloc, resid = allocate(lines, pools, ["g"], "w", "amt", ["line"])
+    got = {r.g: float(r.s) for r in alloc.groupBy("g").agg(F.sum("alloc_amount").alias("s")).collect()}
+    assert abs(got["hot"] - 1000) < 0.00005 * n and abs(got["g1"] - 50) < 0.00005 * n
+    assert alloc.where("g = 'hot'").count() == n // 3          # no line dropped or capped
+    assert [float(r.amt) for r in resid.collect()] == [5.0]

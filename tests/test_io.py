@@ -74,3 +74,20 @@ def test_streaming_ingest_and_completeness(spark, scratch_dir):
     q = ingest_extracts(spark, landing, "coupon", out, checkpoint=os.path.join(scratch_dir, "ck"))
     q.awaitTermination()
     assert spark.read.parquet(out).count() == 3
+
+
+def test_sql_source_and_partition_pruning(spark, scratch_dir):
+    import contextlib
+    import io
+
+    from profitlens.sources.files import read_query
+    df = spark.createDataFrame([("c1", "2024-01", 1.0), ("c2", "2024-01", 2.0), ("c1", "2024-02", 4.0)],
+                               "company string, period string, v double")
+    p = write_report(df, scratch_dir, "facts", partition_by=("company", "period"))
+    spark.read.parquet(p).createOrReplaceTempView("pl_facts")
+    q = read_query(spark, "SELECT period, sum(v) AS v FROM pl_facts WHERE company = 'c1' GROUP BY period")
+    assert {r.period: r.v for r in q.collect()} == {"2024-01": 1.0, "2024-02": 4.0}
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        q.explain(mode="formatted")
+    assert "PartitionFilters: [isnotnull(company" in buf.getvalue()  # only c1 folders are listed
