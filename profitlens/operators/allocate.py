@@ -56,13 +56,15 @@ def pool_rollup(pool: DataFrame, keys: Sequence[str], amount: str) -> DataFrame:
 def allocate(lines: DataFrame, pool: DataFrame, keys: Sequence[str], weight: str,
              amount: str, grain: Sequence[str] = (), min_base: float = MIN_BASE,
              strict_reference: bool = False, pool_is_rolled_up: bool = False,
-             pre_aggregated: bool = False) -> tuple[DataFrame, DataFrame]:
+             pre_aggregated: bool = False, exact: bool = True) -> tuple[DataFrame, DataFrame]:
     """Allocate ``pool[amount]`` over ``lines`` pro rata to ``lines[weight]`` within ``keys``.
 
     Returns ``(allocated, residual)``:
       allocated: keys + grain, ``weight`` (summed), ``alloc_share`` (DECIMAL(24,12)),
                  ``pool_amount`` and ``alloc_amount`` (money)
       residual:  keys + ``amount`` — pools that were not allocated.
+    With ``exact=True`` the per-line amounts (rounded to 1/10000) of every group
+    add up exactly to its pool, so allocated + residual = pool to the last digit.
     """
     keys = list(keys)
     cols = _uniq(keys + list(grain))
@@ -92,11 +94,34 @@ def allocate(lines: DataFrame, pool: DataFrame, keys: Sequence[str], weight: str
                  .select(*cols, F.col(weight),
                          F.col("_share").cast(SHARE).alias("alloc_share"),
                          F.col(amount).cast(MONEY).alias("pool_amount"),
-                         (F.col("_share") * F.col(amount).cast("double")).cast(MONEY).alias("alloc_amount")))
+                         (F.col("_share") * F.col(amount).cast("double")).cast(MONEY).alias("alloc_amount"),
+                         (F.col("_base") >= F.lit(min_base)).alias("_ok")))
+    if exact:
+        allocated = _absorb_remainder(allocated, keys, [c for c in cols if c not in keys], weight)
+    allocated = allocated.drop("_ok")
     residual = pl.join(matched_keys, keys, "left_anti")
     return allocated, residual
 
 
+def _absorb_remainder(allocated: DataFrame, keys: list[str], grain: list[str], weight: str) -> DataFrame:
+    """Make each group's allocated lines sum exactly to its pool: the line with
+    the largest |weight| (ties: largest grain values) takes the rounding
+    remainder. One small aggregate per group (``max(struct)``) joined back —
+    no window, so a large group is never gathered in one task."""
+    top = allocated.groupBy(*keys).agg(
+        F.sum("alloc_amount").alias("_sum"),
+        F.max(F.struct(F.abs(F.col(weight)).alias("_aw"), *[F.col(c).alias(f"_g_{c}") for c in grain]))
+        .alias("_top"))
+    is_top = F.lit(True)
+    for c in grain:
+        is_top = is_top & (F.col(c) == F.col(f"_top._g_{c}"))
+    fixed = F.when(is_top & F.col("_ok"), (F.col("alloc_amount") + F.col("pool_amount") - F.col("_sum")).cast(MONEY)) \
+        .otherwise(F.col("alloc_amount"))
+    return (allocated.join(top, keys, "inner")
+            .withColumn("alloc_amount", fixed)
+            .drop("_sum", "_top"))
+
+
 @dataclass(frozen=True)
 class Level:
     """One waterfall level: pool/base ``keys`` and the line columns kept (``grain``).

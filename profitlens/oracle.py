@@ -226,12 +226,20 @@ def _alloc(p: str, lines: str, pool: str, keys: Sequence[str], grain: Sequence[s
     return f"""
 {p}_lw AS (SELECT {cs}, COALESCE(SUM({w}), 0) AS {w} FROM {lines} WHERE {_nn(cols)} GROUP BY {cs}),
 {p}_base AS (SELECT {ks}, SUM({w}) AS _base FROM {p}_lw GROUP BY {ks} HAVING SUM({w}) >= 0.01),
-{p}_alloc AS (
+{p}_raw AS (
   SELECT {', '.join('l.' + c for c in cols)}, l.{w} AS {w},
          {_dec_text(share, 'DECIMAL(24,12)')} AS alloc_share,
          CAST(pl.{amt} AS DECIMAL(18,4)) AS pool_amount,
          {_dec_text(share + f' * CAST(pl.{amt} AS DOUBLE)', 'DECIMAL(18,4)')} AS alloc_amount
   FROM {p}_lw l JOIN {p}_base b ON {on_b} JOIN {pool} pl ON {on_p}),
+{p}_ranked AS (
+  SELECT r.*, SUM(alloc_amount) OVER (PARTITION BY {ks}) AS _sum,
+         row_number() OVER (PARTITION BY {ks} ORDER BY abs({w}) DESC{''.join(f', {c} DESC' for c in cols if c not in keys)}) AS _rn
+  FROM {p}_raw r),
+{p}_alloc AS (
+  SELECT {cs}, {w}, alloc_share, pool_amount,
+         CASE WHEN _rn = 1 THEN CAST(alloc_amount + pool_amount - _sum AS DECIMAL(18,4)) ELSE alloc_amount END AS alloc_amount
+  FROM {p}_ranked),
 {p}_resid AS (SELECT pl.* FROM {pool} pl WHERE NOT EXISTS (SELECT 1 FROM {p}_base b WHERE {on_r})),
 """
 
