@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,16 +70,23 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 def materialize(df: DataFrame) -> DataFrame:
     """Materialise an intermediate that several later steps read.
 
-    ``profitlens.materialize=persist`` (default): MEMORY_AND_DISK persist — blocks
-    lost with an executor are recomputed from the lineage.
-    ``profitlens.materialize=checkpoint``: reliable checkpoint into the shared
-    ``spark.checkpoint.dir`` (cuts the lineage; use for very long plans).
+    The mode comes from the session conf ``profitlens.materialize``:
+      ``persist`` (default) MEMORY_AND_DISK persist, filled now — lost blocks are
+                  recomputed from the lineage;
+      ``parquet`` written as a Parquet table under the shared
+                  ``spark.checkpoint.dir`` and read back (durable, columnar,
+                  cuts the lineage — the choice for very large inputs);
+      ``checkpoint`` reliable RDD checkpoint into the same folder.
     """
     from pyspark import StorageLevel
 
     mode = df.sparkSession.conf.get("profitlens.materialize", "persist")
     if mode == "checkpoint":
         return cut_lineage(df)
+    if mode == "parquet":
+        path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/materialized/{uuid.uuid4().hex}"
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.parquet(path)
     out = df.persist(StorageLevel.MEMORY_AND_DISK)
     out.count()  # materialise now, so later plans read the blocks instead of re-planning the lineage
     return out

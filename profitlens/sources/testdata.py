@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from profitlens.functions.expr import MONEY, dec
-from profitlens.session import spread
+from profitlens.session import materialize, spread
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -228,26 +228,28 @@ _CACHE: dict[tuple[int, str], Facts] = {}
 
 
 def cached_facts(spark: SparkSession, sf_dir: str) -> Facts:
-    """Conformed facts persisted once per session and input folder (IO-15).
+    """Conformed facts materialised once per session and input folder (IO-15).
 
-    Like the reference, which loads its extracts once and runs every report on
-    the loaded frames, the conformance join is paid once; reports then read the
-    persisted facts (MEMORY_AND_DISK: blocks spill instead of failing, and a
-    lost executor's blocks are recomputed from the lineage).
+    The extracts are loaded once and every report runs on the loaded facts, so
+    the conformance join is paid once. By default the facts are persisted
+    (MEMORY_AND_DISK: blocks spill instead of failing, a lost executor's blocks
+    are recomputed from the lineage); with ``profitlens.materialize=parquet``
+    they are staged as Parquet tables in the shared checkpoint folder.
     """
     key = (id(spark.sparkContext._jsc), sf_dir)
     f = _CACHE.get(key)
     if f is None:
-        lvl = StorageLevel.MEMORY_AND_DISK
-        lines = line_base(spark, sf_dir).persist(lvl)   # one conformance join for all facts
-        f = Facts(lines=lines, sales=sales(lines).persist(lvl), coupon=coupon(lines).persist(lvl),
-                  oi=oi(lines).persist(lvl), stock=stock(lines).persist(lvl),
-                  coupon_type=coupon_type(lines).persist(lvl),
-                  category=category_master(spark, sf_dir).persist(lvl),
-                  store=store_master(spark, sf_dir).persist(lvl))
-        for d in (f.sales, f.coupon, f.oi, f.stock, f.coupon_type, f.category, f.store):
-            d.count()
-        lines.unpersist()
+        mode = spark.conf.get("profitlens.materialize", "persist")
+        lines = line_base(spark, sf_dir)
+        if mode == "persist":
+            lines = lines.persist(StorageLevel.MEMORY_AND_DISK)   # one conformance join for all facts
+        f = Facts(lines=lines, sales=materialize(sales(lines)), coupon=materialize(coupon(lines)),
+                  oi=materialize(oi(lines)), stock=materialize(stock(lines)),
+                  coupon_type=materialize(coupon_type(lines)),
+                  category=materialize(category_master(spark, sf_dir)),
+                  store=materialize(store_master(spark, sf_dir)))
+        if mode == "persist":
+            lines.unpersist()
         _CACHE[key] = f
     return f
 

@@ -105,3 +105,20 @@ def test_hot_key_holding_a_third_of_the_lines(spark):
     assert got["hot"] == 1000.0 and got["g1"] == 50.0
     assert alloc.where("g = 'hot'").count() == n // 3          # no line dropped or capped
     assert [float(r.amt) for r in resid.collect()] == [5.0]
+
+
+def test_materialize_modes_give_the_same_waterfall(spark):
+    lines = spark.createDataFrame([("s1", "c1", "k1", _d(10)), ("s2", "c1", "k2", _d(30))],
+                                  "sup string, cat string, sku string, w decimal(18,4)")
+    pool = spark.createDataFrame([("s1", "c1", _d(40)), ("s9", "c1", _d(12))], "sup string, cat string, amt decimal(18,4)")
+    levels = [Level(("sup", "cat"), ("sku",)), Level(("cat",), ("sku",))]
+    results = []
+    for mode in ("persist", "parquet", "checkpoint"):
+        spark.conf.set("profitlens.materialize", mode)
+        try:
+            out, _ = waterfall(lines, pool, levels, "w", "amt")
+            results.append(sorted((r.sup, r.sku, r.alloc_level, float(r.alloc_amount)) for r in out.collect()))
+        finally:
+            spark.conf.unset("profitlens.materialize")
+    assert results[0] == results[1] == results[2]
+    assert results[0] == [("__UNALLOCATED__", "k1", 2, 3.0), ("__UNALLOCATED__", "k2", 2, 9.0), ("s1", "k1", 1, 40.0)]
