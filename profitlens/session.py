@@ -89,9 +89,22 @@ def materialize(df: DataFrame) -> DataFrame:
         return df.sparkSession.read.parquet(path)
     out = df.persist(StorageLevel.MEMORY_AND_DISK)
     out.count()  # materialise now, so later plans read the blocks instead of re-planning the lineage
+    _MATERIALIZED.append(out)
     return out
 
 
+_MATERIALIZED: list[DataFrame] = []
+
+
+def release_materialized() -> int:
+    """Unpersist every intermediate ``materialize`` persisted so far; call it once
+    the reports that read them have been written. Returns how many were freed."""
+    n = len(_MATERIALIZED)
+    while _MATERIALIZED:
+        _MATERIALIZED.pop().unpersist()
+    return n
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)

@@ -243,17 +243,27 @@ def cached_facts(spark: SparkSession, sf_dir: str) -> Facts:
         lines = line_base(spark, sf_dir)
         if mode == "persist":
             lines = lines.persist(StorageLevel.MEMORY_AND_DISK)   # one conformance join for all facts
-        f = Facts(lines=lines, sales=materialize(sales(lines)), coupon=materialize(coupon(lines)),
-                  oi=materialize(oi(lines)), stock=materialize(stock(lines)),
-                  coupon_type=materialize(coupon_type(lines)),
-                  category=materialize(category_master(spark, sf_dir)),
-                  store=materialize(store_master(spark, sf_dir)))
+        keep = _materialize_kept
+        f = Facts(lines=lines, sales=keep(sales(lines)), coupon=keep(coupon(lines)),
+                  oi=keep(oi(lines)), stock=keep(stock(lines)),
+                  coupon_type=keep(coupon_type(lines)),
+                  category=keep(category_master(spark, sf_dir)),
+                  store=keep(store_master(spark, sf_dir)))
         if mode == "persist":
             lines.unpersist()
         _CACHE[key] = f
     return f
 
 
+def _materialize_kept(df: DataFrame) -> DataFrame:
+    """``materialize`` for session-long facts: not released by ``release_materialized``."""
+    from profitlens import session
+    out = materialize(df)
+    if session._MATERIALIZED and session._MATERIALIZED[-1] is out:
+        session._MATERIALIZED.pop()
+    return out
+
+
 def clear_cache() -> None:
     for f in _CACHE.values():
         for d in (f.sales, f.coupon, f.oi, f.stock, f.coupon_type, f.category, f.store):
