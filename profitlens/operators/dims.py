@@ -44,7 +44,10 @@ def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     join); beyond the bound it is returned as is and the join stays a
     shuffle join (AQE may still convert it at runtime from real sizes).
     """
+    from profitlens.session import _MATERIALIZED
+
     dim = dim.persist(StorageLevel.MEMORY_AND_DISK)
+    _MATERIALIZED.append(dim)  # freed with the report's other intermediates
     n = dim.limit(max_rows + 1).count()
     return F.broadcast(dim) if n <= max_rows else dim
 

@@ -101,7 +101,11 @@ def release_materialized() -> int:
     the reports that read them have been written. Returns how many were freed."""
     n = len(_MATERIALIZED)
     while _MATERIALIZED:
-        _MATERIALIZED.pop().unpersist()
+        df = _MATERIALIZED.pop()
+        try:
+            df.unpersist()
+        except Exception:  # noqa: BLE001 - its session may already be stopped
+            pass
     return n
 
 

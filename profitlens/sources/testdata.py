@@ -224,7 +224,7 @@ def load_facts(spark: SparkSession, sf_dir: str) -> Facts:
                  category=category_master(spark, sf_dir), store=store_master(spark, sf_dir))
 
 
-_CACHE: dict[tuple[int, str], Facts] = {}
+_CACHE: dict[tuple[str, str], Facts] = {}
 
 
 def cached_facts(spark: SparkSession, sf_dir: str) -> Facts:
@@ -236,7 +236,7 @@ def cached_facts(spark: SparkSession, sf_dir: str) -> Facts:
     are recomputed from the lineage); with ``profitlens.materialize=parquet``
     they are staged as Parquet tables in the shared checkpoint folder.
     """
-    key = (id(spark.sparkContext._jsc), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)  # unique per SparkContext, never reused
     f = _CACHE.get(key)
     if f is None:
         mode = spark.conf.get("profitlens.materialize", "persist")
