@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from profitlens.functions.expr import MONEY, UNALLOCATED, matches_any, not_matching, ratio
+from profitlens.functions.expr import MONEY, matches_any, not_matching, ratio
 from profitlens.operators.allocate import Level, reallocate_single, waterfall
 from profitlens.operators.dims import enrich, first_wins
 from profitlens.operators.rollup import combine, rollup
@@ -160,4 +160,3 @@ def enriched_sku_margin(sales: DataFrame, coupon: DataFrame, oi: DataFrame, cate
     return enrich(m, sku_master(sales, coupon), "sku_id")
 
 
-__all__ = [n for n in dir() if not n.startswith("_")] + ["UNALLOCATED"]

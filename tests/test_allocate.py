@@ -122,3 +122,26 @@ def test_materialize_modes_give_the_same_waterfall(spark):
             spark.conf.unset("profitlens.materialize")
     assert results[0] == results[1] == results[2]
     assert results[0] == [("__UNALLOCATED__", "k1", 2, 3.0), ("__UNALLOCATED__", "k2", 2, 9.0), ("s1", "k1", 1, 40.0)]
+
+
+def test_fallback_keeps_coupon_money_once(spark):
+    from profitlens.operators.allocate import allocate_with_fallback
+    base = spark.createDataFrame([("c1", "s1", _d(30)), ("c1", "s2", _d(10))],
+                                 "cat string, sup string, w decimal(18,4)")
+    # c2 has no supplier sales: its coupon rows keep their own supplier; two rows
+    # of one supplier must not multiply the money
+    rows = spark.createDataFrame([("c1", "sX", _d(8)), ("c2", "s7", _d(5)), ("c2", "s7", _d(1)), ("c2", "s8", _d(2))],
+                                 "cat string, sup string, amt decimal(18,4)")
+    out = {(r.cat, r.sup): float(r.alloc_amount)
+           for r in allocate_with_fallback(base, rows, ["cat"], "w", "amt", ["sup"]).collect()}
+    assert out == {("c1", "s1"): 6.0, ("c1", "s2"): 2.0, ("c2", "s7"): 6.0, ("c2", "s8"): 2.0}
+
+
+def test_second_hop_without_store_keeps_share_one(spark):
+    from profitlens.operators.allocate import reallocate_single
+    lines = spark.createDataFrame([("st1", "k1", _d(3)), ("st2", "k1", _d(1))],
+                                  "store string, sku string, w decimal(18,4)")
+    pool = spark.createDataFrame([("k1", _d(8)), ("k9", _d(5))], "sku string, amt decimal(18,4)")
+    out = {(r.store, r.sku): (float(r.alloc_share), float(r.alloc_amount))
+           for r in reallocate_single(lines, pool, ["sku"], "w", "amt", ("store",), residual_share=1.0).collect()}
+    assert out == {("st1", "k1"): (0.75, 6.0), ("st2", "k1"): (0.25, 2.0), (UNALLOCATED, "k9"): (1.0, 5.0)}
