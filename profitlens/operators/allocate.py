@@ -194,8 +194,12 @@ def reallocate_single(lines: DataFrame, pool: DataFrame, keys: Sequence[str], we
                       residual_share: float | None = None, min_base: float = MIN_BASE) -> DataFrame:
     """One-level allocation whose residual is kept whole on ``sentinel`` in the
     grain columns (ALC-08, ALC-07 hop 2). ``residual_share`` is the share reported
-    on those rows (the fresh hop reports 1)."""
-    alloc, resid = allocate(lines, pool, keys, weight, amount, grain, min_base=min_base)
+    on those rows (the fresh hop reports 1). The pool is usually the output of an
+    earlier allocation; it is rolled up to ``keys`` (one row per group) and
+    materialised, since the allocation and the residual both read it."""
+    pool = materialize(pool_rollup(pool, list(keys), amount))
+    alloc, resid = allocate(lines, pool, keys, weight, amount, grain, min_base=min_base,
+                            pool_is_rolled_up=True)
     out_cols = _uniq(list(keys) + list(grain))
     kept = resid.select(*[F.col(c) if c in resid.columns else F.lit(sentinel).alias(c) for c in out_cols],
                         F.lit(None).cast("decimal(28,4)").alias(weight),
