@@ -40,6 +40,9 @@ def finish(df: DataFrame) -> DataFrame:
 
 
 def _facts(spark: SparkSession, sf_dir: str) -> Facts:
+    # Reports persist small intermediates; let AQE coalesce their partitions too
+    # (otherwise every stage over them runs spark.sql.shuffle.partitions tiny tasks).
+    spark.conf.set("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true")
     return cached_facts(spark, sf_dir)
 
 
