@@ -79,3 +79,10 @@ def test_scan_pushdown_and_pruning(spark):
     assert scan and "Not(EqualTo(l_returnflag,A))" in scan[0]
     schema = [ln for ln in plan.splitlines() if ln.startswith("ReadSchema:") and "l_orderkey" in ln][0]
     assert "l_tax" not in schema and "l_linestatus" not in schema  # only needed columns are read
+
+
+def test_entry_smoke(spark):
+    from __spark_entry__ import entry
+    df = entry(spark)
+    assert df.count() > 0
+    assert {"category_id", "store_id", "channel", "alloc_amount", "post_coupon_margin_rate"} <= set(df.columns)
