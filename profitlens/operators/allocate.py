@@ -87,7 +87,8 @@ def allocate(lines: DataFrame, pool: DataFrame, keys: Sequence[str], weight: str
         matched_keys = base.where(F.col("_base") >= F.lit(min_base)).select(*keys)
 
     share = (F.when(F.col("_base") >= F.lit(min_base),
-                    F.col(weight).cast("double") / F.col("_base").cast("double"))
+                    F.coalesce(F.try_divide(F.col(weight).cast("double"), F.col("_base").cast("double")),
+                               F.lit(0.0)))
              .otherwise(F.lit(0.0)))
     allocated = (lw.join(ok, keys, "inner")
                  .withColumn("_share", share)
@@ -230,3 +231,25 @@ def allocate_with_fallback(lines: DataFrame, pool_rows: DataFrame, keys: Sequenc
     both = alloc.select(*_uniq(list(keys) + list(grain)), "alloc_amount").unionByName(fallback)
     return (both.groupBy(*_uniq(list(keys) + list(grain)))
             .agg(F.sum("alloc_amount").cast("decimal(28,4)").alias("alloc_amount")))
+
+
+# Fixed values (reference): the numeric / text codes the original scripts stamp
+# on allocation rows that have no real member, by allocation variant.
+LEGACY_LABELS = {
+    "store_sku": {"store_id": "9999", "channel": "XXXX", "supplier_id": "999999", "sku_id": "1"},
+    "store_category": {"store_id": "9999", "channel": "XXXX", "supplier_id": "999999"},
+    "realloc_sku": {"sku_id": "9999"},
+    "chain_sku": {"sku_id": "0", "channel": "XXYY"},
+}
+
+
+def with_legacy_labels(df: DataFrame, labels: dict[str, str], sentinel: str = UNALLOCATED) -> DataFrame:
+    """Optional: replace ``sentinel`` with the original scripts' codes per column
+    (e.g. ``LEGACY_LABELS['store_sku']``) for reports that must keep those keys.
+    Beware that such codes can clash with real codes; ``alloc_level`` still
+    tells allocated from kept-whole rows."""
+    out = df
+    for c, label in labels.items():
+        if c in df.columns:
+            out = out.withColumn(c, F.when(F.col(c) == sentinel, F.lit(label)).otherwise(F.col(c)))
+    return out

@@ -145,3 +145,11 @@ def test_second_hop_without_store_keeps_share_one(spark):
     out = {(r.store, r.sku): (float(r.alloc_share), float(r.alloc_amount))
            for r in reallocate_single(lines, pool, ["sku"], "w", "amt", ("store",), residual_share=1.0).collect()}
     assert out == {("st1", "k1"): (0.75, 6.0), ("st2", "k1"): (0.25, 2.0), (UNALLOCATED, "k9"): (1.0, 5.0)}
+
+
+def test_legacy_labels(spark):
+    from profitlens.operators.allocate import LEGACY_LABELS, with_legacy_labels
+    df = spark.createDataFrame([(UNALLOCATED, UNALLOCATED, "k1"), ("7", "web", "k2")],
+                               "store_id string, channel string, sku_id string")
+    got = sorted(tuple(r) for r in with_legacy_labels(df, LEGACY_LABELS["store_category"]).collect())
+    assert got == [("7", "web", "k2"), ("9999", "XXXX", "k1")]
