@@ -153,3 +153,16 @@ def test_legacy_labels(spark):
                                "store_id string, channel string, sku_id string")
     got = sorted(tuple(r) for r in with_legacy_labels(df, LEGACY_LABELS["store_category"]).collect())
     assert got == [("7", "web", "k2"), ("9999", "XXXX", "k1")]
+
+
+def test_waterfall_strict_reference_loses_zero_base_pool(spark):
+    lines = spark.createDataFrame([("s1", "c1", "k1", _d("0.004")), ("s2", "c1", "k2", _d(10))],
+                                  "sup string, cat string, sku string, w decimal(18,4)")
+    pool = spark.createDataFrame([("s1", "c1", _d(6))], "sup string, cat string, amt decimal(18,4)")
+    levels = [Level(("sup", "cat"), ("sku",)), Level(("cat",), ("sku",))]
+    fixed, _ = waterfall(lines, pool, levels, "w", "amt")
+    assert sorted((r.sku, r.alloc_level, float(r.alloc_amount)) for r in fixed.collect()) == \
+        [("k1", 2, 0.0024), ("k2", 2, 5.9976)]          # zero base at level 1 -> level 2 by category
+    strict, _ = waterfall(lines, pool, levels, "w", "amt", strict_reference=True)
+    assert sorted((r.sku, r.alloc_level, float(r.alloc_amount)) for r in strict.collect()) == \
+        [("k1", 1, 0.0)]                                 # original behaviour: share 0, money lost
