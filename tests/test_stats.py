@@ -31,3 +31,16 @@ def test_exact_quantile_matches_numpy_on_a_hot_group(spark):
     for k in {r[0] for r in hot + cold}:
         vals = [v for g, v in hot + cold if g == k]
         assert abs(got[k] - float(np.percentile(vals, 80))) < 1e-9, k
+
+
+def test_exact_quantile_plan_range_partitions_rows(spark):
+    import contextlib
+    import io
+
+    df = spark.createDataFrame([("hot", float(i)) for i in range(500)] + [("g", 1.0)], "k string, v double")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        quantile_filter(df, "k", "v", 0.8).explain(mode="formatted")
+    plan = buf.getvalue()
+    assert "rangepartitioning(k" in plan          # rows of one group spread over many tasks
+    assert "percentile" not in plan.lower().replace("percentile_approx", "")
