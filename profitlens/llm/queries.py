@@ -12,12 +12,23 @@ from profitlens.llm._common import fold, read
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
+def held_out(doc_id):
+    """Rows whose labels are never learned from; those with a null id are none of them."""
+    return F.coalesce(fold(doc_id, 5) == 0, F.lit(False))
+
+
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from profitlens.llm.mixing import mix_documents
 
     return mix_documents(read(spark, sf_dir, "documents"))
 
 
+def op2_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from profitlens.llm.nn_descent import nearest
+
+    return nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -50,6 +61,40 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_frequency_rules(read(spark, sf_dir, "documents")).drop("removed_lines", "text_key")
 
 
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"),
+             ("block", "com/de/")]
+
+
+def op5_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from profitlens.llm.url_templates import judge_urls
+
+    return judge_urls(read(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from profitlens.llm.sharding import shard_documents
+
+    return shard_documents(read(spark, sf_dir, "documents"), shards=16)
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from profitlens.llm.toxicity import learn_toxicity, score_toxicity
+
+    docs, out = read(spark, sf_dir, "documents"), held_out(F.col("doc_id"))
+    model = learn_toxicity(docs, read(spark, sf_dir, "labels"), lambda doc_id: ~held_out(doc_id))
+    scored = score_toxicity(docs, ["doc_id", out.alias("held_out")], "text", model)
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from profitlens.llm.quality_model import learn_quality, score_quality
+
+    docs, out = read(spark, sf_dir, "documents"), held_out(F.col("doc_id"))
+    model = learn_quality(docs, read(spark, sf_dir, "labels"), lambda doc_id: ~held_out(doc_id))
+    scored = score_quality(docs, ["doc_id", out.alias("held_out")], "text", model)
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)
 }
