@@ -10,6 +10,7 @@ from profitlens.llm._common import small_batches
 
 DIMS = 512          # length of the vectors
 SEED = 20240229
+UNIT = 10_000       # length of a text's vector in a prototype
 MAX_LANGUAGES = 2000   # prototypes are held in memory: at most this many languages
 CACHED_NGRAMS = 1 << 16  # n-gram vectors a task keeps
 
@@ -90,7 +91,8 @@ class NgramSpace:
 
 
 def learn_profiles(df: DataFrame, text_col: str, lang_col: str, dims: int = DIMS, seed: int = SEED) -> dict[str, list]:
-    """Prototype of each language: the bundle of all its texts' trigrams, from every row with a language.
+    """Prototype of each language: the bundle of its texts' vectors, from every row with a language. A text's vector is
+    the bundle of its trigrams, scaled to length UNIT and rounded, so a very long text counts as much as another.
 
     Each task bundles the rows it reads, one partial vector for each language; the partial sums are whole numbers and
     are added by a group-by on (language, dimension), so no task gathers a language's rows. The result (languages x
@@ -104,13 +106,13 @@ def learn_profiles(df: DataFrame, text_col: str, lang_col: str, dims: int = DIMS
         space, sums = NgramSpace(dims, seed), {}
         for batch in batches:
             texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            by: dict[str, list] = {}
-            for t, lang in zip(texts, langs):
-                by.setdefault(lang, []).append(space.trigrams(t))
-            for lang, codes in by.items():
-                codes = np.concatenate(codes)
-                space.learn(codes)
-                sums[lang] = sums.get(lang, 0) + space.bundle(codes)
+            texts = [space.trigrams(t) for t in texts]
+            if texts:
+                space.learn(np.concatenate(texts))
+            for codes, lang in zip(texts, langs):
+                if len(codes):
+                    v = space.bundle(codes)
+                    sums[lang] = sums.get(lang, 0) + np.rint(v * (UNIT / max(1.0, float(np.linalg.norm(v)))))
         for lang, total in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang] * dims), pa.array(np.arange(dims, dtype=np.int32)),
                                               pa.array(np.rint(total).astype(np.int64))], ["lang", "d", "v"])

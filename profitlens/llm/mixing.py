@@ -144,9 +144,8 @@ def apply_mix(documents: DataFrame, **options) -> DataFrame:
     to its first tokens (joined by single spaces) and n_chars, if there, follows the text. Rows that repeat a doc_id and
     its number of tokens are taken as one document."""
     taken = (mix_documents(documents, **options).groupBy("doc_id", "tokens", "epoch")
-             .agg(F.max("take_tokens").alias("__take")).withColumnsRenamed({"doc_id": "__id", "tokens": "__tokens"}))
+             .agg(F.max("take_tokens").alias("__take")).select(F.col("doc_id").alias("__id"), F.col("tokens").alias("__tokens"), "__take"))
     cols = documents.columns
-    # null ids are ordered as empty ones, and found again as such
     joined = documents.join(taken, documents["doc_id"].eqNullSafe(taken["__id"])
                             & (count_tokens(documents["text"]) == taken["__tokens"]))
     words = F.split(F.regexp_replace("text", r"^[\x20\x09-\x0D]+", ""), r"[\x20\x09-\x0D]+")

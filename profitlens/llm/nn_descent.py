@@ -46,8 +46,9 @@ def distinct_vectors(df: DataFrame, id_col: str, vec_col: str, keep: int) -> Dat
 
 
 def _points(nodes: DataFrame) -> DataFrame:
-    """node and x, the vector in half precision with one more component that makes all lengths equal: then the largest
-    inner product of two points goes with the largest one of the vectors for a given query."""
+    """node and x, the vector as its direction in half precision, its length and one more component that makes all
+    lengths equal (single precision, in units of the greatest length): near points of that sphere have large inner
+    products, so a graph of nearest points serves a search by inner product."""
     norm = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)
     top = nodes.agg(F.max(norm)).first()[0] or 1.0
 
@@ -59,19 +60,30 @@ def _points(nodes: DataFrame) -> DataFrame:
             if not len(v):
                 continue
             a = v.flatten().to_numpy(zero_copy_only=False).reshape(len(v), -1)
-            rest = np.sqrt(np.maximum(top - (a * a).sum(1), 0))[:, None]
-            x = (np.concatenate([a, rest], 1) / np.sqrt(top)).astype(np.float16)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in x], pa.binary())],
-                                             ["node", "x"])
+            length = np.sqrt((a * a).sum(1) / top)
+            rest = np.sqrt(np.maximum(1 - length * length, 0))
+            flat = (a / np.maximum(length * np.sqrt(top), 1e-300)[:, None]).astype(np.float16)
+            ends = np.stack([length, rest], 1).astype(np.float32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([e.tobytes() + f.tobytes() for e, f in zip(ends, flat)], pa.binary())],
+                ["node", "x"])
 
     return nodes.select("node", "vec").mapInArrow(run, "node long, x binary")
 
 
-def _matrix(column):
-    """The rows of a binary column of equal lengths as a matrix of float32."""
+def _read(column):
+    """Vectors and the components that complete their lengths, from a column of points."""
     import numpy as np
 
-    return np.frombuffer(b"".join(column.to_pylist()), np.float16).reshape(len(column), -1).astype(np.float32)
+    raw = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+    ends = np.ascontiguousarray(raw[:, :8]).view(np.float32)
+    return np.ascontiguousarray(raw[:, 8:]).view(np.float16).astype(np.float32) * ends[:, :1], ends[:, 1]
+
+
+def _sims(points):
+    """Similarities of all pairs of a few points."""
+    vec, rest = points
+    return vec @ vec.T + rest[:, None] * rest[None, :]
 
 
 def _best(edges: DataFrame, k: int) -> DataFrame:
@@ -102,7 +114,8 @@ def _first_lists(points: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = _matrix(batch.column(1))
+            vec, rest = _read(batch.column(1))
+            x = np.concatenate([vec, rest[:, None]], 1)
             if planes is None:
                 planes = np.random.default_rng(SEED).standard_normal((ORDERS, BITS + 1, x.shape[1])).astype(np.float32)
             for t in range(ORDERS):
@@ -118,10 +131,10 @@ def _first_lists(points: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             for i in range(0, batch.num_rows, RUN):
                 part = batch.slice(i, RUN)
-                ids, x = part.column(3).to_numpy(), _matrix(part.column(4))
+                ids = part.column(3).to_numpy()
                 if len(ids) < 2:
                     continue
-                sims = x @ x.T
+                sims = _sims(_read(part.column(4)))
                 np.fill_diagonal(sims, -np.inf)
                 m = min(k, len(ids) - 1)
                 near = np.argpartition(-sims, m - 1, axis=1)[:, :m]
@@ -152,8 +165,8 @@ def _neighbours_of_neighbours(graph: DataFrame, points: DataFrame, k: int, turn:
     def run(batches):
         import numpy as np
 
-        def group(ids, new, worst, x, out):
-            sims = x @ x.T
+        def group(ids, new, worst, points, out):
+            sims = _sims(points)
             pairs = (new[:, None] | new[None, :]) & (sims > worst[:, None])
             np.fill_diagonal(pairs, False)
             i, j = np.nonzero(pairs)
@@ -173,17 +186,17 @@ def _neighbours_of_neighbours(graph: DataFrame, points: DataFrame, k: int, turn:
                 continue
             cuts = np.concatenate([[0], np.flatnonzero(via[1:] != via[:-1]) + 1])
             ids, new = batch.column(1).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False)
-            worst, x, out = batch.column(4).to_numpy(), _matrix(batch.column(3)), []
+            worst, (vec, rest), out = batch.column(4).to_numpy(), _read(batch.column(3)), []
             for a, b in zip(cuts[:-1], cuts[1:]):
                 if b - a > 1 and new[a:b].any():
-                    group(ids[a:b], new[a:b], worst[a:b], x[a:b], out)
+                    group(ids[a:b], new[a:b], worst[a:b], (vec[a:b], rest[a:b]), out)
             held = batch.slice(cuts[-1])  # the last node's neighbours may go on
             if out:
                 yield batch_of(out)
         if held is not None and held.num_rows > 1:
             out = []
             group(held.column(1).to_numpy(), held.column(2).to_numpy(zero_copy_only=False),
-                  held.column(4).to_numpy(), _matrix(held.column(3)), out)
+                  held.column(4).to_numpy(), _read(held.column(3)), out)
             yield batch_of(out)
 
     return met.mapInArrow(run, "node long, nbr long, sim float, new boolean")
@@ -203,14 +216,14 @@ def neighbour_graph(points: DataFrame, k: int = NEIGHBOURS, steps: int = STEPS)
 
 
 def _similarity(pairs: DataFrame) -> DataFrame:
-    """(q, node, xq, x) -> (q, node, sim)."""
+    """(q, node, xq, x) -> (q, node, sim), the inner product."""
 
     def run(batches):
         import numpy as np
 
         for batch in batches:
             if batch.num_rows:
-                sims = np.einsum("ij,ij->i", _matrix(batch.column(2)), _matrix(batch.column(3)))
+                sims = np.einsum("ij,ij->i", _read(batch.column(2))[0], _read(batch.column(3))[0])
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sims.astype(np.float32))],
                                                  ["q", "node", "sim"])
 
@@ -230,7 +243,8 @@ def greedy_search(graph: DataFrame, points: DataFrame, queries: DataFrame, beam:
                    .groupBy("node").agg(F.collect_list("nbr").alias("nbrs")), "nn-links")
     own = points.select(F.col("node").alias("q"), F.col("x").alias("xq"))
     own = staged(own.join(queries.select("q").distinct(), "q", "left_semi"), "nn-queries")
-    state = own.select("q", F.col("q").alias("node"), F.lit(4.0).cast("float").alias("sim"), F.lit(False).alias("done"))
+    start = _similarity(own.select("q", F.col("q").alias("node"), "xq", F.col("xq").alias("x")))
+    state = start.withColumn("done", F.lit(False))
     while True:
         lists = state.groupBy("q").agg(F.slice(F.sort_array(F.collect_list(F.struct("sim", "node", "done")), False),
                                                1, beam).alias("l"))

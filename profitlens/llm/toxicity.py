@@ -12,7 +12,7 @@ from profitlens.llm._common import small_batches
 MAX_TOXIC, MAX_CLEAN = 4000, 8000  # labelled rows that the lexicon and the weights are learned from, at most
 MAX_TERMS = 2000                   # terms of the lexicon, at most
 MIN_DOCS = 4                       # toxic documents a term needs
-MIN_WEIGHT, MIN_Z = 2.0, 4.0       # smoothed log odds of a term, and its distance from 0 in standard errors
+MIN_WEIGHT, MIN_Z = 2.0, 3.0       # smoothed log odds of a term, and its distance from 0 in standard errors
 STEMS = (4, 5, 6, 7)               # lengths of word beginnings that are terms of their own (written with a *)
 WINDOW = 8                         # words on either side of a hit that are its context
 CACHE = 200_000                    # words and automaton steps that a task remembers

@@ -10,7 +10,7 @@ from profitlens.llm._common import join_on, staged
 DEPTH = 4           # levels of the tree; what lies deeper shares the last one
 MAX_CHILDREN = 10   # a segment is variable if its place has more values than this
 MIN_SUPPORT = 4     # and fewer pages for a value, in the mean, than this
-SIMILAR_Z = 1.96    # branches whose labels differ less (two-proportion z) from those of all siblings are merged
+BAND_Z = 1.96       # a branch is mostly allowed (blocked) if the 95 % interval of its share lies above (below) one half
 PRIOR = 4.0         # labels' worth of the parent's purity in a template's
 MIN_PURITY = 0.35   # templates with a smaller share of allowed urls are rejected
 
@@ -47,15 +47,25 @@ def shape_of(path: Column) -> Column:
     return F.when(F.size(plain) <= DEPTH, plain).otherwise(F.concat(head, F.array(F.lit("**"))))
 
 
+def _band() -> Column:
+    """The kind of a branch by the Wilson interval of its allowed share (a of a + b); null without labels."""
+    n, share = F.col("a") + F.col("b"), F.col("a") / (F.col("a") + F.col("b"))
+    middle = share + BAND_Z**2 / (2 * n)
+    reach = BAND_Z * F.sqrt(share * (1 - share) / n + BAND_Z**2 / (4 * n * n))
+    half = 0.5 * (1 + BAND_Z**2 / n)
+    return F.when(n > 0, F.when(middle - reach > half, "~+").when(middle + reach < half, "~-").otherwise("~"))
+
+
 def template_purity(pages: DataFrame) -> DataFrame:
     """pages: host, shape (array of segments), label (1 allowed, 0 blocked, null unknown). Returns a row for each
     (host, shape) with its template and purity, the smoothed share of allowed urls.
 
     Pages are counted by (host, shape) first, so the tree is built from counts. Level by level, a place with many rarely
-    repeated values becomes the wildcard ``*``, and labelled siblings whose shares don't differ significantly from that
-    of all siblings become one branch ``~``. A node's purity is (allowed + PRIOR * purity of its parent) / (labels +
-    PRIOR); a host's parent is the whole table, whose prior is one allowed and one blocked url. So a template without
-    labels takes its parent's purity."""
+    repeated values becomes the wildcard ``*``, and labelled siblings that are statistically alike become one branch: those
+    whose Wilson interval of the allowed share lies above one half (``~+``), below it (``~-``), or holds it (``~``), if
+    two or more are of a kind. A node's purity is (allowed + PRIOR * purity of its parent) / (labels + PRIOR); a host's
+    parent is the whole table, whose prior is one allowed and one blocked url. So a template without labels takes its
+    parent's purity; a host without any is not held to be worse than one half."""
     label = F.col("label")
     cur = pages.groupBy("host", "shape").agg(
         F.count("*").alias("n"), F.coalesce(F.sum(label), F.lit(0)).cast("long").alias("a"),
@@ -65,26 +75,23 @@ def template_purity(pages: DataFrame) -> DataFrame:
     prior = (whole.a + 1.0) / (whole.a + whole.b + 2.0)
     smooth = lambda parent: (F.col("a") + PRIOR * parent) / (F.col("a") + F.col("b") + PRIOR)
     hosts = cur.groupBy("host").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    hosts = hosts.select("host", smooth(F.lit(prior)).alias("purity"))
+    hosts = hosts.select("host", F.when(F.col("a") + F.col("b") > 0, smooth(F.lit(prior)))
+                         .otherwise(F.lit(max(prior, 0.5))).alias("purity"))
     cur = join_on(cur, hosts, ["host"]).withColumn("template", F.lit(""))
     for level in range(DEPTH):
         cur = staged(cur.withColumn("seg", F.coalesce(F.get("shape", F.lit(level)), F.lit(""))), "url-level")
         place = ["host", "template"]
         kids = cur.groupBy(*place, "seg").agg(
-            *[F.sum(c).alias(c) for c in "nab"], F.min("purity").alias("parent"))
+            *[F.sum(c).alias(c) for c in "nab"], F.min("purity").alias("parent")).withColumn("band", _band())
         alls = kids.groupBy(*place).agg(
-            F.count("*").alias("values"), *[F.sum(c).alias(f"{c}s") for c in "nab"],
-            F.sum(F.when(F.col("a") + F.col("b") > 0, 1).otherwise(0)).alias("labelled"))
+            F.count("*").alias("values"), F.sum("n").alias("pages"),
+            *[F.sum((F.col("band") == b).cast("int")).alias(b) for b in ("~+", "~-", "~")])
         kids = join_on(kids, alls, place)
-        own, pool = F.col("a") + F.col("b"), F.col("as") + F.col("bs")
-        share = F.col("as") / pool
-        # own share against the pooled one; a branch that has all the labels is never different
-        spread = share * (1 - share) * (1 / own - 1 / pool)
-        differs = F.when(spread > 0, F.abs(F.col("a") / own - share) > SIMILAR_Z * F.sqrt(spread)).otherwise(False)
+        alike = F.when(F.col("band") == "~+", F.col("~+")).when(F.col("band") == "~-", F.col("~-")).otherwise(F.col("~"))
         token = (F.when(F.col("seg") == "", "")
-                 .when((F.col("values") > MAX_CHILDREN) & (F.col("ns") < MIN_SUPPORT * F.col("values")), "*")
-                 .when((own > 0) & (F.col("labelled") > 1) & ~differs, "~").otherwise(F.col("seg")))
-        kids = staged(kids.withColumn("token", token), "url-kids")
+                 .when((F.col("values") > MAX_CHILDREN) & (F.col("pages") < MIN_SUPPORT * F.col("values")), "*")
+                 .when(F.col("band").isNotNull() & (alike > 1), F.col("band")).otherwise(F.col("seg")))
+        kids = staged(kids.select(*place, "seg", "a", "b", "parent", token.alias("token")), "url-kids")
         nodes = kids.groupBy(*place, "token").agg(F.sum("a").alias("a"), F.sum("b").alias("b"),
                                                   F.min("parent").alias("parent"))
         nodes = nodes.select(*place, "token", F.when(F.col("token") == "", F.col("parent"))

@@ -51,7 +51,7 @@ def test_copies_lengths_and_bad_vectors(spark):
 
     rng = np.random.default_rng(0)
     rows = {i: [float(v) for v in rng.standard_normal(4) * (1 + i % 7)] for i in range(200)}
-    hot = [1.0, 2.0, 3.0, 4.0]
+    hot = [10.0, 20.0, 30.0, 40.0]  # longer than the others: its copies are nearest to each other
     rows |= {i: hot for i in range(200, 300)}
     bad = [(300, None), (301, [0.0] * 4), (302, [1.0, None, 0.0, 0.0]), (303, [float("nan")] * 4),
            (304, [float("inf"), 0.0, 0.0, 1.0]), (320, None), (340, [0.0] * 4), (None, hot), (360, []), (380, [1.0])]

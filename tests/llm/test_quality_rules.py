@@ -55,9 +55,10 @@ def test_against_brute_force(spark):
 
 
 def boilerplate(spark):
-    own = lambda i: " ".join(f"w{i}x{j}" for j in range(60))
+    # digits are normalised away, so words differ by letters
+    own = lambda i: " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}x{'y' * j}" for j in range(60))
     rows = [(i, "Share  THIS page 24 times\n" + own(i), "h") for i in range(30)]
-    rows += [(100 + i, ("share this page 57 times\n" * 20) + own(200 + i)[:30 * 5], "h") for i in range(5)]
+    rows += [(100 + i, ("share this page 57 times\n" * 20) + own(200 + i)[:150], "h") for i in range(5)]
     rows += [(200 + i, own(500), "h") for i in range(40)]  # exact copies: one document
     return spark.createDataFrame(rows, "doc_id long, text string, source string")
 
@@ -67,7 +68,7 @@ def test_frequent_lines_go_and_depleted_documents_with_them(spark):
     check(df)
     kept = {r.doc_id: r.text for r in apply_line_rules(df).collect()}
     assert set(kept) == {*range(30), *range(200, 240)}
-    assert kept[3] == " ".join(f"w3x{j}" for j in range(60))
+    assert kept[3] == " ".join(f"dax{'y' * j}" for j in range(60))
 
 
 def test_odd_rows(odd, empty):

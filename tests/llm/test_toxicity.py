@@ -4,7 +4,9 @@ import pytest
 
 from profitlens.llm.queries import op6_toxicity
 from profitlens.llm.toxicity import FEATURES, LexiconAutomaton, Scorer, edits_allowed, learn_toxicity, score_toxicity
-from llm_cases import SF, SF01
+from llm_cases import SF
+
+SF1 = "/root/testdata/sf0.1"
 
 
 def distance(a, b):
@@ -60,13 +62,14 @@ def test_context_separates_quotation_from_abuse():
 
 
 def test_held_out_rows(spark):
-    got = op6_toxicity(spark, SF01)
-    labels = spark.read.parquet(f"{SF01}/labels.parquet")
+    """On the table with enough labelled rows (some 3,200 to learn from, 800 held out)."""
+    got = op6_toxicity(spark, SF1)
+    labels = spark.read.parquet(f"{SF1}/labels.parquet")
     rows = got.join(labels, "doc_id").where("held_out").select("score", "predicted", "toxic").collect()
     toxic, clean = ([r for r in rows if r.toxic == k] for k in (1, 0))
     auc = sum((t.score > c.score) + 0.5 * (t.score == c.score) for t in toxic for c in clean) / len(toxic) / len(clean)
-    assert auc > 0.85 and sum(r.predicted for r in clean) <= 0.02 * len(clean) + 1
-    assert got.count() == spark.read.parquet(f"{SF01}/documents.parquet").count()
+    assert auc > 0.95 and sum(r.predicted for r in clean) <= 0.01 * len(clean)
+    assert got.count() == spark.read.parquet(f"{SF1}/documents.parquet").count()
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got.collect())
 
 

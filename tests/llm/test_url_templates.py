@@ -62,7 +62,7 @@ def test_purity_is_smoothed_and_blocks(spark):
     df = pages(spark, [("http://bad.com/de/{i}", 30), ("http://bad.com/shop", 3), ("http://good.org/a", 60)])
     rows = judge_urls(df, URL_RULES).collect()
     prior = 61 / 92
-    host = PRIOR * prior / (30 + PRIOR)
+    host = PRIOR * prior / (30 + PRIOR)  # /shop has no labels of its own
     shop = [r for r in rows if r.path == "/shop"]
     assert {r.verdict for r in shop} == {"block"} and abs(shop[0].purity - host) < 1e-12 < MIN_PURITY
     assert {r.verdict for r in rows if r.host == "good.org"} == {"allow"}
