@@ -25,7 +25,7 @@ def line_key():
 
     import xxhash
 
-    word, digits = re.compile(WORD), re.compile(r"\d")
+    word, digits = re.compile(WORD), re.compile("[0-9]")
 
     def key(line: str) -> int | None:
         words = word.findall(line)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from profitlens.llm._common import fold, read
+from profitlens.llm.oracle import ORACLE_SQL  # noqa: F401
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
@@ -98,5 +99,3 @@ def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)
 }
-
-ORACLE_SQL: dict[str, str] = {}
