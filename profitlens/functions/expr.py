@@ -12,11 +12,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Money is carried as DECIMAL(18,4): sums are exact and order-independent.
+# Money of a line is DECIMAL(18,4): sums are exact and order-independent.
 MONEY = T.DecimalType(18, 4)
+# Money that has been summed keeps room for the sum.
+WIDE_MONEY = T.DecimalType(28, 4)
 # Allocation shares are summed in re-rollups; a fixed-point type keeps those
-# sums order-independent too.
-SHARE = T.DecimalType(24, 12)
+# sums order-independent too (a share is large where weights nearly cancel).
+SHARE = T.DecimalType(38, 12)
 
 # Label for rows whose key could not be resolved (missing code, unallocated pool).
 NA_CODE = "__NA__"
@@ -113,7 +115,3 @@ def round_half_even(c: str | Column, scale: int = 2) -> Column:
     """
     c = col(c)
     return F.bround(c.try_cast(T.DecimalType(38, 10)), scale).cast("double")
-
-
-def as_double(c: str | Column) -> Column:
-    return col(c).cast("double")

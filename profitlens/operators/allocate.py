@@ -7,15 +7,18 @@ Plan shape, chosen for scale:
 
 * lines are first pre-aggregated to ``keys + grain`` (sum of line shares equals
   the share of the summed weight, so allocated totals are unchanged) — map-side
-  partial aggregation, no hot-key skew;
-* the base is a second, much smaller aggregate; it is joined back instead of
-  using ``Window.partitionBy(keys)``, which would put a whole group (e.g. one
-  category) into one task. AQE turns the join into a broadcast when the
-  materialised base is small and splits skewed partitions otherwise;
-* pools that cannot be allocated (no lines, or base below ``min_base``) are
-  returned as a residual (left anti join) so no money disappears. The
-  reference silently loses zero-base pools; ``strict_reference=True`` restores
-  that behaviour.
+  partial aggregation, no hot-key skew. Lines without a grain value keep their
+  share; only a missing key leaves a line out;
+* one more aggregate gives each group its base and its largest line; it is
+  joined back instead of using ``Window.partitionBy(keys)``, which would put a
+  whole group (e.g. one category) into one task. The joins are on the keys and
+  a salt of the grain (SALTS copies of the one-row-per-group side), so a group
+  that holds a third of the lines is spread over SALTS tasks whatever join
+  Spark picks;
+* pools that cannot be allocated (no lines, base below ``min_base``, or a
+  missing key) are returned as a residual (left anti join) so no money
+  disappears. The reference silently loses zero-base pools;
+  ``strict_reference=True`` restores that behaviour.
 """
 
 from __future__ import annotations
@@ -26,10 +29,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from profitlens.functions.expr import MONEY, SHARE, UNALLOCATED
+from profitlens.functions.expr import SHARE, UNALLOCATED, WIDE_MONEY
 from profitlens.session import materialize
 
 MIN_BASE = 0.01
+SALTS = 16  # parts that the lines of one group are dealt into
 
 
 def _uniq(cols: Sequence[str]) -> list[str]:
@@ -48,9 +52,9 @@ def _all_present(keys: Sequence[str]) -> Column:
 
 
 def pool_rollup(pool: DataFrame, keys: Sequence[str], amount: str) -> DataFrame:
-    """Pool amounts summed to the allocation keys (AGG-09); NULL keys dropped (S2)."""
-    return (pool.where(_all_present(keys)).groupBy(*keys)
-            .agg(F.coalesce(F.sum(amount), F.lit(0)).cast("decimal(28,4)").alias(amount)))
+    """Pool amounts summed to the allocation keys (AGG-09). Amounts with a missing
+    key are summed as well: they match no line and stay in the residual."""
+    return pool.groupBy(*keys).agg(F.coalesce(F.sum(amount), F.lit(0)).cast(WIDE_MONEY).alias(amount))
 
 
 def allocate(lines: DataFrame, pool: DataFrame, keys: Sequence[str], weight: str,
@@ -60,7 +64,7 @@ def allocate(lines: DataFrame, pool: DataFrame, keys: Sequence[str], weight: str
     """Allocate ``pool[amount]`` over ``lines`` pro rata to ``lines[weight]`` within ``keys``.
 
     Returns ``(allocated, residual)``:
-      allocated: keys + grain, ``weight`` (summed), ``alloc_share`` (DECIMAL(24,12)),
+      allocated: keys + grain, ``weight`` (summed), ``alloc_share`` (DECIMAL(38,12)),
                  ``pool_amount`` and ``alloc_amount`` (money)
       residual:  keys + ``amount`` — pools that were not allocated.
     With ``exact=True`` the per-line amounts (rounded to 1/10000) of every group
@@ -73,54 +77,58 @@ def allocate(lines: DataFrame, pool: DataFrame, keys: Sequence[str], weight: str
     # Pre-aggregated lines at the output grain (skipped when the caller already
     # aggregated the lines at exactly this grain).
     if pre_aggregated and set(cols) == set(lines.columns) - {weight}:
-        lw = lines.where(_all_present(cols)).select(*cols, F.coalesce(F.col(weight), F.lit(0)).alias(weight))
+        lw = lines.where(_all_present(keys)).select(*cols, F.coalesce(F.col(weight), F.lit(0)).alias(weight))
     else:
-        lw = (lines.where(_all_present(cols)).groupBy(*cols)
+        lw = (lines.where(_all_present(keys)).groupBy(*cols)
               .agg(F.coalesce(F.sum(weight), F.lit(0)).alias(weight)))
-    base = lw.groupBy(*keys).agg(F.sum(weight).alias("_base"))
-    if strict_reference:
-        # reference: any pool with lines counts as matched, share 0 when base < min_base
-        ok = base.join(pl, keys, "inner")
-        matched_keys = base.select(*keys)
-    else:
-        ok = base.where(F.col("_base") >= F.lit(min_base)).join(pl, keys, "inner")
-        matched_keys = base.where(F.col("_base") >= F.lit(min_base)).select(*keys)
-
-    share = (F.when(F.col("_base") >= F.lit(min_base),
-                    F.coalesce(F.try_divide(F.col(weight).cast("double"), F.col("_base").cast("double")),
-                               F.lit(0.0)))
+    extra = [c for c in cols if c not in keys]
+    lw = lw.withColumn("_salt", _salt(extra))
+    # base and largest line of each group; ties go to the largest grain values
+    base = lw.groupBy(*keys).agg(
+        F.sum(weight).alias("_base"),
+        F.max(F.struct(F.abs(F.col(weight)), *extra, "_salt")).alias("_top"))
+    usable = F.col("_base") >= F.lit(min_base)
+    # strict reference: any pool with lines counts as matched, share 0 when base < min_base
+    matched = base if strict_reference else base.where(usable)
+    ok = matched.join(pl, keys, "inner")
+
+    share = (F.when(usable, F.coalesce(F.try_divide(F.col(weight).cast("double"), F.col("_base").cast("double")),
+                                       F.lit(0.0)))
              .otherwise(F.lit(0.0)))
-    allocated = (lw.join(ok, keys, "inner")
+    spread = ok.select(*keys, "_base", amount, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    allocated = (lw.join(spread, [*keys, "_salt"], "inner")
                  .withColumn("_share", share)
-                 .select(*cols, F.col(weight),
+                 .select(*cols, "_salt", F.col(weight),
                          F.col("_share").cast(SHARE).alias("alloc_share"),
-                         F.col(amount).cast(MONEY).alias("pool_amount"),
-                         (F.col("_share") * F.col(amount).cast("double")).cast(MONEY).alias("alloc_amount"),
-                         (F.col("_base") >= F.lit(min_base)).alias("_ok")))
+                         F.col(amount).cast(WIDE_MONEY).alias("pool_amount"),
+                         (F.col("_share") * F.col(amount).cast("double")).cast(WIDE_MONEY).alias("alloc_amount")))
     if exact:
-        allocated = _absorb_remainder(allocated, keys, [c for c in cols if c not in keys], weight)
-    allocated = allocated.drop("_ok")
-    residual = pl.join(matched_keys, keys, "left_anti")
-    return allocated, residual
-
-
-def _absorb_remainder(allocated: DataFrame, keys: list[str], grain: list[str], weight: str) -> DataFrame:
-    """Make each group's allocated lines sum exactly to its pool: the line with
-    the largest |weight| (ties: largest grain values) takes the rounding
-    remainder. One small aggregate per group (``max(struct)``) joined back —
-    no window, so a large group is never gathered in one task."""
-    top = allocated.groupBy(*keys).agg(
-        F.sum("alloc_amount").alias("_sum"),
-        F.max(F.struct(F.abs(F.col(weight)).alias("_aw"), *[F.col(c).alias(f"_g_{c}") for c in grain]))
-        .alias("_top"))
-    is_top = F.lit(True)
+        allocated = _absorb_remainder(allocated, ok.where(usable), keys, extra, amount)
+    residual = pl.join(matched.select(*keys), keys, "left_anti")
+    return allocated.drop("_salt"), residual
+
+
+def _salt(grain: Sequence[str]) -> Column:
+    """Part of its group that a line is dealt into, by its grain values."""
+    return F.pmod(F.xxhash64(*grain), F.lit(SALTS)).cast("int") if grain else F.lit(0)
+
+
+def _absorb_remainder(allocated: DataFrame, ok: DataFrame, keys: list[str], grain: list[str], amount: str) -> DataFrame:
+    """Make each group's allocated lines sum exactly to its pool: its largest line
+    takes the rounding remainder. The rounded sums are one hash aggregate; the
+    correction (one row per group, with the salt of the line it is for) meets the
+    lines on the partitioning they already have."""
+    sums = allocated.groupBy(*keys).agg(F.sum("alloc_amount").alias("_sum"))
+    fix = ok.join(sums, keys, "inner").select(
+        *keys, F.col("_top._salt").alias("_salt"), *[F.col(f"_top.{c}").alias(f"_g_{c}") for c in grain],
+        (F.col(amount) - F.col("_sum")).cast(WIDE_MONEY).alias("_diff"))
+    is_top = F.col("_diff").isNotNull()
     for c in grain:
-        is_top = is_top & (F.col(c) == F.col(f"_top._g_{c}"))
-    fixed = F.when(is_top & F.col("_ok"), (F.col("alloc_amount") + F.col("pool_amount") - F.col("_sum")).cast(MONEY)) \
-        .otherwise(F.col("alloc_amount"))
-    return (allocated.join(top, keys, "inner")
-            .withColumn("alloc_amount", fixed)
-            .drop("_sum", "_top"))
+        is_top = is_top & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+    return (allocated.join(fix, [*keys, "_salt"], "left")
+            .withColumn("alloc_amount", F.when(is_top, (F.col("alloc_amount") + F.col("_diff")).cast(WIDE_MONEY))
+                        .otherwise(F.col("alloc_amount")))
+            .drop("_diff", *[f"_g_{c}" for c in grain]))
 
 
 @dataclass(frozen=True)
@@ -177,7 +185,7 @@ def waterfall(lines: DataFrame, pool: DataFrame, levels: Sequence[Level], weight
             pending = resid
     kept = pending.select(*[c for c in pending.columns if c in out_cols],
                           F.lit(None).cast(SHARE).alias("alloc_share"),
-                          F.col(amount).cast(MONEY).alias("alloc_amount"),
+                          F.col(amount).cast(WIDE_MONEY).alias("alloc_amount"),
                           F.lit(len(levels) + 1).alias("alloc_level"))
     parts.append(kept)
     result = None
@@ -192,23 +200,25 @@ def waterfall(lines: DataFrame, pool: DataFrame, levels: Sequence[Level], weight
 
 def reallocate_single(lines: DataFrame, pool: DataFrame, keys: Sequence[str], weight: str,
                       amount: str, grain: Sequence[str], sentinel: str = UNALLOCATED,
-                      residual_share: float | None = None, min_base: float = MIN_BASE) -> DataFrame:
+                      residual_share: float | None = None, min_base: float = MIN_BASE,
+                      pool_is_rolled_up: bool = False) -> DataFrame:
     """One-level allocation whose residual is kept whole on ``sentinel`` in the
     grain columns (ALC-08, ALC-07 hop 2). ``residual_share`` is the share reported
     on those rows (the fresh hop reports 1). The pool is usually the output of an
-    earlier allocation; it is rolled up to ``keys`` (one row per group) and
-    materialised, since the allocation and the residual both read it."""
-    pool = materialize(pool_rollup(pool, list(keys), amount))
+    earlier allocation; it is rolled up to ``keys`` (one row per group) unless the
+    caller did."""
+    if not pool_is_rolled_up:
+        pool = materialize(pool_rollup(pool, list(keys), amount))
     alloc, resid = allocate(lines, pool, keys, weight, amount, grain, min_base=min_base,
                             pool_is_rolled_up=True)
     out_cols = _uniq(list(keys) + list(grain))
     kept = resid.select(*[F.col(c) if c in resid.columns else F.lit(sentinel).alias(c) for c in out_cols],
-                        F.lit(None).cast("decimal(28,4)").alias(weight),
+                        F.lit(None).cast(WIDE_MONEY).alias(weight),
                         (F.lit(residual_share).cast(SHARE) if residual_share is not None
                          else F.lit(None).cast(SHARE)).alias("alloc_share"),
-                        F.col(amount).cast(MONEY).alias("pool_amount"),
-                        F.col(amount).cast(MONEY).alias("alloc_amount"))
-    return (alloc.select(*out_cols, F.col(weight).cast("decimal(28,4)").alias(weight),
+                        F.col(amount).cast(WIDE_MONEY).alias("pool_amount"),
+                        F.col(amount).cast(WIDE_MONEY).alias("alloc_amount"))
+    return (alloc.select(*out_cols, F.col(weight).cast(WIDE_MONEY).alias(weight),
                          "alloc_share", "pool_amount", "alloc_amount")
             .unionByName(kept))
 
@@ -225,12 +235,15 @@ def allocate_with_fallback(lines: DataFrame, pool_rows: DataFrame, keys: Sequenc
     Output: keys + grain + ``alloc_amount`` summed.
     """
     alloc, resid = allocate(lines, pool_rows, keys, weight, amount, grain, min_base=min_base)
-    fallback = (pool_rows.join(resid.select(*keys), list(keys), "left_semi")
-                .where(_all_present(list(keys) + list(grain)))
-                .select(*_uniq(list(keys) + list(grain)), F.col(amount).cast(MONEY).alias("alloc_amount")))
+    left = resid.select(*[F.col(k).alias(f"_r_{k}") for k in keys])
+    same = F.lit(True)
+    for k in keys:  # pools without a key are in the residual too
+        same = same & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    fallback = (pool_rows.join(left, same, "left_semi")
+                .select(*_uniq(list(keys) + list(grain)), F.col(amount).cast(WIDE_MONEY).alias("alloc_amount")))
     both = alloc.select(*_uniq(list(keys) + list(grain)), "alloc_amount").unionByName(fallback)
     return (both.groupBy(*_uniq(list(keys) + list(grain)))
-            .agg(F.sum("alloc_amount").cast("decimal(28,4)").alias("alloc_amount")))
+            .agg(F.sum("alloc_amount").cast(WIDE_MONEY).alias("alloc_amount")))
 
 
 # Fixed values (reference): the numeric / text codes the original scripts stamp

@@ -4,14 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Dimension tables up to this many rows are broadcast to the fact side.
-BROADCAST_MAX_ROWS = 200_000
-
-
 def first_wins(sources: Sequence[DataFrame], key: str | Sequence[str], attrs: Sequence[str]) -> DataFrame:
     """Master from several sources, first source wins per key (AGG-17, PIPE-03).
 
@@ -37,25 +32,11 @@ def first_wins(sources: Sequence[DataFrame], key: str | Sequence[str], attrs: Se
     return best.select(*keys, *[F.col(f"_best._v_{a}").alias(a) for a in attrs])
 
 
-def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``dim`` only after checking it has at most ``max_rows`` rows.
-
-    The dimension is persisted (it is read twice: by the check and by the
-    join); beyond the bound it is returned as is and the join stays a
-    shuffle join (AQE may still convert it at runtime from real sizes).
-    """
-    from profitlens.session import _MATERIALIZED
-
-    dim = dim.persist(StorageLevel.MEMORY_AND_DISK)
-    _MATERIALIZED.append(dim)  # freed with the report's other intermediates
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
-
-def enrich(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], attrs: Sequence[str] | None = None,
-           max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def enrich(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], attrs: Sequence[str] | None = None) -> DataFrame:
     """Left join a master onto a fact (JN-03). The master must be unique per key
-    (build it with ``first_wins``) so the fact is never multiplied."""
+    (build it with ``first_wins``) so the fact is never multiplied. A plain join:
+    AQE broadcasts the master when its measured bytes allow it, and splits hot
+    keys of the sort-merge join otherwise."""
     on = [on] if isinstance(on, str) else list(on)
     cols = on + [a for a in (attrs or dim.columns) if a not in on]
-    return fact.join(bounded_broadcast(dim.select(*cols), max_rows), on, "left")
+    return fact.join(dim.select(*cols), on, "left")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from profitlens.session import materialize
+from profitlens.session import stage
 
 
 def _by(by: str | Sequence[str]) -> list[str]:
@@ -74,21 +74,21 @@ def group_quantile(df: DataFrame, by: str | Sequence[str], col: str, q: float =
         return base.groupBy(*keys).agg(F.percentile_approx("_v", q, accuracy).alias("_threshold"))
 
     n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranked = materialize(
+    # row numbers must not change between their readers: always staged
+    ranked = stage(
         base.repartitionByRange(n_parts, *keys, "_v").sortWithinPartitions(*keys, "_v")
         .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_mid", F.monotonically_increasing_id()))
+        .withColumn("_mid", F.monotonically_increasing_id()), "quantile")
     # per (group, partition) segment: bounded by the number of partitions
     seg = ranked.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
-    offset = F.sum("_cnt").over(Window.partitionBy(*keys).orderBy("_pid")) - F.col("_cnt")
-    seg = seg.withColumn("_off", offset)
-    tot = seg.groupBy(*keys).agg(F.sum("_cnt").alias("_n"))
-    pos = (F.col("_n") - 1).cast("double") * F.lit(q)
-    tot = tot.select(*keys, F.floor(pos).cast("long").alias("_lo"), F.ceil(pos).cast("long").alias("_hi"),
-                     (pos - F.floor(pos)).alias("_frac"))
+    own = Window.partitionBy(*keys)
+    pos = (F.sum("_cnt").over(own) - 1).cast("double") * F.lit(q)
+    seg = (seg.withColumn("_off", F.sum("_cnt").over(own.orderBy("_pid")) - F.col("_cnt"))
+           .withColumn("_pos", pos)
+           .select(*keys, "_pid", "_off", "_first", F.floor("_pos").cast("long").alias("_lo"),
+                   F.ceil("_pos").cast("long").alias("_hi"), (F.col("_pos") - F.floor("_pos")).alias("_frac")))
     rank = F.col("_off") + F.col("_mid") - F.col("_first")
-    picked = (ranked.join(seg.select(*keys, "_pid", "_off", "_first"), keys + ["_pid"])
-              .join(tot, keys)
+    picked = (ranked.join(seg, keys + ["_pid"])
               .withColumn("_rank", rank)
               .where((F.col("_rank") == F.col("_lo")) | (F.col("_rank") == F.col("_hi"))))
     out = picked.groupBy(*keys).agg(F.max(F.when(F.col("_rank") == F.col("_lo"), F.col("_v"))).alias("_a"),

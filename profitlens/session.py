@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -40,75 +39,76 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, local_fallback: bool = False) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster this must be set by the deployment (a shared filesystem).
-    ``local_fallback=True`` (tests only) creates a scratch folder when unset.
-    """
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared checkpoint folder named by ``spark.checkpoint.dir``, which the
+    deployment sets on a cluster. Where it is unset a scratch folder serves a
+    local session (tests); elsewhere that is an error."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if not local_fallback:
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder")
-        d = tempfile.mkdtemp(prefix="profitlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        d = tempfile.mkdtemp(prefix="profitlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
-    return d
+    return d.rstrip("/")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition a scan that yields fewer partitions than the
-    cluster can run at once (e.g. a single-row-group file). Large inputs split
-    into many file partitions already and pass through untouched, so this never
-    adds a shuffle at scale."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write df as a Parquet table under the shared checkpoint folder and read it
+    back: durable, columnar, and the lineage ends here."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/{label}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Materialise an intermediate that several later steps read.
+def materialize(df: DataFrame, durable: bool = False) -> DataFrame:
+    """An intermediate that several later steps read. ``durable``: one that is dear
+    (a whole waterfall) and read by several branches, staged in any mode.
 
     The mode comes from the session conf ``profitlens.materialize``:
-      ``persist`` (default) MEMORY_AND_DISK persist, filled now — lost blocks are
-                  recomputed from the lineage;
+      ``lazy``    (default) stays part of the plan: nothing runs while a report is
+                  built, and Spark reuses the exchanges that its readers share;
       ``parquet`` written as a Parquet table under the shared
-                  ``spark.checkpoint.dir`` and read back (durable, columnar,
-                  cuts the lineage — the choice for very large inputs);
-      ``checkpoint`` reliable RDD checkpoint into the same folder.
+                  ``spark.checkpoint.dir`` and read back (durable, columnar, cuts
+                  the lineage: for reports whose intermediates are dear);
+      ``checkpoint`` reliable checkpoint into the same folder.
     """
-    from pyspark import StorageLevel
-
-    mode = df.sparkSession.conf.get("profitlens.materialize", "persist")
+    mode = df.sparkSession.conf.get("profitlens.materialize", "lazy")
     if mode == "checkpoint":
         return cut_lineage(df)
-    if mode == "parquet":
-        path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/materialized/{uuid.uuid4().hex}"
-        df.write.mode("overwrite").parquet(path)
-        return df.sparkSession.read.parquet(path)
-    out = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out.count()  # materialise now, so later plans read the blocks instead of re-planning the lineage
-    _MATERIALIZED.append(out)
-    return out
+    if mode == "parquet" or durable:
+        out = stage(df, "materialized")
+        _STAGED.append(out)
+        return out
+    if mode != "lazy":
+        raise ValueError(f"unknown profitlens.materialize mode {mode!r}")
+    return df
 
 
-_MATERIALIZED: list[DataFrame] = []
+_STAGED: list[DataFrame] = []
 
 
 def release_materialized() -> int:
-    """Unpersist every intermediate ``materialize`` persisted so far; call it once
-    the reports that read them have been written. Returns how many were freed."""
-    n = len(_MATERIALIZED)
-    while _MATERIALIZED:
-        df = _MATERIALIZED.pop()
-        try:
-            df.unpersist()
-        except Exception:  # noqa: BLE001 - its session may already be stopped
-            pass
+    """Delete the folders of every intermediate that ``materialize`` staged so far;
+    call it once the reports that read them have been written. Returns how many."""
+    n = len(_STAGED)
+    while _STAGED:
+        df = _STAGED.pop()
+        if df.sparkSession.sparkContext._jsc is not None:  # its session may have been stopped
+            drop_staged(df)
     return n
 
 
+def drop_staged(df: DataFrame) -> None:
+    """Delete the folder of a table that ``stage`` wrote."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
