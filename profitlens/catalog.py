@@ -13,18 +13,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from profitlens.functions.expr import conform_code, conform_numeric_code, pattern_match, round_half_even
-from profitlens.operators.rollup import reconcile, rollup
+from profitlens.functions.expr import (
+    UNALLOCATED, conform_code, conform_numeric_code, pattern_match, round_half_even,
+)
+from profitlens.operators.rollup import null_key_report, reconcile, rollup
 from profitlens.operators.stats import quantile_filter, sigma_outliers
 from profitlens.plans import abnormal, coupon as coupon_plans, fresh, margin, stock as stock_plans, supplier
 from profitlens.session import materialize
-from profitlens.sources.testdata import Facts, cached_facts, read_table
+from profitlens.sources.facts import Facts
+from profitlens.sources.testdata import cached_facts, fact_coverage, read_table
 
 # Parameters of the registered queries.
 MODULES = ("1", "2", "3")      # modules analysed by the store x SKU OI waterfall
 DAYS = 31                      # days in the period (stock turnover)
 SIGMA_K = 6.0                  # outlier cut-off
-INLIER_K = 72.0                # inlier cut-off
+INLIER_K = 1.5                 # inlier cut-off
+CHAIN_K = 3.0                  # outlier cut-off among the few SKUs x channels of a category
 TOP_Q = 0.8                    # top-quantile filter
 
 
@@ -40,9 +44,6 @@ def finish(df: DataFrame) -> DataFrame:
 
 
 def _facts(spark: SparkSession, sf_dir: str) -> Facts:
-    # Reports persist small intermediates; let AQE coalesce their partitions too
-    # (otherwise every stage over them runs spark.sql.shuffle.partitions tiny tasks).
-    spark.conf.set("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true")
     return cached_facts(spark, sf_dir)
 
 
@@ -101,16 +102,14 @@ def q_flt11_pattern_match(spark, sf_dir):
 
 def q_flt12_scope_range(spark, sf_dir):
     f = _facts(spark, sf_dir)
-    chosen = f.sales.join(margin.active_categories(f.category, modules=("1",)), "category_id", "left_semi")
-    return (chosen.select(*margin.STORE_CHANNEL_KEYS).distinct()
-            .withColumn("in_scope", F.lit(1)))
+    return margin.scope_range(f.sales, margin.active_categories(f.category, modules=("1",)), margin.STORE_CHANNEL_KEYS)
 
 
 def q_jn06_unmatched_oi(spark, sf_dir):
     f = _facts(spark, sf_dir)
     keys = ["supplier_id", "category_id", "store_id"]
     pool = rollup(margin.supplier_income(f.oi), keys, ["oi_amount"])
-    return finish(pool.join(f.sales.select(*keys), keys, "left_anti"))
+    return finish(pool.join(f.sales.select(*keys).distinct(), keys, "left_anti"))
 
 
 def q_alc04_coupon_to_supplier(spark, sf_dir):
@@ -234,9 +233,9 @@ def q_sta05_two_metric_outliers(spark, sf_dir):
 
 def q_sta06_category_outliers(spark, sf_dir):
     f = _facts(spark, sf_dir)
-    m = stock_plans.chain_sku_margin(f.sales, f.coupon, f.oi)
+    m = margin.chain_sku_margin(f.sales, f.coupon, f.oi)
     return finish(sigma_outliers(m.select("category_id", "channel", "sku_id", "post_coupon_margin"),
-                                 "category_id", "post_coupon_margin", SIGMA_K))
+                                 "category_id", "post_coupon_margin", CHAIN_K))
 
 
 def q_pipe12_abnormal_summary(spark, sf_dir):
@@ -246,7 +245,7 @@ def q_pipe12_abnormal_summary(spark, sf_dir):
 
 def q_pipe12_abnormal_drill(spark, sf_dir):
     f = _facts(spark, sf_dir)
-    return abnormal.abnormal_drill(f.sales, f.coupon, f.category, SIGMA_K)
+    return abnormal.abnormal_drill(f.sales, f.coupon, f.category, f.store, SIGMA_K)
 
 
 def q_pipe09_fresh_margin(spark, sf_dir):
@@ -266,26 +265,141 @@ def q_pipe11_fresh_total(spark, sf_dir):
 
 def q_pipe01_union_complete(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
-    kinds = ["view", "click", "purchase", "signup", "error"]
-    extracts = [ev.where(F.col("event_type") == k) for k in kinds]
-    return coupon_plans.union_with_completeness(extracts, "ts")
+    # the period extracts of a company: two halves of the days of a month, undated rows with the first
+    late = F.coalesce(F.dayofmonth("ts") > 15, F.lit(False))
+    return coupon_plans.union_with_completeness([ev.where(~late), ev.where(late)], "ts")
 
 
 def q_agg13_reconcile(spark, sf_dir):
     f = _facts(spark, sf_dir)
     alloc, unalloc = margin.oi_store_category(f.sales, f.oi, f.category)
-    alloc = materialize(alloc)  # read by the margin report and by the OI control total
+    alloc = materialize(alloc, durable=True)  # read by the margin report and by the OI control total
     cm = margin.company_margin(f.sales, f.coupon, f.oi, f.category, alloc=alloc)
-    oi_out = alloc.select(F.col("alloc_amount").alias("amount")).unionByName(
-        unalloc.select(F.col("oi_amount").cast("decimal(18,4)").alias("amount")))
-    inc = margin.supplier_income(f.oi)
     return finish(reconcile({
         "net_sales": (f.sales, "net_sales", cm, "net_sales"),
         "coupon_cost": (f.coupon, "coupon_cost", cm, "coupon_cost"),
-        "oi_amount": (inc, "oi_amount", oi_out, "amount"),
+        "oi_amount": (margin.supplier_income(f.oi), "oi_amount", _oi_out(alloc, unalloc), "amount"),
+    }))
+
+
+def _oi_out(alloc, unalloc):
+    """What became of an OI pool: allocated amounts and what is out of scope."""
+    return alloc.select(F.col("alloc_amount").alias("amount")).unionByName(
+        unalloc.select(F.col("oi_amount").alias("amount")))
+
+
+def q_agg13_scorecard(spark, sf_dir):
+    f = _facts(spark, sf_dir)
+    card = materialize(stock_plans.category_scorecard(f.sales, f.coupon, f.oi, f.stock))
+    raw = {"net_sales": f.sales, "coupon_cost": f.coupon, "oi_amount": margin.supplier_income(f.oi),
+           "stock_value": f.stock}
+    return finish(reconcile({m: (d, m, card, m) for m, d in raw.items()}))
+
+
+def q_agg13_fresh(spark, sf_dir):
+    f = _facts(spark, sf_dir)
+    inc = margin.supplier_income(f.oi)
+    fresh_inc = inc.join(margin.active_categories(f.category, module_name_pattern=fresh.FRESH_PATTERN),
+                         "category_id", "left_semi")
+    hop1, unalloc = fresh.fresh_oi_hop1(f.sales, f.oi, f.category)
+    hop2 = fresh.fresh_oi(f.sales, f.oi, f.category)
+    return finish(reconcile({
+        "oi_amount": (inc, "oi_amount", _oi_out(hop1, unalloc), "amount"),
+        "fresh_oi_amount": (fresh_inc, "oi_amount", hop2, "alloc_amount"),
+    }))
+
+
+def q_agg13_chain(spark, sf_dir):
+    f = _facts(spark, sf_dir)
+    alloc = materialize(margin.oi_chain_sku(f.sales, f.oi))
+    m = margin.chain_sku_margin(f.sales, f.coupon, f.oi)
+    return finish(reconcile({
+        "oi_amount": (margin.supplier_income(f.oi), "oi_amount", alloc, "alloc_amount"),
+        "oi_matched": (alloc.where("alloc_level = 1"), "alloc_amount", m.where(F.col("channel") != UNALLOCATED),
+                       "alloc_amount"),
+        "net_sales": (f.sales, "net_sales", m, "net_sales"),
     }))
 
 
+def q_agg13_fact_coverage(spark, sf_dir):
+    return finish(fact_coverage(_facts(spark, sf_dir).lines))
+
+
+def q_agg13_null_keys(spark, sf_dir):
+    f = _facts(spark, sf_dir)
+    parts = [null_key_report(d, keys, [m]).select(F.lit(name).alias("fact"), "dropped_rows",
+                                                  F.col(f"dropped_{m}").cast("decimal(28,4)").alias("dropped_amount"))
+             for name, d, keys, m in (
+                 ("sales", f.sales, margin.SKU_KEYS, "net_sales"), ("coupon", f.coupon, margin.SKU_KEYS, "coupon_cost"),
+                 ("oi", f.oi, ("supplier_id", "category_id", "store_id"), "oi_amount"),
+                 ("stock", f.stock, ("category_id", "store_id", "sku_id"), "stock_value"))]
+    return finish(coupon_plans.union_extracts(parts))
+
+
+def q_pipe04_margin_chain(spark, sf_dir):
+    f = _facts(spark, sf_dir)
+    return finish(margin.chain_margin(f.sales, f.coupon))
+
+
+def q_pipe13_chain_margin(spark, sf_dir):
+    f = _facts(spark, sf_dir)
+    return finish(margin.chain_sku_margin(f.sales, f.coupon, f.oi))
+
+
+def q_pipe13_partial_margin(spark, sf_dir):
+    f = _facts(spark, sf_dir)
+    return finish(margin.partial_sku_margin(f.sales, f.coupon, f.oi, f.category))
+
+
+def q_pipe14_enriched_chain(spark, sf_dir):
+    f = _facts(spark, sf_dir)
+    return finish(margin.enriched_chain_margin(f.sales, f.coupon, f.oi, f.category))
+
+
+def q_pipe14_enriched_company(spark, sf_dir):
+    f = _facts(spark, sf_dir)
+    return finish(margin.enriched_company_margin(f.sales, f.coupon, f.oi, f.category, f.store))
+
+
+def q_pipe14_enriched_scorecard(spark, sf_dir):
+    f = _facts(spark, sf_dir)
+    return finish(stock_plans.enriched_scorecard(f.sales, f.coupon, f.oi, f.stock, f.category))
+
+
+def q_pipe15_turnover_category(spark, sf_dir):
+    f = _facts(spark, sf_dir)
+    return finish(stock_plans.category_turnover(f.sales, f.coupon, f.oi, f.stock, f.category, DAYS))
+
+
+def q_pipe12_abnormal_list(spark, sf_dir):
+    f = _facts(spark, sf_dir)
+    return finish(abnormal.abnormal_list(f.sales, f.coupon, f.store, SIGMA_K))
+
+
+def q_pipe03_coupon_type_master(spark, sf_dir):
+    f = _facts(spark, sf_dir)
+    return coupon_plans.coupon_type_master(f.coupon_type, f.coupon)
+
+
+def q_pipe03_sku_master(spark, sf_dir):
+    f = _facts(spark, sf_dir)
+    return margin.sku_master(f.sales, f.coupon, f.stock)
+
+
+def _chain_scope(f):
+    return margin.scope_range(f.sales, margin.active_categories(f.category, modules=("1",)), ("category_id", "channel"))
+
+
+def q_flt12_scope_range_chain(spark, sf_dir):
+    return _chain_scope(_facts(spark, sf_dir))
+
+
+def q_flt12_scope_semi(spark, sf_dir):
+    f = _facts(spark, sf_dir)
+    keys = ["category_id", "channel"]
+    return finish(rollup(f.coupon.join(_chain_scope(f), keys, "left_semi"), keys, ["coupon_cost"]))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -12,8 +12,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from profitlens.functions.expr import WHITESPACE
-
+# The white space characters below U+3001.
+WHITESPACE = "".join(map(chr, (9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233,
+                               8239, 8287, 12288)))
 SENT = "'__UNALLOCATED__'"
 MODULE_NAMES = {"0": "新鲜食材", "1": "美食", "2": "粮油", "3": "日化", "4": "百货"}
 OI_EXCLUDE = "装卸|搬运"
@@ -120,13 +121,14 @@ sales AS (
 coupon AS (
   SELECT {CODES}, CAST(l_shipdate AS DATE) AS biz_date,
          {_module_name('p_brand')} AS department,
-         c_mktsegment AS coupon_type_id,
+         c_mktsegment AS coupon_type_id, 'coupon ' || lower(c_mktsegment) AS coupon_type_name,
          CAST(price * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(18,4)) AS coupon_cost,
          CAST(CAST(price * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(18,4)) + CAST(price * 0.01 AS DECIMAL(18,4))
               + CAST(price * 0.02 AS DECIMAL(18,4)) AS DECIMAL(18,4)) AS coupon_total,
          CAST(price * 0.01 AS DECIMAL(18,4)) AS coupon_supplier_borne,
          CAST(price * 0.02 AS DECIMAL(18,4)) AS coupon_platform_borne
-  FROM lb WHERE l_linestatus = 'F' AND l_returnflag IN ('N', 'A')
+  FROM lb WHERE (l_linestatus = 'F' AND l_returnflag IN ('N', 'A'))
+     OR (l_returnflag = 'R' AND (p_brand = 'Brand#25' OR l_suppkey % 10 = 3))
 ),
 oi AS (
   SELECT CAST(l_suppkey AS VARCHAR) AS supplier_id, s_name AS supplier_name, p_brand AS category_id,
@@ -156,7 +158,8 @@ coupon_type AS (
 ),
 category AS (
   SELECT {_module_id('category_id')} AS module_id, {_module_name('category_id')} AS module_name, category_id,
-         CASE WHEN category_id = 'Brand#24' THEN category_id || '{DISABLED}' ELSE category_id END AS category_name
+         CASE WHEN category_id = 'Brand#24' THEN category_id || '{DISABLED}'
+              WHEN category_id = 'Brand#13' THEN '{DISABLED}' ELSE category_id END AS category_name
   FROM (SELECT DISTINCT p_brand AS category_id FROM part) b
 ),
 store AS (
@@ -182,19 +185,23 @@ def _rollup(src: str, keys: Sequence[str], measures: Sequence[str], where: str =
 
 def _combine(frames: Sequence[tuple[str, Sequence[str]]], keys: Sequence[str],
              keep: Sequence[str] | None = None) -> str:
-    """Full outer combination of facts on ``keys`` with measures filled with 0;
-    ``keep`` restricts to keys present in one of the named facts."""
-    allm = [m for _, ms in frames for m in ms]
-    branches = []
-    for name, ms in frames:
-        cols = [f"CAST({m} AS DECIMAL(38,12)) AS {m}" if m in ms else f"NULL AS {m}" for m in allm]
-        flag = 1 if (keep is None or name in keep) else 0
-        branches.append(f"SELECT {', '.join(keys)}, {', '.join(cols)}, {flag} AS _keep "
-                        f"FROM {name} WHERE {_nn(keys)}")
+    """Outer joins of the facts' rollups on ``keys``, measures filled with 0. With
+    ``keep``, facts that are not named in it are left-joined to the first one; the
+    others are fully joined after them."""
+    first, *rest = frames
+    rest = sorted(rest, key=lambda f: keep is not None and f[0] in keep)  # left joins first
+    out = _fact(*first, keys)
+    for name, ms in rest:
+        how = "FULL" if keep is None or name in keep else "LEFT"
+        out = f"(SELECT * FROM {out} a_{name} {how} JOIN {_fact(name, ms, keys)} b_{name} USING ({', '.join(keys)}))"
+    ms = ", ".join(f"COALESCE({m}, 0) AS {m}" for _, own in frames for m in own)
+    return f"SELECT {', '.join(keys)}, {ms} FROM {out} z"
+
+
+def _fact(name: str, measures: Sequence[str], keys: Sequence[str]) -> str:
     ks = ", ".join(keys)
-    having = "" if keep is None else "HAVING MAX(_keep) = 1"
-    return (f"SELECT {ks}, " + ", ".join(f"COALESCE(SUM({m}), 0) AS {m}" for m in allm)
-            + f" FROM ({' UNION ALL '.join(branches)}) u GROUP BY {ks} {having}")
+    ms = ", ".join(f"COALESCE(SUM(CAST({m} AS DECIMAL(38,12))), 0) AS {m}" for m in measures)
+    return f"(SELECT {ks}, {ms} FROM {name} WHERE {_nn(keys)} GROUP BY {ks})"
 
 
 def _margin_measures() -> str:
@@ -578,7 +585,7 @@ EVENTS = "ev AS (SELECT event_id, event_type, user_id, value FROM events),\n"
 ORACLE_SQL["sta02_sigma_outliers"] = _sql(
     EVENTS + _sigma("o", "ev", "event_type", "value", 6.0), "SELECT * FROM o")
 ORACLE_SQL["sta03_inliers"] = _sql(
-    EVENTS + _sigma("o", "ev", "event_type", "value", 72.0, keep="inside"), "SELECT * FROM o")
+    EVENTS + _sigma("o", "ev", "event_type", "value", 1.5, keep="inside"), "SELECT * FROM o")
 ORACLE_SQL["sta04_number_outliers"] = _sql(
     f"r AS ({_rollup('sales', ['category_id', 'store_id', 'sku_id'], ['qty'])}),\n"
     + _sigma("o", "r", "category_id", "qty", 6.0),
@@ -589,7 +596,7 @@ ORACLE_SQL["sta05_two_metric_outliers"] = _sql(
 ORACLE_SQL["sta06_category_outliers"] = _sql(
     CHAIN + "c06 AS (SELECT category_id, channel, sku_id, CAST(gross_margin - coupon_cost AS DECIMAL(38,12)) "
             "AS post_coupon_margin FROM chain),\n"
-    + _sigma("o", "c06", "category_id", "post_coupon_margin", 6.0),
+    + _sigma("o", "c06", "category_id", "post_coupon_margin", 3.0),
     "SELECT category_id, channel, sku_id, CAST(post_coupon_margin AS DOUBLE) AS post_coupon_margin FROM o")
 
 ORACLE_SQL["pipe12_abnormal_summary"] = _sql(
@@ -601,12 +608,13 @@ DRILL_M = ["net_sales", "gross_margin", "discount_net", "price_comp", "qty", "co
 ORACLE_SQL["pipe12_abnormal_drill"] = _sql(
     ABN_OUT
     + f"dr AS ({_combine([('sales', DRILL_M), ('coupon', ['coupon_cost'])], ['store_id', 'sku_id', 'channel'])}),\n"
-    + "fl AS (SELECT DISTINCT store_id, sku_id FROM flag),\n",
-    "SELECT d.store_id, d.sku_id, d.channel, "
+    + "fl AS (SELECT store_id, sku_id, min(sku_name) AS sku_name FROM flag GROUP BY store_id, sku_id),\n",
+    "SELECT d.store_id, st.store_name, d.sku_id, fl.sku_name, d.channel, "
     + ", ".join(f"{_round2('d.' + c)} AS {c}" for c in ["net_sales", "cost", "price_comp", "gross_margin", "coupon_cost"])
     + f", {_round2('d.gross_margin - d.coupon_cost')} AS post_coupon_margin, CAST(d.qty AS DOUBLE) AS qty, "
     + f"{_round2(_ratio('d.net_sales', 'd.qty'))} AS unit_price, {_round2(_ratio('d.cost', 'd.qty'))} AS unit_cost "
-      "FROM dr d JOIN fl ON d.store_id = fl.store_id AND d.sku_id = fl.sku_id")
+      "FROM dr d JOIN fl ON d.store_id = fl.store_id AND d.sku_id = fl.sku_id "
+      "LEFT JOIN store st ON d.store_id = st.store_id")
 
 FRESH_M = ["net_sales", "cost", "qty", "gross_margin"]
 FRESH_MARGIN = (FRESH_SALES
@@ -630,7 +638,7 @@ ORACLE_SQL["pipe11_fresh_total"] = _sql(
 ORACLE_SQL["pipe01_union_complete"] = _sql(
     """
 d AS (SELECT CAST(ts AS DATE) AS biz_date FROM events
-      WHERE event_type IN ('view', 'click', 'purchase', 'signup', 'error') AND ts IS NOT NULL),
+      WHERE ts IS NOT NULL),
 c AS (SELECT biz_date, count(*) AS n_rows FROM d GROUP BY biz_date),
 cal AS (SELECT CAST(unnest(generate_series(min(biz_date), max(biz_date), INTERVAL 1 DAY)) AS DATE) AS biz_date FROM d)
 """,
@@ -653,3 +661,125 @@ SELECT 'oi_amount', CAST((SELECT COALESCE(SUM(oi_amount), 0) FROM oi_in) AS DOUB
        CAST((SELECT COALESCE(SUM(alloc_amount), 0) FROM w06_out) + (SELECT COALESCE(SUM(oi_amount), 0) FROM w06_unalloc)
             - (SELECT COALESCE(SUM(oi_amount), 0) FROM oi_in) AS DOUBLE)
 """)
+
+# ------------------------------------------------------------------ further report forms
+
+CHAIN_KEYS = ["category_id", "channel", "sku_id"]
+OI_M = ["alloc_share", "alloc_amount"]
+
+
+def _margin_from(alias: str) -> str:
+    return (_margin_measures().replace("gross_margin", f"{alias}.gross_margin")
+            .replace("net_sales", f"{alias}.net_sales").replace("coupon_cost", f"{alias}.coupon_cost"))
+
+
+def _first_name(name: str, key: str, attr: str, sources: Sequence[str]) -> str:
+    """Master: the name in the first source that has the key, the smallest one there."""
+    src = " UNION ALL ".join(f"SELECT {key}, {attr}, {i} AS prio FROM {s}" for i, s in enumerate(sources))
+    return (f"{name} AS (SELECT {key}, {attr} FROM (SELECT {key}, {attr}, row_number() OVER (PARTITION BY {key} "
+            f"ORDER BY prio, {attr} IS NULL, {attr}) AS rn FROM ({src}) s WHERE {key} IS NOT NULL) t WHERE rn = 1),\n")
+
+
+ORACLE_SQL["pipe04_margin_chain"] = _sql(
+    f"m AS ({_combine([('sales', SALES_M), ('coupon', ['coupon_cost'])], CHAIN_KEYS, keep=['sales'])})",
+    _margin_select("m", CHAIN_KEYS, SALES_M + ["coupon_cost"]))
+
+ORACLE_SQL["pipe13_chain_margin"] = _sql(
+    CHAIN, _margin_select("chain", CHAIN_KEYS, SALES_M + ["coupon_cost"] + OI_M))
+
+PARTIAL = (ALC06 + "lines08 AS (SELECT category_id, store_id, channel, sku_id, net_sales FROM sales WHERE net_sales > 0),\n"
+           + _realloc("r08", "lines08", "w06_out", SC_KEYS, ["sku_id"], "net_sales", "alloc_amount")
+           + f"o08 AS ({_rollup('r08_out', SKU_KEYS, OI_M)}),\n"
+           + f"pm AS ({_combine([('sales', SALES_M), ('coupon', ['coupon_cost']), ('o08', OI_M)], SKU_KEYS, keep=['sales', 'o08'])}),\n")
+ORACLE_SQL["pipe13_partial_margin"] = _sql(
+    PARTIAL, _margin_select("pm", SKU_KEYS, SALES_M + ["coupon_cost"] + OI_M))
+
+ORACLE_SQL["pipe14_enriched_chain"] = _sql(
+    CHAIN + _first_name("skm", "sku_id", "sku_name", ["sales", "coupon"]),
+    "SELECT m.category_id, m.channel, m.sku_id, "
+    + ", ".join(f"CAST(m.{c} AS DOUBLE) AS {c}" for c in SALES_M + ["coupon_cost"] + OI_M)
+    + f", {_margin_from('m')}, k.sku_name, c.module_id, c.module_name, c.category_name FROM chain m "
+      "LEFT JOIN skm k ON m.sku_id = k.sku_id LEFT JOIN category c ON m.category_id = c.category_id")
+
+ORACLE_SQL["pipe14_enriched_company"] = _sql(
+    CO13, "SELECT m.category_id, m.store_id, m.channel, "
+    + ", ".join(f"CAST(m.{c} AS DOUBLE) AS {c}" for c in SALES_M + ["footfall", "coupon_cost"] + OI_M)
+    + f", {_margin_from('m')}, c.module_id, c.module_name, c.category_name, st.store_format, st.store_name FROM cm m "
+      "LEFT JOIN category c ON m.category_id = c.category_id LEFT JOIN store st ON m.store_id = st.store_id")
+
+ORACLE_SQL["pipe14_enriched_scorecard"] = (
+    "SELECT s.*, c.module_id, c.module_name, c.category_name FROM (" + ORACLE_SQL["pipe17_category_scorecard"]
+    + ") s LEFT JOIN (" + _sql("", "SELECT * FROM category") + ") c ON s.category_id = c.category_id")
+
+ORACLE_SQL["pipe15_turnover_category"] = _sql(
+    CO13 + "m15 AS (SELECT *, gross_margin - coupon_cost AS post_coupon_margin FROM cm),\n"
+    + f"t15 AS ({_combine([('m15', MARGIN_M15), ('stock', STOCK_M)], ['store_id', 'category_id'])}),\n",
+    f"SELECT store_id, category_id, {_doubles(MARGIN_M15 + STOCK_M)}, "
+    f"{_ratio('stock_value', str(DAYS), mode='null')} AS daily_stock_value, "
+    f"{_ratio('stock_value', 'own_cost', mode='null')} AS turnover_days FROM t15")
+
+ORACLE_SQL["pipe12_abnormal_list"] = _sql(
+    ABN_OUT, "SELECT t.store_id, t.category_id, t.sku_id, t.sku_name, "
+             "CAST(t.post_coupon_margin AS DOUBLE) AS post_coupon_margin, t.post_coupon_margin_rate, "
+             "st.store_format, st.store_name FROM two t LEFT JOIN store st ON t.store_id = st.store_id")
+
+ORACLE_SQL["pipe03_coupon_type_master"] = _sql(
+    _first_name("ctm", "coupon_type_id", "coupon_type_name", ["coupon_type", "coupon"]),
+    "SELECT coupon_type_id, coupon_type_name FROM ctm")
+
+ORACLE_SQL["pipe03_sku_master"] = _sql(
+    _first_name("skm", "sku_id", "sku_name", ["sales", "coupon", "stock"]), "SELECT sku_id, sku_name FROM skm")
+
+CHAIN_SCOPE = (_active("act", modules=("1",)) + "scope AS (SELECT DISTINCT category_id, channel, 1 AS in_scope FROM sales "
+               "WHERE category_id IN (SELECT category_id FROM act)),\n")
+ORACLE_SQL["flt12_scope_range_chain"] = _sql(CHAIN_SCOPE, "SELECT category_id, channel, in_scope FROM scope")
+ORACLE_SQL["flt12_scope_semi"] = _sql(
+    CHAIN_SCOPE, "SELECT category_id, channel, CAST(SUM(coupon_cost) AS DOUBLE) AS coupon_cost FROM coupon "
+                 "WHERE (category_id, channel) IN (SELECT category_id, channel FROM scope) GROUP BY category_id, channel")
+
+
+def _control(rows: Sequence[tuple[str, str, str]]) -> str:
+    """metric, raw total and result total (scalar SQL)."""
+    return " UNION ALL ".join(
+        f"SELECT '{m}' AS metric, CAST({raw} AS DOUBLE) AS raw_total, CAST({res} AS DOUBLE) AS result_total, "
+        f"CAST({res} - {raw} AS DOUBLE) AS diff" for m, raw, res in rows)
+
+
+def _total(col: str, src: str) -> str:
+    return f"(SELECT CAST(COALESCE(SUM({col}), 0) AS DECIMAL(38,4)) FROM {src})"
+
+
+CARD = f"sc AS ({_combine([('sales', SC_S), ('coupon', SC_C), ('oi_in', ['oi_amount']), ('stock', ['own_cost', 'stock_value'])], ['category_id'])}),\n"
+ORACLE_SQL["agg13_scorecard"] = _sql(CARD, _control([
+    (m, _total(m, src), _total(m, "sc")) for m, src in
+    (("net_sales", "sales"), ("coupon_cost", "coupon"), ("oi_amount", "oi_in"), ("stock_value", "stock"))]))
+
+ORACLE_SQL["agg13_fresh"] = _sql(ALC07, _control([
+    ("oi_amount", _total("oi_amount", "oi_in"),
+     f"({_total('alloc_amount', 'w07_out')} + {_total('oi_amount', 'w07_unalloc')})"),
+    ("fresh_oi_amount", _total("oi_amount", "oi_in WHERE category_id IN (SELECT category_id FROM scope07)"),
+     _total("alloc_amount", "h2_out"))]))
+
+ORACLE_SQL["agg13_chain"] = _sql(CHAIN, _control([
+    ("oi_amount", _total("oi_amount", "oi_in"), _total("alloc_amount", "w09_out")),
+    ("oi_matched", _total("alloc_amount", "w09_out WHERE alloc_level = 1"),
+     _total("alloc_amount", f"chain WHERE channel <> {SENT}")),
+    ("net_sales", _total("net_sales", "sales"), _total("net_sales", "chain"))]))
+
+_COVER = {"sales": "l_returnflag <> 'A' AND p_brand <> 'Brand#25' AND l_suppkey % 10 <> 3",
+          "coupon": "(l_linestatus = 'F' AND l_returnflag IN ('N', 'A')) OR (l_returnflag = 'R' AND "
+                    "(p_brand = 'Brand#25' OR l_suppkey % 10 = 3))",
+          "oi": "l_returnflag = 'A'", "stock": "l_linestatus = 'O'",
+          "coupon_type": "l_returnflag = 'R' AND c_mktsegment <> 'BUILDING'"}
+_COVER["any"] = " OR ".join(f"({_COVER[f]})" for f in ("sales", "coupon", "oi", "stock"))
+ORACLE_SQL["agg13_fact_coverage"] = _sql("", " UNION ALL ".join(
+    f"SELECT '{f}' AS fact, count(*) FILTER (WHERE {c}) AS rows_inside, count(*) FILTER (WHERE NOT ({c})) AS rows_outside, "
+    f"CAST(COALESCE(SUM(price) FILTER (WHERE {c}), 0) AS DOUBLE) AS price_inside, "
+    f"CAST(COALESCE(SUM(price) FILTER (WHERE NOT ({c})), 0) AS DOUBLE) AS price_outside FROM lb" for f, c in _COVER.items()))
+
+_NULLS = {"sales": (SKU_KEYS, "net_sales"), "coupon": (SKU_KEYS, "coupon_cost"),
+          "oi": (["supplier_id", "category_id", "store_id"], "oi_amount"),
+          "stock": (["category_id", "store_id", "sku_id"], "stock_value")}
+ORACLE_SQL["agg13_null_keys"] = _sql("", " UNION ALL ".join(
+    f"SELECT '{f}' AS fact, count(*) AS dropped_rows, CAST(COALESCE(SUM({m}), 0) AS DOUBLE) AS dropped_amount "
+    f"FROM {f} WHERE NOT ({_nn(keys)})" for f, (keys, m) in _NULLS.items()))

@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from profitlens.functions.expr import MONEY, ratio, round_half_even
-from profitlens.operators.dims import enrich, first_wins
+from profitlens.functions.expr import WIDE_MONEY, ratio, round_half_even
+from profitlens.operators.dims import enrich
 from profitlens.operators.rollup import combine
 from profitlens.operators.stats import outside_band
-from profitlens.plans.margin import sales_coupon_margin
+from profitlens.plans.margin import sales_coupon_margin, store_names
 
 ABN_KEYS = ("category_id", "store_id", "sku_id", "sku_name")
 # Category names excluded by exact match (reference: the
@@ -65,7 +65,7 @@ def abnormal_summary(sales: DataFrame, coupon: DataFrame, category: DataFrame, s
     out = two_metric_outliers(working_data(sales, coupon), k)
     out = (out.join(abnormal_categories(category), "category_id", "left_semi")
            .where(F.col("post_coupon_margin") < 0))
-    out = enrich(out, first_wins([store], "store_id", ["store_format", "store_name"]), "store_id")
+    out = enrich(out, store_names(store), "store_id")
     return out.select("store_format", "store_id", "store_name", "category_id", "sku_id", "sku_name",
                       round_half_even("post_coupon_margin", 2).alias("post_coupon_margin"))
 
@@ -76,20 +76,28 @@ def channel_drill(sales: DataFrame, coupon: DataFrame) -> DataFrame:
     sm = ["net_sales", "gross_margin", "discount_net", "price_comp", "qty", "cost"]
     m = combine({"s": sales.select(*keys, *sm), "c": coupon.select(*keys, "coupon_cost")}, keys,
                 {"s": sm, "c": ["coupon_cost"]})
-    return (m.withColumn("post_coupon_margin", (F.col("gross_margin") - F.col("coupon_cost")).cast(MONEY))
+    return (m.withColumn("post_coupon_margin", (F.col("gross_margin") - F.col("coupon_cost")).cast(WIDE_MONEY))
             .withColumn("unit_price", ratio("net_sales", "qty"))
             .withColumn("unit_cost", ratio("cost", "qty")))
 
 
-def abnormal_drill(sales: DataFrame, coupon: DataFrame, category: DataFrame, k: float = 6.0) -> DataFrame:
-    """PIPE-12 sheet 3: channel drill-down of the abnormal store x SKU list."""
+def abnormal_list(sales: DataFrame, coupon: DataFrame, store: DataFrame, k: float = 6.0) -> DataFrame:
+    """PIPE-12 sheet 1: every two-metric outlier with its store's names."""
+    return enrich(two_metric_outliers(working_data(sales, coupon), k), store_names(store), "store_id")
+
+
+def abnormal_drill(sales: DataFrame, coupon: DataFrame, category: DataFrame, store: DataFrame,
+                   k: float = 6.0) -> DataFrame:
+    """PIPE-12 sheet 3: channel drill-down of the abnormal store x SKU list, with
+    store and SKU names."""
     out = two_metric_outliers(working_data(sales, coupon), k)
     flagged = (out.join(abnormal_categories(category), "category_id", "left_semi")
                .where(F.col("post_coupon_margin") < 0)
-               .select("store_id", "sku_id").distinct())
+               .groupBy("store_id", "sku_id").agg(F.min("sku_name").alias("sku_name")))
     d = channel_drill(sales, coupon).join(flagged, ["store_id", "sku_id"], "inner")
+    d = enrich(d, store_names(store), "store_id", ["store_name"])
     money = ["net_sales", "cost", "price_comp", "gross_margin", "coupon_cost", "post_coupon_margin"]
-    return d.select("store_id", "sku_id", "channel",
+    return d.select("store_id", "store_name", "sku_id", "sku_name", "channel",
                     *[round_half_even(c, 2).alias(c) for c in money],
                     F.col("qty").cast("double").alias("qty"),
                     round_half_even("unit_price", 2).alias("unit_price"),

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from profitlens.operators.dims import first_wins
 from profitlens.operators.rollup import combine, date_completeness
 
 TYPE_MEASURES = ("net_sales_issued", "margin_issued", "net_sales_redeemed", "margin_redeemed",
@@ -31,3 +32,9 @@ def union_extracts(extracts: Sequence[DataFrame]) -> DataFrame:
 def union_with_completeness(extracts: Sequence[DataFrame], date_col: str) -> DataFrame:
     """PIPE-01: union of period extracts and the per-day completeness check."""
     return date_completeness(union_extracts(extracts), date_col)
+
+
+def coupon_type_master(coupon_type: DataFrame, coupon: DataFrame) -> DataFrame:
+    """PIPE-03: coupon type names, the type extract first, then the coupon lines."""
+    return first_wins([d.select("coupon_type_id", "coupon_type_name") for d in (coupon_type, coupon)],
+                      "coupon_type_id", ["coupon_type_name"])

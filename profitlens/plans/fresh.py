@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from profitlens.functions.expr import MONEY, matches_any, ratio
+from profitlens.functions.expr import WIDE_MONEY, matches_any, ratio
 from profitlens.operators.allocate import Level, reallocate_single, waterfall
 from profitlens.operators.rollup import combine, rollup
 from profitlens.session import materialize
@@ -57,13 +57,13 @@ def fresh_oi(sales: DataFrame, oi: DataFrame, category: DataFrame) -> DataFrame:
     on the sentinel store with share 1. Columns: store, SKU, share, SKU amount,
     store x SKU amount."""
     hop1, _ = fresh_oi_hop1(sales, oi, category)
-    # SKU totals of hop 1 (AGG-11) are the pool of hop 2: small, read twice, materialised once
+    # SKU totals of hop 1 (AGG-11) are the pool of hop 2: small, read twice
     sku_amount = materialize(rollup(hop1, ["sku_id"], ["alloc_amount"])
                              .select("sku_id", F.col("alloc_amount").alias("sku_amount")))
     lines = (fresh_sales(sales, category).where(F.col("net_sales") > 0)
              .select("store_id", "sku_id", "net_sales"))
     out = reallocate_single(lines, sku_amount, ["sku_id"], "net_sales", "sku_amount", ("store_id",),
-                            residual_share=1.0)
+                            residual_share=1.0, pool_is_rolled_up=True)
     return out.select("store_id", "sku_id", "alloc_share", F.col("pool_amount").alias("sku_amount"),
                       "alloc_amount")
 
@@ -77,6 +77,6 @@ def fresh_total(sales: DataFrame, coupon: DataFrame, oi: DataFrame, category: Da
     out = combine({"m": m.select(*keys, "net_sales", "gross_margin", "coupon_cost"),
                    "oi": o.select(*keys, F.col("alloc_amount").alias("oi_amount"))},
                   keys, {"m": ["net_sales", "gross_margin", "coupon_cost"], "oi": ["oi_amount"]})
-    total = (F.col("gross_margin") - F.col("coupon_cost") + F.col("oi_amount")).cast(MONEY)
+    total = (F.col("gross_margin") - F.col("coupon_cost") + F.col("oi_amount")).cast(WIDE_MONEY)
     return (out.withColumn("total_margin", total)
             .withColumn("total_margin_rate", ratio(total, "net_sales")))

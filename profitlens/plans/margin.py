@@ -8,10 +8,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from profitlens.functions.expr import MONEY, matches_any, not_matching, ratio
-from profitlens.operators.allocate import Level, reallocate_single, waterfall
+from profitlens.functions.expr import MONEY, WIDE_MONEY, matches_any, not_matching, ratio
+from profitlens.operators.allocate import Level, pool_rollup, reallocate_single, waterfall
 from profitlens.operators.dims import enrich, first_wins
 from profitlens.operators.rollup import combine, rollup
+from profitlens.session import materialize
 
 # Fixed values (reference): OI deduction types that are not supplier income
 # ("handling" | "porterage"), and the disabled-category marker.
@@ -21,6 +22,7 @@ DISABLED_PATTERN = "删除禁用"
 SALES_MEASURES = ("net_sales", "cost", "qty", "gross_margin", "discount_net", "price_comp", "shrink")
 SKU_KEYS = ("category_id", "store_id", "channel", "sku_id")
 STORE_CHANNEL_KEYS = ("category_id", "store_id", "channel")
+CHAIN_KEYS = ("category_id", "channel", "sku_id")
 
 
 def supplier_income(oi: DataFrame, exclude: str = OI_EXCLUDE_PATTERN) -> DataFrame:
@@ -40,10 +42,17 @@ def active_categories(category: DataFrame, modules: Sequence[str] | None = None,
     return category.where(cond).select("category_id").distinct()
 
 
+def scope_range(sales: DataFrame, categories: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """FLT-12: the distinct keys that the chosen categories sell under, marked in
+    scope (PRJ-07); other facts are cut to it by a semi join."""
+    return (sales.join(categories, "category_id", "left_semi").select(*keys).distinct()
+            .withColumn("in_scope", F.lit(1)))
+
+
 def with_margin_measures(df: DataFrame) -> DataFrame:
     """Derived measures (§2.10): rates taken before the NULL fill become 0 when
     undefined; the post-coupon rate is taken after it, so 0/0 stays NULL."""
-    pcm = (F.col("gross_margin") - F.col("coupon_cost")).cast(MONEY)
+    pcm = (F.col("gross_margin") - F.col("coupon_cost")).cast(WIDE_MONEY)
     return (df.withColumn("margin_rate", ratio("gross_margin", "net_sales", fill=0))
             .withColumn("coupon_rate", ratio("coupon_cost", "net_sales", fill=0))
             .withColumn("post_coupon_margin", pcm)
@@ -58,8 +67,9 @@ def sales_coupon_margin(sales: DataFrame, coupon: DataFrame, keys: Sequence[str]
     the standard; PIPE-05 with ``how='full'``). ``extra`` adds more facts, e.g.
     allocated OI (PIPE-13); their keys are kept when ``keep_extra``."""
     keys = list(keys)
-    frames = {"sales": sales.select(*keys, *measures), "coupon": coupon.select(*keys, "coupon_cost")}
-    ms = {"sales": list(measures), "coupon": ["coupon_cost"]}
+    frames = {"sales": sales.select(*keys, *measures, F.lit(1).cast(MONEY).alias("_sold")),
+              "coupon": coupon.select(*keys, "coupon_cost")}
+    ms = {"sales": [*measures, "_sold"], "coupon": ["coupon_cost"]}
     for tag, (df, cols) in (extra or {}).items():
         frames[tag] = df.select(*keys, *cols)
         ms[tag] = list(cols)
@@ -68,7 +78,9 @@ def sales_coupon_margin(sales: DataFrame, coupon: DataFrame, keys: Sequence[str]
     else:
         keep = ["sales"] + ([t for t in (extra or {})] if keep_extra else [])
     out = combine(frames, keys, ms, keep=keep)
-    return with_margin_measures(out)
+    if how != "full":  # coupon cost without sales is not part of the report, though another fact keeps its key
+        out = out.withColumn("coupon_cost", F.when(F.col("_sold") > 0, F.col("coupon_cost")).otherwise(F.lit(0)))
+    return with_margin_measures(out.drop("_sold"))
 
 
 # ---------------------------------------------------------------- OI waterfalls
@@ -111,8 +123,11 @@ def realloc_to_sku(sales: DataFrame, allocated: DataFrame) -> DataFrame:
     """ALC-08: re-allocate an allocated result at category x store x channel down
     to SKU over positive sales lines; unmatched amounts go to the sentinel SKU."""
     lines = sales.where(F.col("net_sales") > 0).select(*STORE_CHANNEL_KEYS, "sku_id", "net_sales")
-    pool = allocated.select(*STORE_CHANNEL_KEYS, "alloc_amount")
-    return reallocate_single(lines, pool, STORE_CHANNEL_KEYS, "net_sales", "alloc_amount", ("sku_id",))
+    # the waterfall's result is the pool of several branches: one durable intermediate
+    pool = materialize(pool_rollup(allocated.select(*STORE_CHANNEL_KEYS, "alloc_amount"), STORE_CHANNEL_KEYS,
+                                   "alloc_amount"), durable=True)
+    return reallocate_single(lines, pool, STORE_CHANNEL_KEYS, "net_sales", "alloc_amount", ("sku_id",),
+                             pool_is_rolled_up=True)
 
 
 def oi_rerolled(allocated: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -149,14 +164,52 @@ def sku_master(sales: DataFrame, coupon: DataFrame, stock: DataFrame | None = No
     return first_wins([s.select("sku_id", "sku_name") for s in srcs], "sku_id", ["sku_name"])
 
 
+def category_names(category: DataFrame) -> DataFrame:
+    """Category master for enrichment: module and category names, one row per category."""
+    return first_wins([category], "category_id", ["module_id", "module_name", "category_name"])
+
+
+def store_names(store: DataFrame) -> DataFrame:
+    """Store master for enrichment: format and name, one row per store."""
+    return first_wins([store], "store_id", ["store_format", "store_name"])
+
+
+def partial_sku_margin(sales: DataFrame, coupon: DataFrame, oi: DataFrame, category: DataFrame) -> DataFrame:
+    """PIPE-13 (partial): PIPE-04 ⟗ ALC-08, the company-level OI re-allocated to SKU."""
+    alloc, _ = oi_store_category(sales, oi, category)
+    o = rollup(realloc_to_sku(sales, alloc), SKU_KEYS, ["alloc_share", "alloc_amount"])
+    return sales_coupon_margin(sales, coupon, SKU_KEYS, how="left",
+                               extra={"oi": (o, ["alloc_share", "alloc_amount"])})
+
+
+def chain_margin(sales: DataFrame, coupon: DataFrame) -> DataFrame:
+    """PIPE-04 (chain): sales ⟕ coupon at category x channel x SKU."""
+    return sales_coupon_margin(sales, coupon, CHAIN_KEYS, how="left")
+
+
+def chain_sku_margin(sales: DataFrame, coupon: DataFrame, oi: DataFrame) -> DataFrame:
+    """PIPE-13 (chain): PIPE-04 at category x channel x SKU ⟗ ALC-09 OI."""
+    o = oi_rerolled(oi_chain_sku(sales, oi), CHAIN_KEYS)
+    return sales_coupon_margin(sales, coupon, CHAIN_KEYS, how="left",
+                               extra={"oi": (o, ["alloc_share", "alloc_amount"])})
+
+
 def enriched_sku_margin(sales: DataFrame, coupon: DataFrame, oi: DataFrame, category: DataFrame,
                         store: DataFrame, modules: Sequence[str]) -> DataFrame:
     """PIPE-14: the store x SKU margin with category, SKU and store names."""
     m = sku_margin_with_oi(sales, coupon, oi, category, modules)
-    cat = first_wins([category], "category_id", ["module_id", "module_name", "category_name"])
-    st = first_wins([store], "store_id", ["store_format", "store_name"])
-    m = enrich(m, cat, "category_id")
-    m = enrich(m, st, "store_id")
+    m = enrich(enrich(m, category_names(category), "category_id"), store_names(store), "store_id")
     return enrich(m, sku_master(sales, coupon), "sku_id")
 
 
+def enriched_chain_margin(sales: DataFrame, coupon: DataFrame, oi: DataFrame, category: DataFrame) -> DataFrame:
+    """PIPE-14 (chain): the chain margin with SKU and category names."""
+    m = enrich(chain_sku_margin(sales, coupon, oi), sku_master(sales, coupon), "sku_id")
+    return enrich(m, category_names(category), "category_id")
+
+
+def enriched_company_margin(sales: DataFrame, coupon: DataFrame, oi: DataFrame, category: DataFrame,
+                            store: DataFrame) -> DataFrame:
+    """PIPE-14 (company): the company margin with category and store names."""
+    m = enrich(company_margin(sales, coupon, oi, category), category_names(category), "category_id")
+    return enrich(m, store_names(store), "store_id")

@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from profitlens.functions.expr import MONEY, ratio
+from profitlens.functions.expr import WIDE_MONEY, ratio
+from profitlens.operators.dims import enrich
 from profitlens.operators.rollup import combine, rollup
 from profitlens.plans.margin import (
-    oi_chain_sku, oi_rerolled, sales_coupon_margin, sku_margin_with_oi, supplier_income,
+    category_names, chain_sku_margin, company_margin, sku_margin_with_oi, supplier_income,
 )
 
 STOCK_MEASURES = ("own_cost", "stock_qty", "stock_value")
@@ -28,22 +29,25 @@ def store_turnover(sales: DataFrame, coupon: DataFrame, oi: DataFrame, stock: Da
     """PIPE-15: store x SKU margin (channel dropped, AGG-12) ⟗ stock; daily stock
     value = stock value / days; turnover days = stock value / own cost (NULL
     when own cost is 0)."""
-    keys = ["store_id", "category_id", "sku_id"]
     m = sku_margin_with_oi(sales, coupon, oi, category, modules)
-    out = combine({"m": m.select(*keys, *MARGIN_MEASURES), "s": stock.select(*keys, *STOCK_MEASURES)},
+    return _turnover(m, stock, ["store_id", "category_id", "sku_id"], days)
+
+
+def category_turnover(sales: DataFrame, coupon: DataFrame, oi: DataFrame, stock: DataFrame,
+                      category: DataFrame, days: int) -> DataFrame:
+    """PIPE-15 (category): company margin by store x category (channel dropped) ⟗
+    stock at the same grain."""
+    m = company_margin(sales, coupon, oi, category)
+    return _turnover(m, stock, ["store_id", "category_id"], days)
+
+
+def _turnover(margin: DataFrame, stock: DataFrame, keys: list[str], days: int) -> DataFrame:
+    out = combine({"m": margin.select(*keys, *MARGIN_MEASURES), "s": stock.select(*keys, *STOCK_MEASURES)},
                   keys, {"m": list(MARGIN_MEASURES), "s": list(STOCK_MEASURES)})
     return (out.withColumn("daily_stock_value", ratio("stock_value", F.lit(days), zero_den="null"))
             .withColumn("turnover_days", ratio("stock_value", "own_cost", zero_den="null")))
 
 
-def chain_sku_margin(sales: DataFrame, coupon: DataFrame, oi: DataFrame) -> DataFrame:
-    """PIPE-04 + PIPE-13 chain-wide: category x channel x SKU margin ⟗ ALC-09 OI."""
-    keys = ["category_id", "channel", "sku_id"]
-    o = oi_rerolled(oi_chain_sku(sales, oi), keys)
-    return sales_coupon_margin(sales, coupon, keys, how="left",
-                               extra={"oi": (o, ["alloc_share", "alloc_amount"])})
-
-
 def sku_turnover(sales: DataFrame, coupon: DataFrame, oi: DataFrame, stock: DataFrame,
                  days: int) -> DataFrame:
     """PIPE-16: chain SKU margin (channel dropped) ⋈ stock (inner); total margin
@@ -54,7 +58,7 @@ def sku_turnover(sales: DataFrame, coupon: DataFrame, oi: DataFrame, stock: Data
     ms = rollup(m, keys, list(MARGIN_MEASURES))
     st = stock_rollup(stock, keys)
     out = ms.join(st, keys, "inner")
-    total = (F.col("post_coupon_margin") + F.col("alloc_amount")).cast(MONEY)
+    total = (F.col("post_coupon_margin") + F.col("alloc_amount")).cast(WIDE_MONEY)
     return (out.withColumn("total_margin_rate", ratio(total, "net_sales", zero_den="null"))
             .withColumn("annual_turns",
                         ratio(F.col("own_cost") * F.lit(days * 12), "stock_value", zero_den="null")))
@@ -76,7 +80,7 @@ def category_scorecard(sales: DataFrame, coupon: DataFrame, oi: DataFrame, stock
                    "k": stock.select(*keys, "own_cost", "stock_value")},
                   keys, {"s": list(SCORECARD_SALES), "c": list(SCORECARD_COUPON), "o": ["oi_amount"],
                          "k": ["own_cost", "stock_value"]})
-    pcm = (F.col("gross_margin") - F.col("coupon_cost")).cast(MONEY)
+    pcm = (F.col("gross_margin") - F.col("coupon_cost")).cast(WIDE_MONEY)
     return (out.withColumn("margin_rate", ratio("gross_margin", "net_sales", fill=0))
             .withColumn("coupon_rate", ratio("coupon_cost", "net_sales", fill=0))
             .withColumn("post_coupon_margin", pcm)
@@ -84,3 +88,9 @@ def category_scorecard(sales: DataFrame, coupon: DataFrame, oi: DataFrame, stock
             .withColumn("turnover_days", ratio("stock_value", "own_cost", zero_den="null"))
             .withColumn("turns_per_year", ratio(F.col("own_cost") * F.lit(365), "stock_value",
                                                 zero_den="null")))
+
+
+def enriched_scorecard(sales: DataFrame, coupon: DataFrame, oi: DataFrame, stock: DataFrame,
+                       category: DataFrame) -> DataFrame:
+    """PIPE-14 (scorecard): the annual scorecard with category names."""
+    return enrich(category_scorecard(sales, coupon, oi, stock), category_names(category), "category_id")

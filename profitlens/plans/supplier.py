@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from profitlens.functions.expr import MONEY, round_half_even
+from profitlens.functions.expr import WIDE_MONEY, round_half_even
 from profitlens.operators.allocate import allocate_with_fallback
 from profitlens.operators.dims import enrich, first_wins
 from profitlens.operators.rollup import combine, rollup
@@ -45,7 +45,7 @@ def supplier_net_margin(sales: DataFrame, oi: DataFrame, coupon: DataFrame) -> D
                  "coupon": coup},
                 KEYS, {"sales": ["net_sales", "gross_margin"], "oi": ["oi_amount"],
                        "coupon": ["coupon_cost"]})
-    m = m.withColumn("net_margin", (F.col("gross_margin") - F.col("coupon_cost") + F.col("oi_amount")).cast(MONEY))
+    m = m.withColumn("net_margin", (F.col("gross_margin") - F.col("coupon_cost") + F.col("oi_amount")).cast(WIDE_MONEY))
     m = enrich(m, supplier_master(sales, inc, coupon), "supplier_id")
     return m.select("category_id", "supplier_id", "supplier_name",
                     *[round_half_even(c, 2).alias(c)

@@ -8,14 +8,16 @@ names, and each column is conformed to the fact's declared type.
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from profitlens.functions.expr import MONEY, conform_code, nan_to_null
+from profitlens.functions.expr import MONEY, conform_code
 
 # Reference column headers and the canonical name each maps to.
 HEADER_ALIASES: dict[str, str] = {
@@ -90,7 +92,7 @@ SCHEMAS: dict[str, T.StructType] = {
     "sales": T.StructType(_fields(_CODES, _NAMES, [
         "net_sales", "cost", "qty", "gross_margin", "discount_net", "price_comp", "shrink", "footfall",
         "net_sales_pre_discount", "system_margin"], ["biz_date"])),
-    "coupon": T.StructType(_fields(_CODES + ["coupon_type_id"], _NAMES + ["department"], [
+    "coupon": T.StructType(_fields(_CODES + ["coupon_type_id"], _NAMES + ["department", "coupon_type_name"], [
         "coupon_cost", "coupon_total", "coupon_supplier_borne", "coupon_platform_borne"], ["biz_date"])),
     "coupon_type": T.StructType(_fields(["store_id", "coupon_type_id"], ["coupon_type_name"], [
         "net_sales_issued", "margin_issued", "net_sales_redeemed", "margin_redeemed", "comp_net_alloc",
@@ -106,73 +108,174 @@ SCHEMAS: dict[str, T.StructType] = {
 CODE_COLUMNS = {"category_id", "store_id", "channel", "sku_id", "supplier_id", "coupon_type_id", "module_id"}
 
 
+_LEGACY_CHARSETS = "spark.sql.legacy.javaCharsets"
+
+
+def _needs_legacy(encoding: str) -> bool:
+    return encoding.upper().replace("-", "") not in ("UTF8", "USASCII", "ISO88591", "UTF16", "UTF16BE", "UTF16LE",
+                                                     "UTF32")
+
+
 def _charset_conf(spark: SparkSession, encoding: str) -> None:
-    # Spark 4 accepts only a short list of CSV charsets unless the legacy Java
-    # charset lookup is enabled; GBK needs it (S17).
-    if encoding.upper().replace("-", "") not in ("UTF8", "USASCII", "ISO88591", "UTF16", "UTF16BE",
-                                                 "UTF16LE", "UTF32"):
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    """Spark 4 accepts only a short list of CSV charsets unless the legacy Java
+    charset lookup is enabled; GBK needs it (S17). Frames are lazy and the setting
+    must hold when they run, so a reader leaves it on."""
+    if _needs_legacy(encoding):
+        spark.conf.set(_LEGACY_CHARSETS, "true")
+
+
+@contextmanager
+def _charset(spark: SparkSession, encoding: str):
+    """The same for a sink, which runs at once: the setting is put back."""
+    before = spark.conf.get(_LEGACY_CHARSETS, None)
+    _charset_conf(spark, encoding)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_LEGACY_CHARSETS)
+        else:
+            spark.conf.set(_LEGACY_CHARSETS, before)
 
 
-def canonical_columns(df: DataFrame, aliases: Mapping[str, str] = HEADER_ALIASES) -> DataFrame:
-    """Rename business headers to canonical names (PRJ-02). Headers are
+def canonical_columns(df: DataFrame, headers: Mapping[str, str] | None = None,
+                      aliases: Mapping[str, str] = HEADER_ALIASES) -> DataFrame:
+    """Rename business headers to canonical names (PRJ-02). ``headers`` gives the
+    header of each column where it is not the column's name. Headers are
     whitespace-stripped first; when two headers map to one name the first wins."""
     seen: set[str] = set()
     cols = []
     for c in df.columns:
-        name = aliases.get(c.strip(), c.strip())
-        if name in seen:
+        header = (headers or {}).get(c, c).strip()
+        name = aliases.get(header, header)
+        if name in seen or not name:
             continue
         seen.add(name)
         cols.append(F.col(f"`{c}`").alias(name))
     return df.select(*cols)
 
 
+def _parsed(c: str, t: T.DataType) -> F.Column:
+    """Text to its declared type; what does not parse is NULL (money straight to
+    DECIMAL, so no digit is lost to a double)."""
+    text = F.btrim(F.col(f"`{c}`").cast("string"))
+    if isinstance(t, T.DecimalType):
+        return F.when(F.lower(text).rlike("^[+-]?nan$"), F.lit(None)).otherwise(text).try_cast(t)
+    return text.try_cast("date")
+
+
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Cast canonical text columns to the declared schema of ``table``:
     codes -> trimmed strings (missing -> ``__NA__``), money -> DECIMAL via a
-    tolerant cast (NaN and text -> NULL), dates -> DATE. Unknown columns are kept."""
+    tolerant cast (NaN and text -> NULL, see ``reject_report``), dates -> DATE.
+    Unknown columns are kept."""
     schema = {f.name: f.dataType for f in SCHEMAS[table].fields}
     out = []
     for c in df.columns:
         t = schema.get(c)
         if t is None:
-            out.append(F.col(c))
+            out.append(F.col(f"`{c}`"))
         elif c in CODE_COLUMNS:
             out.append(conform_code(c).alias(c))
-        elif isinstance(t, T.DecimalType):
-            out.append(nan_to_null(F.col(c).try_cast("double")).try_cast(t).alias(c))
-        elif isinstance(t, T.DateType):
-            out.append(F.to_date(F.btrim(F.col(c).cast("string"))).alias(c))
+        elif isinstance(t, (T.DecimalType, T.DateType)):
+            out.append(_parsed(c, t).alias(c))
         else:
             out.append(F.btrim(F.col(c).cast("string")).alias(c))
     return df.select(*out)
 
 
-def read_extract(spark: SparkSession, path: str, table: str, encoding: str = "UTF-8") -> DataFrame:
-    """IO-01/02/03/15: CSV extract(s) -> conformed fact. ``encoding='GBK'`` reads
-    the "ANSI" exports. ``path`` may be a folder or glob of period files."""
+def reject_report(raw: DataFrame, table: str) -> DataFrame:
+    """For every money and date column of a raw extract (``read_raw``): values that
+    are there but do not parse, and so are NULL after ``conform``. One pass."""
+    own = [(f.name, f.dataType) for f in SCHEMAS[table].fields
+           if f.name in raw.columns and isinstance(f.dataType, (T.DecimalType, T.DateType))]
+    given = lambda c: (F.length(F.btrim(F.col(c))) > 0) & ~F.lower(F.btrim(F.col(c))).rlike("^[+-]?nan$")
+    counts = raw.agg(*[F.count(F.when(given(c) & _parsed(c, t).isNull(), 1)).alias(c) for c, t in own],
+                     F.count(F.lit(1)).alias("_rows"))
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("rejected"),
+                                                      F.col("_rows").alias("rows")) for c, _ in own])).alias("r")
+                         ).select("r.*")
+
+
+def with_schema(df: DataFrame, table: str) -> DataFrame:
+    """The declared columns of ``table`` in order; those an extract lacks are NULL."""
+    return df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                       for f in SCHEMAS[table].fields])
+
+
+def _lines(spark: SparkSession, paths, encoding: str) -> DataFrame:
+    """Lines of the files with their file and place in reading order."""
+    lines = (spark.read.schema("line string").option("sep", "\u0001").option("quote", "")
+             .option("encoding", encoding).csv(paths))
+    return lines.select("line", F.col("_metadata.file_path").alias("file"),
+                        F.col("_metadata.file_block_start").alias("block"),
+                        F.monotonically_increasing_id().alias("place"))
+
+
+def _headers(spark: SparkSession, paths, encoding: str, skip_rows: int) -> dict[tuple[str, ...], list[str]]:
+    """Files by header. The first lines of all files are found in one job."""
+    first = F.slice(F.array_sort(F.collect_list(F.struct("place", "line"))), skip_rows + 1, 1)
+    lines = _lines(spark, paths, encoding)
+    starts = lines.where("block = 0").groupBy("file").agg(F.min("place").alias("start"))
+    rows = (lines.where("block = 0").join(starts, "file").where(F.col("place") <= F.col("start") + 2 * skip_rows + 8)
+            .groupBy("file").agg(first.alias("l")).select("file", F.col("l")[0]["line"].alias("line")).collect())
+    out: dict[tuple[str, ...], list[str]] = {}
+    for r in sorted(rows, key=lambda r: r.file):
+        if r.line is not None:
+            header = tuple(next(csv.reader([r.line.lstrip("\ufeff")])))
+            out.setdefault(header, []).append(r.file)
+    return out
+
+
+def read_raw(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8", skip_rows: int = 0) -> DataFrame:
+    """CSV file(s) as text under canonical column names. Every file's own header
+    names its columns: files are grouped by header, each group is read at once and
+    the groups are put together by name (a column that a file lacks is NULL).
+    ``skip_rows`` lines before the header are left out."""
     _charset_conf(spark, encoding)
-    raw = (spark.read.option("header", True).option("inferSchema", False)
-           .option("encoding", encoding).csv(path))
-    return conform(canonical_columns(raw), table)
+    out = None
+    for header, files in _headers(spark, path, encoding, skip_rows).items():
+        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
+        if skip_rows:
+            lines = _lines(spark, files, encoding)
+            starts = lines.where("block = 0").groupBy("file").agg(F.min("place").alias("start"))
+            ddl = ", ".join(f"{c} string" for c in schema.names)
+            rows = (lines.join(starts, "file")
+                    .where((F.col("block") > 0) | (F.col("place") > F.col("start") + skip_rows))
+                    .select(F.from_csv("line", ddl).alias("r")).select("r.*"))
+        else:
+            rows = spark.read.schema(schema).option("header", True).option("encoding", encoding).csv(files)
+        part = canonical_columns(rows, dict(zip(schema.names, header)))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    if out is None:
+        raise ValueError(f"no header line in {path}")
+    return out
+
+
+def read_extract(spark: SparkSession, path: str | list[str], table: str, encoding: str = "UTF-8",
+                 skip_rows: int = 0) -> DataFrame:
+    """IO-01/02/03/15: CSV extract(s) -> conformed fact. ``encoding='GBK'`` reads
+    the "ANSI" exports. ``path`` may be a folder, a glob or a list of period files
+    whose columns come in any order."""
+    return conform(read_raw(spark, path, encoding, skip_rows), table)
 
 
 def write_csv(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
     """IO-05/06/07: CSV sink with header (UTF-8 or GBK)."""
-    _charset_conf(df.sparkSession, encoding)
-    df.write.mode("overwrite").option("header", True).option("encoding", encoding).csv(path)
+    with _charset(df.sparkSession, encoding):
+        df.write.mode("overwrite").option("header", True).option("encoding", encoding).csv(path)
 
 
 def write_report(df: DataFrame, out_dir: str, report: str, partition_by: tuple[str, ...] = (),
                  fmt: str = "parquet") -> str:
-    """IO-08/IO-14: one report directory, partitioned by e.g. company / period."""
+    """IO-08/IO-14: one report directory, partitioned by e.g. company / period.
+    Only the partitions that df holds are replaced; other periods stay."""
     path = f"{out_dir.rstrip('/')}/{report}"
     w = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":
         w = w.option("header", True)
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     w.save(path)
     return path
 

@@ -13,25 +13,28 @@ Binding (fixed rules, mirrored by the oracle SQL in ``profitlens/oracle.py``):
   store_id, store_name, store_format = c_nationkey, n_name, r_name
   channel = o_orderpriority;  coupon_type_id = c_mktsegment
   sales  = lines with l_returnflag <> 'A', p_brand <> 'Brand#25', l_suppkey % 10 <> 3
-  coupon = lines with l_linestatus = 'F' and l_returnflag in ('N', 'A')
+  coupon = lines with l_linestatus = 'F' and l_returnflag in ('N', 'A'), and those with
+           l_returnflag = 'R' that are no sales
   oi     = lines with l_returnflag = 'A'
   stock  = lines with l_linestatus = 'O'
   coupon_type = lines with l_returnflag = 'R' and c_mktsegment <> 'BUILDING'
 
+Sales leave out a category and some suppliers so that pools without sales occur;
+every line is in at least one of sales, coupon, oi and stock (``fact_coverage``
+shows the rows and money inside and outside each fact).
+
 Money is exact: price and discount/tax have at most two decimals, so every
 money column is an exact DECIMAL(18,4).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from profitlens.functions.expr import MONEY, dec
-from profitlens.session import materialize, spread
+from profitlens.session import drop_staged, stage
+from profitlens.sources.facts import Facts
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -41,6 +44,8 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 MODULE_NAMES = {"0": "新鲜食材", "1": "美食", "2": "粮油", "3": "日化", "4": "百货"}
 # Category whose master row is marked disabled.
 DISABLED_CATEGORY = "Brand#24"
+# Category whose master name is the marker itself (FLT-10 excludes it by name).
+MARKER_CATEGORY = "Brand#13"
 # Disabled marker in category names (reference value).
 DISABLED_MARK = "删除禁用"
 # Deduction types by line number: 1 handling fee, 2 porterage fee, else rebate.
@@ -53,12 +58,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def line_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+def line_base(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """Line relation with all attributes the facts need (inner joins on the
-    foreign keys; supplier names by left join)."""
-    li = spread(read_table(spark, sf_dir, "lineitem").select(
+    foreign keys; supplier names by left join). ``partitions`` deals the lines
+    out anew, for a table that comes as one unsplittable file."""
+    li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"))
+        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+    if partitions:
+        li = li.repartition(partitions)
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_retailprice", "p_size")
@@ -99,13 +107,21 @@ def _module_id(brand: F.Column) -> F.Column:
     return (F.substring_index(brand, "#", -1).try_cast("int") % 5).cast("string")
 
 
+def _in_sales() -> F.Column:
+    return (F.col("l_returnflag") != "A") & (F.col("p_brand") != "Brand#25") & (F.col("l_suppkey") % 10 != 3)
+
+
+def _in_coupon() -> F.Column:
+    return (((F.col("l_linestatus") == "F") & F.col("l_returnflag").isin("N", "A"))
+            | ((F.col("l_returnflag") == "R") & ~_in_sales()))
+
+
 def sales(lines: DataFrame) -> DataFrame:
     price = _price()
     ns = _net_sales()
     cost = (price * dec("0.97")).cast(MONEY)
     margin = (price * (dec("1.00") - _rate("l_discount")) - price * dec("0.97")).cast(MONEY)
-    return (lines.where((F.col("l_returnflag") != "A") & (F.col("p_brand") != "Brand#25")
-                        & (F.col("l_suppkey") % 10 != 3))
+    return (lines.where(_in_sales())
             .select(*_codes(),
                     F.to_date("l_shipdate").alias("biz_date"),
                     ns.alias("net_sales"),
@@ -127,11 +143,12 @@ def coupon(lines: DataFrame) -> DataFrame:
     plat = (price * dec("0.02")).cast(MONEY)
     dept = F.element_at(F.create_map(*[x for kv in MODULE_NAMES.items() for x in map(F.lit, kv)]),
                         _module_id(F.col("p_brand")))
-    return (lines.where((F.col("l_linestatus") == "F") & F.col("l_returnflag").isin("N", "A"))
+    return (lines.where(_in_coupon())
             .select(*_codes(),
                     F.to_date("l_shipdate").alias("biz_date"),
                     dept.alias("department"),
                     F.col("c_mktsegment").alias("coupon_type_id"),
+                    F.concat(F.lit("coupon "), F.lower("c_mktsegment")).alias("coupon_type_name"),
                     cc.alias("coupon_cost"),
                     (cc + sup + plat).cast(MONEY).alias("coupon_total"),
                     sup.alias("coupon_supplier_borne"),
@@ -190,6 +207,7 @@ def category_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = F.create_map(*[x for kv in MODULE_NAMES.items() for x in map(F.lit, kv)])
     cname = (F.when(F.col("category_id") == DISABLED_CATEGORY,
                     F.concat(F.col("category_id"), F.lit(DISABLED_MARK)))
+             .when(F.col("category_id") == MARKER_CATEGORY, F.lit(DISABLED_MARK))
              .otherwise(F.col("category_id")))
     return brands.select(mid.alias("module_id"), F.element_at(names, mid).alias("module_name"),
                          "category_id", cname.alias("category_name"))
@@ -204,21 +222,25 @@ def store_master(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("n_name").alias("store_name")))
 
 
-@dataclass
-class Facts:
-    lines: DataFrame
-    sales: DataFrame
-    coupon: DataFrame
-    oi: DataFrame
-    stock: DataFrame
-    coupon_type: DataFrame
-    category: DataFrame
-    store: DataFrame
-
-
-def load_facts(spark: SparkSession, sf_dir: str) -> Facts:
-    """Conformed facts, lazily defined over the input tables."""
-    lines = line_base(spark, sf_dir)
+def fact_coverage(lines: DataFrame) -> DataFrame:
+    """Rows and list price of the lines inside and outside each fact, and of those
+    in none of sales, coupon, oi and stock (AGG-13). One pass over the lines."""
+    facts = {"sales": _in_sales(), "coupon": _in_coupon(), "oi": F.col("l_returnflag") == "A",
+             "stock": F.col("l_linestatus") == "O",
+             "coupon_type": (F.col("l_returnflag") == "R") & (F.col("c_mktsegment") != "BUILDING")}
+    facts["any"] = facts["sales"] | facts["coupon"] | facts["oi"] | facts["stock"]
+    one = lines.agg(*[F.struct(
+        F.lit(name).alias("fact"),
+        F.coalesce(F.sum(F.when(cond, 1).otherwise(0)), F.lit(0)).alias("rows_inside"),
+        F.coalesce(F.sum(F.when(cond, 0).otherwise(1)), F.lit(0)).alias("rows_outside"),
+        F.coalesce(F.sum(F.when(cond, _price()).otherwise(0)), F.lit(0)).alias("price_inside"),
+        F.coalesce(F.sum(F.when(cond, 0).otherwise(_price())), F.lit(0)).alias("price_outside")).alias(name)
+        for name, cond in ((n, F.coalesce(c, F.lit(False))) for n, c in facts.items())])
+    return one.select(F.explode(F.array(*facts)).alias("f")).select("f.*")
+
+
+def facts_of(lines: DataFrame, spark: SparkSession, sf_dir: str) -> Facts:
+    """The facts, lazily defined over a line relation."""
     return Facts(lines=lines, sales=sales(lines), coupon=coupon(lines), oi=oi(lines),
                  stock=stock(lines), coupon_type=coupon_type(lines),
                  category=category_master(spark, sf_dir), store=store_master(spark, sf_dir))
@@ -228,44 +250,24 @@ _CACHE: dict[tuple[str, str], Facts] = {}
 
 
 def cached_facts(spark: SparkSession, sf_dir: str) -> Facts:
-    """Conformed facts materialised once per session and input folder (IO-15).
+    """Facts over the conformed lines, which are joined once per session and input
+    folder and staged as one Parquet table in the shared checkpoint folder (IO-15).
 
-    The extracts are loaded once and every report runs on the loaded facts, so
-    the conformance join is paid once. By default the facts are persisted
-    (MEMORY_AND_DISK: blocks spill instead of failing, a lost executor's blocks
-    are recomputed from the lineage); with ``profitlens.materialize=parquet``
-    they are staged as Parquet tables in the shared checkpoint folder.
+    Every report reads only the columns and rows it needs of that table, nothing
+    is held in executor storage, and a lost executor costs no more than its tasks.
+    The session conf ``profitlens.scan_partitions`` deals out a line table that
+    comes as one unsplittable file.
     """
     key = (spark.sparkContext.applicationId, sf_dir)  # unique per SparkContext, never reused
-    f = _CACHE.get(key)
-    if f is None:
-        mode = spark.conf.get("profitlens.materialize", "persist")
-        lines = line_base(spark, sf_dir)
-        if mode == "persist":
-            lines = lines.persist(StorageLevel.MEMORY_AND_DISK)   # one conformance join for all facts
-        keep = _materialize_kept
-        f = Facts(lines=lines, sales=keep(sales(lines)), coupon=keep(coupon(lines)),
-                  oi=keep(oi(lines)), stock=keep(stock(lines)),
-                  coupon_type=keep(coupon_type(lines)),
-                  category=keep(category_master(spark, sf_dir)),
-                  store=keep(store_master(spark, sf_dir)))
-        if mode == "persist":
-            lines.unpersist()
-        _CACHE[key] = f
-    return f
-
-
-def _materialize_kept(df: DataFrame) -> DataFrame:
-    """``materialize`` for session-long facts: not released by ``release_materialized``."""
-    from profitlens import session
-    out = materialize(df)
-    if session._MATERIALIZED and session._MATERIALIZED[-1] is out:
-        session._MATERIALIZED.pop()
-    return out
+    if key not in _CACHE:
+        parts = spark.conf.get("profitlens.scan_partitions", None)
+        _CACHE[key] = facts_of(stage(line_base(spark, sf_dir, int(parts) if parts else None), "facts"), spark, sf_dir)
+    return _CACHE[key]
 
 
 def clear_cache() -> None:
+    """Delete the staged line tables of the running session."""
     for f in _CACHE.values():
-        for d in (f.sales, f.coupon, f.oi, f.stock, f.coupon_type, f.category, f.store):
-            d.unpersist()
+        if f.lines.sparkSession.sparkContext._jsc is not None:
+            drop_staged(f.lines)
     _CACHE.clear()

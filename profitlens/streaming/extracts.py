@@ -2,42 +2,51 @@
 
 The reference re-reads and unions every period extract of a company into one
 file each time it runs. Here each new CSV extract dropped into a landing
-folder is conformed once and appended to a date-partitioned Parquet fact; the
-stream's checkpoint (in the shared checkpoint folder) records which files were
-taken, so a restart after a lost executor or driver neither loses nor repeats
-an extract. Completeness (AGG-14) is then checked on the accumulated fact.
+folder is conformed once and added to a partitioned Parquet fact; the stream's
+checkpoint (in the shared checkpoint folder) records which files were taken, so
+a restart after a lost executor or driver neither loses nor repeats an extract.
+Completeness (AGG-14) is then checked on the accumulated fact.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
 from profitlens.operators.rollup import date_completeness
 from profitlens.session import checkpoint_dir
-from profitlens.sources.files import SCHEMAS, _charset_conf, conform
+from profitlens.sources.files import SCHEMAS, read_extract, with_schema
 
-
-def raw_schema(table: str) -> T.StructType:
-    """Extract files carry canonical headers; every column is read as text."""
-    return T.StructType([T.StructField(f.name, T.StringType()) for f in SCHEMAS[table].fields])
+FILES_AT_ONCE = 1000  # new files that one batch takes
 
 
 def ingest_extracts(spark: SparkSession, landing_dir: str, table: str, out_path: str,
                     checkpoint: str | None = None, encoding: str = "UTF-8",
-                    partition_by: str | None = "biz_date"):
-    """Start a stream that conforms every new extract and appends it to
-    ``out_path``; runs until all files present are processed (availableNow).
-    Returns the StreamingQuery (call ``awaitTermination()``)."""
-    _charset_conf(spark, encoding)
-    ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/streams/{table}"
-    raw = (spark.readStream.schema(raw_schema(table)).option("header", True)
-           .option("encoding", encoding).csv(landing_dir))
-    w = (conform(raw, table).writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", ckpt).option("path", out_path))
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    return w.trigger(availableNow=True).start()
+                    partition_by: tuple[str, ...] | None = None):
+    """Start a stream that conforms every new extract and adds it to ``out_path``;
+    runs until all files present are processed (availableNow). Returns the
+    StreamingQuery (call ``awaitTermination()``).
+
+    A file's header names its columns, in any order, business or canonical. The
+    fact is partitioned by ``ingest_batch`` and ``partition_by`` (unless given:
+    ``biz_date`` where the table has it); a batch that is run again replaces what it
+    had written."""
+    ckpt = checkpoint or f"{checkpoint_dir(spark)}/streams/{table}"
+    if partition_by is None:
+        partition_by = tuple(c for c in ("biz_date",) if c in SCHEMAS[table].names)
+
+    def add(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        files = [r.file for r in batch.select("file").distinct().collect()]  # at most FILES_AT_ONCE
+        if files:
+            fact = with_schema(read_extract(session, files, table, encoding), table)
+            (fact.withColumn("ingest_batch", F.lit(number)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("ingest_batch", *partition_by).parquet(out_path))
+
+    found = (spark.readStream.schema("line string").option("sep", "\u0001").option("maxFilesPerTrigger", FILES_AT_ONCE)
+             .csv(landing_dir).select(F.col("_metadata.file_path").alias("file")))
+    return (found.writeStream.foreachBatch(add).option("checkpointLocation", ckpt)
+            .trigger(availableNow=True).start())
 
 
 def completeness(spark: SparkSession, fact_path: str, date_col: str = "biz_date") -> DataFrame:
