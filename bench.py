@@ -23,7 +23,8 @@ def main() -> None:
     only = set(sys.argv[1:])
     from profitlens.session import build_session
     spark = build_session(f"local[{cpus}]", int(cpus) * 2, app_name="profitlens-bench",
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+                                 "profitlens.scan_partitions": cpus})
     from profitlens.catalog import QUERIES
 
     from profitlens.session import release_materialized

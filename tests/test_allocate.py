@@ -113,7 +113,7 @@ def test_materialize_modes_give_the_same_waterfall(spark):
     pool = spark.createDataFrame([("s1", "c1", _d(40)), ("s9", "c1", _d(12))], "sup string, cat string, amt decimal(18,4)")
     levels = [Level(("sup", "cat"), ("sku",)), Level(("cat",), ("sku",))]
     results = []
-    for mode in ("persist", "parquet", "checkpoint"):
+    for mode in ("lazy", "parquet", "checkpoint"):
         spark.conf.set("profitlens.materialize", mode)
         try:
             out, _ = waterfall(lines, pool, levels, "w", "amt")
@@ -166,3 +166,102 @@ def test_waterfall_strict_reference_loses_zero_base_pool(spark):
     strict, _ = waterfall(lines, pool, levels, "w", "amt", strict_reference=True)
     assert sorted((r.sku, r.alloc_level, float(r.alloc_amount)) for r in strict.collect()) == \
         [("k1", 1, 0.0)]                                 # original behaviour: share 0, money lost
+
+
+def test_lines_without_a_grain_value_keep_their_share(spark):
+    lines = spark.createDataFrame([("a", "k1", _d(1)), ("a", None, _d(3))], LINES)
+    pool = spark.createDataFrame([("a", _d(100))], POOL)
+    alloc, resid = allocate(lines, pool, ["g"], "w", "amt", ["line"])
+    assert {r.line: float(r.alloc_amount) for r in alloc.collect()} == {"k1": 25.0, None: 75.0}
+    assert resid.count() == 0
+
+
+def test_pools_without_a_key_stay_in_the_residual(spark):
+    lines = spark.createDataFrame([("a", "k1", _d(1)), (None, "k2", _d(3))], LINES)
+    pool = spark.createDataFrame([("a", _d(1)), (None, _d(7))], POOL)
+    alloc, resid = allocate(lines, pool, ["g"], "w", "amt", ["line"])
+    assert [(r.g, float(r.alloc_amount)) for r in alloc.collect()] == [("a", 1.0)]
+    assert [(r.g, float(r.amt)) for r in resid.collect()] == [(None, 7.0)]
+
+
+def test_weights_that_nearly_cancel(spark):
+    lines = spark.createDataFrame([("a", "k1", _d("20000000000.01")), ("a", "k2", _d("-20000000000.00"))], LINES)
+    pool = spark.createDataFrame([("a", _d(5))], POOL)
+    alloc, _ = allocate(lines, pool, ["g"], "w", "amt", ["line"])
+    assert sum(r.alloc_amount for r in alloc.collect()) == 5
+
+
+def test_sums_beyond_a_line_amount(spark):
+    from profitlens.plans.margin import sales_coupon_margin
+    big = spark.createDataFrame([("c", _d("99999999999999.0001"), _d("99999999999999.0001"))] * 30,
+                                "k string, net_sales decimal(18,4), gross_margin decimal(18,4)")
+    coupon = spark.createDataFrame([("c", _d(1))], "k string, coupon_cost decimal(18,4)")
+    r = sales_coupon_margin(big, coupon, ["k"], measures=("net_sales", "gross_margin")).first()
+    assert r.post_coupon_margin == 30 * _d("99999999999999.0001") - 1
+
+
+def test_a_hot_group_is_split(spark):
+    """Whatever join runs, the lines of one group are dealt over several tasks."""
+    n = 4000
+    lines = spark.range(n).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 50))
+                                  .alias("g"), F.col("id").cast("string").alias("line"),
+                                  (F.col("id") % 7 + 1).cast("decimal(18,4)").alias("w"))
+    pool = spark.createDataFrame([("hot", _d(1000)), ("g1", _d(50))], POOL)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        alloc, _ = allocate(lines, pool, ["g"], "w", "amt", ["line"], exact=False)
+        parts = [r.n for r in alloc.where("g = 'hot'").groupBy(F.spark_partition_id()).agg(
+            F.count("*").alias("n")).collect()]
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert sum(parts) == (n + 2) // 3 and max(parts) <= 0.4 * sum(parts)
+
+
+def test_coupon_cost_without_sales_is_left_out_beside_oi(spark):
+    from profitlens.plans.margin import sales_coupon_margin
+    schema = "k string, {} decimal(18,4)"
+    sales = spark.createDataFrame([("a", _d(10), _d(2))], "k string, net_sales decimal(18,4), gross_margin decimal(18,4)")
+    coupon = spark.createDataFrame([("a", _d(1)), ("b", _d(5))], schema.format("coupon_cost"))
+    oi = spark.createDataFrame([("b", _d(3))], schema.format("alloc_amount"))
+    out = sales_coupon_margin(sales, coupon, ["k"], measures=("net_sales", "gross_margin"),
+                              extra={"oi": (oi, ["alloc_amount"])})
+    assert {r.k: (float(r.coupon_cost), float(r.alloc_amount)) for r in out.collect()} == {"a": (1.0, 0.0), "b": (0.0, 3.0)}
+
+
+def test_staged_intermediates_are_released(spark):
+    import os
+
+    from profitlens.session import materialize, release_materialized
+    release_materialized()
+    spark.conf.set("profitlens.materialize", "parquet")
+    try:
+        df = materialize(spark.range(5))
+    finally:
+        spark.conf.unset("profitlens.materialize")
+    folder = os.path.dirname(df.inputFiles()[0].removeprefix("file://").removeprefix("file:"))
+    assert df.count() == 5 and os.path.isdir(folder)
+    assert release_materialized() == 1 and not os.path.isdir(folder)
+
+
+def test_nothing_runs_while_a_report_is_built(spark):
+    """Apart from the conformed lines and the two reports that stage a whole waterfall (ALC-08, its control totals)."""
+    from profitlens.catalog import QUERIES
+    sf = "/root/testdata/sf0.001"
+    QUERIES["pipe04_margin_sku"](spark, sf)  # the conformed lines are staged once
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "reports")
+    try:
+        for name in ("pipe10_fresh_oi", "alc06_oi_store_category", "pipe11_fresh_total", "pipe14_enriched_margin"):
+            QUERIES[name](spark, sf)
+        assert list(tracker.getJobIdsForGroup("building")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+

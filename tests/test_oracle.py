@@ -25,13 +25,16 @@ def con():
 
 
 def _names():
-    from __spark_entry__ import queries
-    return sorted(queries())
+    from profitlens.catalog import QUERIES
+    return sorted(QUERIES)
 
 
 def test_every_query_has_an_oracle():
     from __spark_entry__ import oracle_sql, queries
-    assert set(queries()) == set(oracle_sql())
+    from profitlens.catalog import QUERIES
+    from profitlens.oracle import ORACLE_SQL
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE_SQL) <= set(oracle_sql())
 
 
 @pytest.mark.parametrize("name", _names())

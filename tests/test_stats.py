@@ -33,14 +33,28 @@ def test_exact_quantile_matches_numpy_on_a_hot_group(spark):
         assert abs(got[k] - float(np.percentile(vals, 80))) < 1e-9, k
 
 
-def test_exact_quantile_plan_range_partitions_rows(spark):
+def test_exact_quantile_plan_range_partitions_rows(spark, monkeypatch):
     import contextlib
     import io
 
+    from profitlens.operators import stats
+
+    staged, stage = [], stats.stage
+    monkeypatch.setattr(stats, "stage", lambda frame, label: staged.append(frame) or stage(frame, label))
     df = spark.createDataFrame([("hot", float(i)) for i in range(500)] + [("g", 1.0)], "k string, v double")
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         quantile_filter(df, "k", "v", 0.8).explain(mode="formatted")
+        staged[0].explain(mode="formatted")  # the ranked rows
     plan = buf.getvalue()
     assert "rangepartitioning(k" in plan          # rows of one group spread over many tasks
     assert "percentile" not in plan.lower().replace("percentile_approx", "")
+
+
+def test_inliers_at_72_sigma_leave_a_row_out(spark):
+    from profitlens.operators.stats import sigma_outliers
+    rows = [("g", float(i % 2)) for i in range(9000)] + [("g", 1e9)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    assert sigma_outliers(df, "k", "v", 72.0, keep="inside").count() == 9000
+    assert sigma_outliers(df, "k", "v", 72.0, keep="outside").count() == 1
+
