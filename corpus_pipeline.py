@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from profitlens.llm._common import fold, read, staged
+from profitlens.session import drop_staged
 
 MIN_LANG_SCORE = 0.02  # documents whose cosine with the nearest language is smaller are rejected
 
@@ -75,7 +76,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over the documents of a folder. A stage's table is deleted once the next one is written."""
     docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    for i, (name, stage) in enumerate(STAGES):
+        done = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if i:
+            drop_staged(docs)
+        docs = done
     return docs
