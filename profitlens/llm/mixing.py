@@ -10,7 +10,8 @@ from pyspark.sql.window import Window
 from profitlens.llm._common import WORD, join_on, staged
 
 WIDE = "decimal(38,0)"
-SLICE_DIGITS = 3  # a leaf's seeded order is cut into 16 ** 3 slices, so that no task sums up a whole leaf
+SLICE_DIGITS = 2  # a leaf's seeded order is cut into 16 ** 2 slices, and the slice in which its prefix ends
+SLICE_STEPS = 3   # once more, so often: only a 16 ** 6th of a leaf is ordered row by row
 
 
 def count_tokens(text: Column) -> Column:
@@ -52,7 +53,7 @@ def tree_budgets(leaves: DataFrame, levels: list[str], weights: list[Column], bu
     levels[: i + 1]. A budget goes down level by level; a node's capacity is that of the leaves below it, so a shortage
     is first made up by siblings, and by the siblings of an ancestor only when all below that ancestor is used up."""
     total = F.sum("capacity").cast("long").alias("capacity")
-    leaves = leaves.withColumn("__root", F.lit(0))
+    leaves = staged(leaves.withColumn("__root", F.lit(0)), "mix-tree")  # a plain column: the join is one on a key
     parents = leaves.groupBy("__root").agg(total).select("__root", budget.cast("long").alias("budget"))
     for i, name in enumerate(levels):
         up, own = ["__root", *levels[:i]], ["__root", *levels[:i + 1]]
@@ -71,7 +72,8 @@ def mix(docs: DataFrame, levels: list[str], weights: list[Column], budget: Colum
     its documents in the order of md5(seed:epoch:doc_id), epoch after epoch, at most ``max_epochs`` times; the mix takes
     the prefix of the stream that has the leaf's budget of tokens.
     The order is cut into slices by the hash: their sums give each slice's place in the stream, whole slices need no
-    order, and only the slice in which the prefix ends is ordered. No leaf, however large, meets in one task.
+    order, and the slice in which the prefix ends is cut again, until only a small part of it is ordered row by row. No
+    leaf, however large, meets in one task.
     Null levels are nodes of their own; a null doc_id is ordered as an empty one; null tokens count as 0. Documents
     without tokens are never taken. Ties (repeated rows) are ordered by doc_id, then tokens. Empty table: no rows."""
     docs = docs.withColumn("tokens", F.coalesce("tokens", F.lit(0)).cast("long"))
@@ -86,21 +88,27 @@ def mix(docs: DataFrame, levels: list[str], weights: list[Column], budget: Colum
         F.col("tokens").alias("take_tokens"))
     order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("__whole").cast("string"),
                               F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    part = own.where("__rest > 0").withColumn("__h", order).withColumn("__s", F.substring("__h", 1, SLICE_DIGITS))
+    cols = ["doc_id", *levels, "tokens", F.col("__whole").alias("epoch"), "take_tokens"]
+    out = whole
+    part = own.where("__rest > 0").withColumn("__h", order)
     before = Window.partitionBy(*levels).orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
-    slices = (part.groupBy(*levels, "__s").agg(F.sum("tokens").alias("__n"))  # at most 16 ** 3 rows a leaf
-              .withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))))
-    placed = join_on(part, slices, [*levels, "__s"]).where(F.col("__before") < F.col("__rest"))
-    ends = F.col("__before") + F.col("__n") > F.col("__rest")
-    inside = placed.where(~ends).withColumn("take_tokens", F.col("tokens"))
-    running = (Window.partitionBy(*levels, "__s").orderBy("__h", "doc_id", "tokens")
+    for step in range(SLICE_STEPS):
+        part = part.withColumn("__s", F.substring("__h", 1 + step * SLICE_DIGITS, SLICE_DIGITS))
+        slices = (part.groupBy(*levels, "__s").agg(F.sum("tokens").alias("__n"))  # at most 16 ** 2 rows a leaf
+                  .withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))))
+        placed = join_on(part, slices, [*levels, "__s"]).where(F.col("__before") < F.col("__rest"))
+        ends = F.col("__before") + F.col("__n") > F.col("__rest")
+        out = out.unionByName(placed.where(~ends).withColumn("take_tokens", F.col("tokens")).select(*cols))
+        part = placed.where(ends).withColumn("__rest", F.col("__rest") - F.col("__before")).drop(
+            "__s", "__n", "__before")
+        if step + 1 < SLICE_STEPS:
+            part = staged(part, "mix-slice")  # one slice of a leaf
+    running = (Window.partitionBy(*levels).orderBy("__h", "doc_id", "tokens")
                .rowsBetween(Window.unboundedPreceding, -1))
-    cut = (placed.where(ends)
-           .withColumn("__at", F.col("__before") + F.coalesce(F.sum("tokens").over(running), F.lit(0)))
+    cut = (part.withColumn("__at", F.coalesce(F.sum("tokens").over(running), F.lit(0)))
            .where(F.col("__at") < F.col("__rest"))
            .withColumn("take_tokens", F.least(F.col("tokens"), F.col("__rest") - F.col("__at"))))
-    cols = ["doc_id", *levels, "tokens", F.col("__whole").alias("epoch"), "take_tokens"]
-    return whole.unionByName(inside.select(*cols)).unionByName(cut.select(*cols))
+    return out.unionByName(cut.select(*cols))
 
 
 # ---- the production mix of the tables: domains of sources, then languages, then sources
