@@ -8,16 +8,20 @@ from pyspark.sql import functions as F
 
 from profitlens.llm._common import staged
 
-NEIGHBOURS = 20   # out-neighbours of a node
-REVERSE = 16      # in-neighbours that take part in a step, one for each slot of a hash
-SLOTS = 32        # candidates of a node that enter its list in a step, one for each slot of a hash
-ORDERS = 3        # random orders in which the first lists are made
+NEIGHBOURS = 40   # out-neighbours of a node
+REVERSE = 24      # in-neighbours that take part in a step, one for each slot of a hash
+SLOTS = 64        # candidates of a node that enter its list in a step, one for each slot of a hash
+OFFERS = 8        # candidates that a node gets from one common neighbour, the most similar ones
+ORDERS = 24       # random orders in which the first lists are made
 BITS = 8          # random hyperplanes of such an order
-RUN = 64          # nodes next to each other in an order that are compared
+RUN = 512         # nodes next to each other in an order that are compared
+FIRST = 12        # neighbours that a node takes from each order
 STEPS = 8         # joins of neighbours of neighbours, at most
-SETTLED = 0.02    # the descent ends when a smaller share of the links is new
-BEAM = 48         # nodes that a query keeps
-EXPAND = 16       # of them, nodes that are followed at once
+SETTLED = 0.03    # the descent ends when a smaller share of the links is new
+FOLLOW = 32       # best out-neighbours that the search follows,
+FOLLOW_BACK = 8   # and in-neighbours
+BEAM = 96         # nodes that a query keeps
+EXPAND = 32       # of them, nodes that are followed at once
 SEED = 17
 
 
@@ -86,21 +90,65 @@ def _sims(points):
     return vec @ vec.T + rest[:, None] * rest[None, :]
 
 
-def _best(edges: DataFrame, k: int) -> DataFrame:
-    """The k most similar neighbours of each node, once each; ``new`` stays only where no earlier link says otherwise.
-    A node has few edges here: its list and at most one candidate for each slot."""
-    one = edges.groupBy("node", "nbr").agg(F.max("sim").alias("sim"), F.min("new").alias("new"))
-    top = one.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("sim", "nbr", "new")), False), 1, k)
-                                  .alias("l"))
-    return top.select("node", F.explode("l").alias("e")).select("node", "e.nbr", "e.sim", "e.new")
+EDGE = "struct<sim: float, nbr: long, new: boolean>"
 
 
-def _one_per_slot(edges: DataFrame, slots: int, turn: int) -> DataFrame:
-    """Of each node's edges the most similar one for each slot of a hash of the neighbour, another hash in each turn:
-    sums up within tasks first, so a node that is everyone's neighbour is no hot spot."""
+def _merge(rows: DataFrame, k: int) -> DataFrame:
+    """rows: node, x, old and found (arrays of EDGE). The k most similar neighbours of each node, once each, as ``l``
+    (best first); a neighbour that the old list has stays as it was. A node's arrays are short (its list and one edge for
+    each slot), whole batches are merged at once."""
+    kind = pa.struct([("sim", pa.float32()), ("nbr", pa.int64()), ("new", pa.bool_())])
+
+    def run(batches):
+        import numpy as np
+
+        for batch in batches:
+            parts = []
+            for age, column in ((0, batch.column(2)), (1, batch.column(3))):
+                flat = column.flatten()
+                row = np.repeat(np.arange(len(column)), column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+                parts.append((row, flat.field(1).to_numpy(zero_copy_only=False), np.full(len(flat), age),
+                              flat.field(0).to_numpy(zero_copy_only=False), flat.field(2).to_numpy(zero_copy_only=False)))
+            row, nbr, age, sim, new = (np.concatenate(c) for c in zip(*parts))
+            order = np.lexsort((-sim, age, nbr, row))
+            row, nbr, sim, new = row[order], nbr[order], sim[order], new[order].astype(bool)
+            first = np.ones(len(row), bool)
+            first[1:] = (row[1:] != row[:-1]) | (nbr[1:] != nbr[:-1])
+            row, nbr, sim, new = row[first], nbr[first], sim[first], new[first]
+            order = np.lexsort((nbr, -sim, row))
+            row, nbr, sim, new = row[order], nbr[order], sim[order], new[order]
+            start = np.searchsorted(row, np.arange(batch.num_rows))
+            keep = np.arange(len(row)) - start[row] < k
+            ends = np.concatenate([[0], np.cumsum(np.bincount(row[keep], minlength=batch.num_rows))]).astype(np.int32)
+            edges = pa.StructArray.from_arrays([pa.array(sim[keep], pa.float32()), pa.array(nbr[keep], pa.int64()),
+                                                pa.array(new[keep])], fields=list(kind))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(ends), edges)], ["node", "x", "l"])
+
+    return rows.select("node", "x", "old", "found").mapInArrow(run, f"node long, x binary, l array<{EDGE}>")
+
+
+def _edges(graph: DataFrame) -> DataFrame:
+    return graph.select("node", F.explode("l").alias("e")).select("node", "e.sim", "e.nbr", "e.new")
+
+
+def _back(edges: DataFrame, turn: int, slots: int) -> DataFrame:
+    """Edges in the other direction, of each node the most similar one for each slot of a hash of the neighbour, another
+    hash in each turn: pre-aggregated, so a node that is everyone's neighbour is no hot spot."""
+    back = edges.select(F.col("nbr").alias("node"), F.col("node").alias("nbr"), "sim", "new")
     slot = F.pmod(F.xxhash64("nbr", F.lit(turn)), F.lit(slots)).alias("slot")
-    return (edges.groupBy("node", slot).agg(F.max(F.struct("sim", "nbr", "new")).alias("e"))
-            .select("node", "e.nbr", "e.sim", "e.new"))
+    return (back.groupBy("node", slot).agg(F.max(F.struct("sim", "nbr", "new")).alias("e"))
+            .select("node", "e.sim", "e.nbr", "e.new"))
+
+
+def _update(graph: DataFrame, found: DataFrame, k: int) -> DataFrame:
+    """The graph with the candidates (node, slot, nbr, sim), of each node the most similar one for each slot."""
+    best = (found.repartition("node").groupBy("node", "slot").agg(F.max(F.struct("sim", "nbr")).alias("e"))
+            .groupBy("node").agg(F.collect_list(F.struct("e.sim", "e.nbr", F.lit(True).alias("new"))).alias("found")))
+    old = F.transform("l", lambda e: F.struct(e["sim"].alias("sim"), e["nbr"].alias("nbr"), F.lit(False).alias("new")))
+    both = graph.join(best, "node", "left").select(
+        "node", "x", old.alias("old"), F.coalesce("found", F.array().cast(f"array<{EDGE}>")).alias("found"))
+    return _merge(both, k)
 
 
 def _first_lists(points: DataFrame, k: int) -> DataFrame:
@@ -129,37 +177,44 @@ def _first_lists(points: DataFrame, k: int) -> DataFrame:
         import numpy as np
 
         for batch in batches:
-            for i in range(0, batch.num_rows, RUN):
-                part = batch.slice(i, RUN)
+            t = batch.column(0).to_numpy()
+            cuts = np.concatenate([[0], np.flatnonzero(t[1:] != t[:-1]) + 1, [len(t)]])
+            for i, j in ((i, min(i + RUN, b)) for a, b in zip(cuts[:-1], cuts[1:]) for i in range(a, b, RUN)):
+                part = batch.slice(i, j - i)
                 ids = part.column(3).to_numpy()
                 if len(ids) < 2:
                     continue
                 sims = _sims(_read(part.column(4)))
                 np.fill_diagonal(sims, -np.inf)
-                m = min(k, len(ids) - 1)
+                m = min(FIRST, len(ids) - 1)
                 near = np.argpartition(-sims, m - 1, axis=1)[:, :m]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.repeat(ids, m)), pa.array(ids[near].ravel()),
-                     pa.array(np.take_along_axis(sims, near, 1).ravel()), pa.array(np.ones(near.size, bool))],
-                    ["node", "nbr", "sim", "new"])
+                     pa.array(np.take_along_axis(sims, near, 1).ravel())], ["node", "nbr", "sim"])
 
     rows = points.mapInArrow(order, "t int, code int, p float, node long, x binary")
-    rows = rows.repartitionByRange("t", "code", "p").sortWithinPartitions("t", "code", "p")
-    found = rows.mapInArrow(compare, "node long, nbr long, sim float, new boolean").where("node != nbr")
-    return _best(found, k)
-
-
-def _neighbours_of_neighbours(graph: DataFrame, points: DataFrame, k: int, turn: int) -> DataFrame:
-    """Candidates (node, nbr, sim) from one join: nodes that are neighbours, in either direction, of a common node are
-    compared if one of the two links is new, and each pair is a candidate where it beats a node's worst neighbour."""
-    back = graph.select(F.col("nbr").alias("node"), F.col("node").alias("nbr"), "sim", "new")
-    around = graph.unionByName(_one_per_slot(back, REVERSE, turn)).groupBy("node", "nbr").agg(F.max("new").alias("new"))
-    worst = graph.groupBy("node").agg(F.count("*").alias("n"), F.min("sim").alias("w")).select(
-        "node", F.when(F.col("n") >= k, F.col("w")).otherwise(F.lit(-4.0)).cast("float").alias("worst"))
-    info = points.join(worst, "node", "left").select(
-        F.col("node").alias("nbr"), "x", F.coalesce("worst", F.lit(-4.0).cast("float")).alias("worst"))
+    # partitions of several runs each, so that a run is seldom cut short by the end of one
+    parts = points.count() * ORDERS // (8 * RUN) + 1
+    parts = min(parts, int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = rows.repartitionByRange(parts, "t", "code", "p").sortWithinPartitions("t", "code", "p")
+    found = rows.mapInArrow(compare, "node long, nbr long, sim float").where("node != nbr")
+    lists = found.groupBy("node").agg(  # FIRST from each order
+        F.collect_list(F.struct("sim", "nbr", F.lit(True).alias("new"))).alias("found"))
+    none = F.array().cast(f"array<{EDGE}>")
+    return _merge(points.join(lists, "node", "left").select("node", "x", none.alias("old"),
+                                                            F.coalesce("found", none).alias("found")), k)
+
+
+def _neighbours_of_neighbours(graph: DataFrame, k: int, turn: int) -> DataFrame:
+    """Candidates (node, slot, nbr, sim) from one join: nodes that are neighbours, in either direction, of a common node
+    are compared if one of the two links is new, and the best OFFERS pairs are candidates where they beat a node's worst
+    neighbour."""
+    edges = _edges(graph)
+    around = edges.unionByName(_back(edges, turn, REVERSE)).select(F.col("node").alias("via"), "nbr", "new")
+    info = graph.select(F.col("node").alias("nbr"), "x", F.when(
+        F.size("l") >= k, F.element_at("l", -1)["sim"]).otherwise(F.lit(-4.0).cast("float")).alias("worst"))
     # every node meets its at most k + REVERSE neighbours
-    met = around.join(info, "nbr").select(F.col("node").alias("via"), "nbr", "new", "x", "worst")
+    met = around.join(info, "nbr").select("via", "nbr", "new", "x", "worst")
     met = met.repartition("via").sortWithinPartitions("via")
 
     def run(batches):
@@ -167,17 +222,30 @@ def _neighbours_of_neighbours(graph: DataFrame, points: DataFrame, k: int, turn:
 
         def group(ids, new, worst, points, out):
             sims = _sims(points)
-            pairs = (new[:, None] | new[None, :]) & (sims > worst[:, None])
-            np.fill_diagonal(pairs, False)
-            i, j = np.nonzero(pairs)
-            out.append((ids[i], ids[j], sims[i, j]))
-
-        def batch_of(out):
+            pairs = (new[:, None] | new[None, :]) & (sims > worst[:, None]) & (ids[:, None] != ids[None, :])
+            sims[~pairs] = -np.inf
+            if len(ids) > OFFERS:
+                j = np.argpartition(-sims, OFFERS - 1, axis=1)[:, :OFFERS].ravel()
+                i = np.repeat(np.arange(len(ids)), OFFERS)
+            else:
+                i, j = np.nonzero(pairs)
+            s = sims[i, j]
+            fine = s > -np.inf
+            out.append((ids[i[fine]], ids[j[fine]], s[fine]))
+
+        def best(out):
+            # what a task finds for a node is cut to its slots here already
             a, b, s = (np.concatenate(c) for c in zip(*out))
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(s), pa.array(np.ones(len(a), bool))],
-                                              ["node", "nbr", "sim", "new"])
-
-        held = None
+            out.clear()
+            slot = (b.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15 + 2 * turn) >> np.uint64(32)) % np.uint64(SLOTS)
+            order = np.lexsort((-s, slot, a))
+            a, b, s, slot = a[order], b[order], s[order], slot[order].astype(np.int32)
+            first = np.ones(len(a), bool)
+            first[1:] = (a[1:] != a[:-1]) | (slot[1:] != slot[:-1])
+            return pa.RecordBatch.from_arrays([pa.array(a[first]), pa.array(slot[first]), pa.array(b[first]),
+                                               pa.array(s[first])], ["node", "slot", "nbr", "sim"])
+
+        held, out = None, []
         for batch in batches:
             if held is not None:
                 batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
@@ -186,82 +254,85 @@ def _neighbours_of_neighbours(graph: DataFrame, points: DataFrame, k: int, turn:
                 continue
             cuts = np.concatenate([[0], np.flatnonzero(via[1:] != via[:-1]) + 1])
             ids, new = batch.column(1).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False)
-            worst, (vec, rest), out = batch.column(4).to_numpy(), _read(batch.column(3)), []
+            worst, (vec, rest) = batch.column(4).to_numpy(), _read(batch.column(3))
             for a, b in zip(cuts[:-1], cuts[1:]):
                 if b - a > 1 and new[a:b].any():
                     group(ids[a:b], new[a:b], worst[a:b], (vec[a:b], rest[a:b]), out)
             held = batch.slice(cuts[-1])  # the last node's neighbours may go on
-            if out:
-                yield batch_of(out)
+            if sum(len(o[0]) for o in out) > 1_000_000:
+                yield best(out)
         if held is not None and held.num_rows > 1:
-            out = []
             group(held.column(1).to_numpy(), held.column(2).to_numpy(zero_copy_only=False),
                   held.column(4).to_numpy(), _read(held.column(3)), out)
-            yield batch_of(out)
+        if out:
+            yield best(out)
 
-    return met.mapInArrow(run, "node long, nbr long, sim float, new boolean")
+    return met.mapInArrow(run, "node long, slot int, nbr long, sim float")
 
 
 def neighbour_graph(points: DataFrame, k: int = NEIGHBOURS, steps: int = STEPS) -> DataFrame:
-    """(node, nbr, sim): about the k nearest neighbours of each point, by NN-descent. Each step is written to the shared
+    """(node, x, l): about the k nearest neighbours of each point, by NN-descent. Each step is written to the shared
     folder; the descent ends when few links are new."""
     graph = staged(_first_lists(points, k), "nn-graph")
     for turn in range(steps):
-        found = _one_per_slot(_neighbours_of_neighbours(graph, points, k, turn), SLOTS, turn)
-        graph = staged(_best(graph.withColumn("new", F.lit(False)).unionByName(found), k), "nn-graph")
-        fresh = graph.agg(F.sum(F.col("new").cast("long")), F.count("*")).first()
-        if (fresh[0] or 0) <= SETTLED * fresh[1]:
+        graph = staged(_update(graph, _neighbours_of_neighbours(graph, k, turn), k), "nn-graph")
+        fresh = graph.agg(F.sum(F.size(F.filter("l", lambda e: e["new"]))), F.sum(F.size("l"))).first()
+        if (fresh[0] or 0) <= SETTLED * (fresh[1] or 0):
             break
-    return graph.select("node", "nbr", "sim")
+    return graph
 
 
-def _similarity(pairs: DataFrame) -> DataFrame:
-    """(q, node, xq, x) -> (q, node, sim), the inner product."""
+def greedy_search(graph: DataFrame, queries: DataFrame, beam: int = BEAM) -> DataFrame:
+    """(q, l): the nodes (sim, node, done) that a greedy search finds nearest to each query, best first. queries: q, a
+    node of the graph, from which its search starts.
+
+    A query keeps its ``beam`` best nodes; in each round the best EXPAND of them that were not followed yet are, and the
+    neighbours (in both directions) they lead to are compared with the query. The search of all queries runs in common
+    joins and ends when no query has a node left to follow."""
+    edges = _edges(graph.withColumn("l", F.slice("l", 1, FOLLOW)))
+    links = staged(edges.select("node", "nbr").unionByName(_back(edges, -1, FOLLOW_BACK).select("node", "nbr"))
+                   .groupBy("node").agg(F.collect_set("nbr").alias("nbrs")), "nn-links")
+    points = graph.select("node", "x")
+    item = "struct<sim: float, node: long, done: boolean>"
 
     def run(batches):
         import numpy as np
 
         for batch in batches:
-            if batch.num_rows:
-                sims = np.einsum("ij,ij->i", _read(batch.column(2))[0], _read(batch.column(3))[0])
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sims.astype(np.float32))],
-                                                 ["q", "node", "sim"])
-
-    return pairs.select("q", "node", "xq", "x").mapInArrow(run, "q long, node long, sim float")
-
-
-def greedy_search(graph: DataFrame, points: DataFrame, queries: DataFrame, beam: int = BEAM) -> DataFrame:
-    """(q, node, sim): the nodes that a greedy search finds nearest to each query. queries: q, a node of the graph, from
-    which its search starts.
-
-    A query keeps its ``beam`` best nodes; in each round the best EXPAND of them that were not followed yet are, and the
-    neighbours (in both directions) they lead to are compared with the query. The search of all queries runs in common
-    joins and ends when no query has a node left to follow."""
-    back = _one_per_slot(graph.select(F.col("nbr").alias("node"), F.col("node").alias("nbr"), "sim",
-                                      F.lit(True).alias("new")), REVERSE, -1)
-    links = staged(graph.select("node", "nbr").unionByName(back.select("node", "nbr")).distinct()
-                   .groupBy("node").agg(F.collect_list("nbr").alias("nbrs")), "nn-links")
-    own = points.select(F.col("node").alias("q"), F.col("x").alias("xq"))
-    own = staged(own.join(queries.select("q").distinct(), "q", "left_semi"), "nn-queries")
-    start = _similarity(own.select("q", F.col("q").alias("node"), "xq", F.col("xq").alias("x")))
-    state = start.withColumn("done", F.lit(False))
-    while True:
-        lists = state.groupBy("q").agg(F.slice(F.sort_array(F.collect_list(F.struct("sim", "node", "done")), False),
-                                               1, beam).alias("l"))
-        # the first EXPAND entries that are not done are followed now
-        todo = F.slice(F.filter("l", lambda e: ~e["done"]), 1, EXPAND)
-        state = staged(lists.select("q", F.posexplode("l").alias("i", "e"), F.transform(todo, lambda e: e["node"])
-                                    .alias("todo"))
-                       .select("q", "e.node", "e.sim", (F.col("e.done") | F.array_contains("todo", F.col("e.node")))
-                               .alias("done"), (~F.col("e.done") & F.array_contains("todo", F.col("e.node")))
-                               .alias("now")), "nn-beam")
-        front = state.where("now").select("q", "node")
-        if front.isEmpty():
-            return state.select("q", "node", "sim")
-        state = state.drop("now")
-        seen = front.join(links, "node").select("q", F.explode("nbrs").alias("node")).distinct()
-        seen = seen.join(state, ["q", "node"], "left_anti").join(points, "node").join(own, "q")
-        state = state.unionByName(_similarity(seen).withColumn("done", F.lit(False)))
+            lists = []
+            for row in batch.select(["xq", "l", "seen"]).to_pylist():
+                best = {e["node"]: (e["sim"], e["done"]) for e in row["l"]}
+                new = {e["node"]: e["x"] for e in row["seen"] or () if e["node"] not in best}
+                if new:
+                    query = _read(pa.array([row["xq"]]))[0][0]
+                    sims = _read(pa.array(list(new.values())))[0] @ query
+                    best.update((n, (float(np.float32(v)), False)) for n, v in zip(new, sims))
+                order = sorted(best.items(), key=lambda e: (-e[1][0], e[0]))[:beam]
+                todo = [n for n, (_, done) in order if not done][:EXPAND]
+                now = set(todo)
+                lists.append(([{"sim": v, "node": n, "done": done or n in now} for n, (v, done) in order], todo))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1),
+                 pa.array([a for a, _ in lists], pa.list_(pa.struct([("sim", pa.float32()), ("node", pa.int64()),
+                                                                     ("done", pa.bool_())]))),
+                 pa.array([b for _, b in lists], pa.list_(pa.int64()))], ["q", "xq", "l", "todo"])
+
+    def step(state: DataFrame) -> DataFrame:
+        """state: q, xq, l and seen (node, x) -> q, xq, l with the nodes to follow marked as done, and those as todo."""
+        return staged(state.select("q", "xq", "l", "seen").mapInArrow(
+            run, f"q long, xq binary, l array<{item}>, todo array<long>"), "nn-beam")
+
+    own = points.join(queries.select(F.col("q").alias("node")).distinct(), "node", "left_semi")
+    state = step(own.select(F.col("node").alias("q"), F.col("x").alias("xq"), F.array().cast(f"array<{item}>").alias("l"),
+                            F.array(F.struct("node", "x")).alias("seen")))
+    while not state.where(F.size("todo") > 0).isEmpty():
+        front = state.select("q", F.explode("todo").alias("node"))
+        pairs = front.join(links, "node").select("q", F.explode("nbrs").alias("node"))
+        # dealt out by node once, for the removal of repeats and for the join
+        pairs = pairs.repartition("node").dropDuplicates(["node", "q"]).join(points, "node")
+        seen = pairs.groupBy("q").agg(F.collect_list(F.struct("node", "x")).alias("seen"))  # of EXPAND nodes
+        state = step(state.join(seen, "q", "left"))
+    return state.select("q", "l")
 
 
 def nearest(df: DataFrame, query: Column, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -280,8 +351,8 @@ def nearest(df: DataFrame, query: Column, k: int = 20, id_col: str = "vec_id", v
              .agg(F.min(F.col(vec_col).cast("array<double>")).alias("vec")))
     asked = staged(asked.join(nodes.select("node", "vec"), "vec").select("query_id", F.col("node").alias("q")), "nn-asked")
     graph = neighbour_graph(points)
-    found = greedy_search(graph, points, asked.select("q").distinct())
-    pairs = found.select("q", "node").join(nodes, "node").join(
+    found = greedy_search(graph, asked.select("q").distinct())
+    pairs = found.select("q", F.explode("l.node").alias("node")).join(nodes, "node").join(
         nodes.select(F.col("node").alias("q"), F.col("vec").alias("qvec")), "q")
 
     def run(batches):
