@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from profitlens.llm._common import small_batches
 
 MAX_TOXIC, MAX_CLEAN = 4000, 8000  # labelled rows that the lexicon and the weights are learned from, at most
-MAX_TERMS = 2000                   # terms of the lexicon, at most
+MAX_TERMS = 2000                   # words of the lexicon, and stems, at most
 MIN_DOCS = 4                       # toxic documents a term needs
 MIN_WEIGHT, MIN_Z = 2.0, 3.0       # smoothed log odds of a term, and its distance from 0 in standard errors
 STEMS = (4, 5, 6, 7)               # lengths of word beginnings that are terms of their own (written with a *)
@@ -182,7 +182,8 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
 
     Documents are counted for each word and each beginning (tasks add up what they read, a group-by the rest); a term
     needs MIN_DOCS toxic documents, smoothed log odds of MIN_WEIGHT and a significance of MIN_Z; the MAX_TERMS strongest
-    stay. A term that begins with a stem of about its strength adds nothing and is left out."""
+    words and the MAX_TERMS strongest beginnings stay. A stem that begins with another of about its strength adds nothing
+    and is left out; a whole word always stays, as only words have edits and so find misspelled ones."""
     small_batches(sample.sparkSession)
 
     def run(batches):
@@ -216,13 +217,14 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
              .where(F.col("t") >= MIN_DOCS)
              .withColumn("weight", F.log((F.col("t") + 0.5) / (toxic + 1.0)) - F.log((F.col("c") + 0.5) / (clean + 1.0)))
              .withColumn("z", F.col("weight") / F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5)))
-             .where((F.col("weight") >= MIN_WEIGHT) & (F.col("z") >= MIN_Z))
-             .orderBy(F.desc("z"), "term").limit(MAX_TERMS).select("term", "weight").collect())
-    weights = {r.term: float(r.weight) for r in terms}
+             .where((F.col("weight") >= MIN_WEIGHT) & (F.col("z") >= MIN_Z)))
+    strongest = lambda kind: terms.where(kind).orderBy(F.desc("z"), "term").limit(MAX_TERMS)
+    stem = F.col("term").endswith("*")
+    weights = {r.term: float(r.weight) for r in strongest(~stem).unionByName(strongest(stem)).collect()}
     kept = {}
     for t in sorted(weights, key=lambda t: (len(t.rstrip("*")), t)):
         stems = [f"{t[:n]}*" for n in STEMS if n < len(t.rstrip("*"))]
-        if not any(s in kept and kept[s] >= weights[t] - 1.5 for s in stems):
+        if not t.endswith("*") or not any(s in kept and kept[s] >= weights[t] - 1.5 for s in stems):
             kept[t] = weights[t]
     return kept
 

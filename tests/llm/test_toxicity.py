@@ -84,3 +84,17 @@ def test_odd_rows(spark, odd, empty):
     assert nothing[0] == {} and {r.score for r in score_toxicity(odd, ["doc_id"], "text", nothing).collect()} == {0.5}
     odd_labels = spark.createDataFrame([(1, 1), (1, None), (None, 1), (2, 0), (77, 1), (9, 5)], "doc_id long, toxic int")
     learn_toxicity(odd, odd_labels, lambda doc_id: doc_id >= 0)
+
+
+def test_learned_words_are_found_misspelled(spark):
+    """Words stay in the lexicon beside their stems, so that held-out texts with a slip in the first letters score."""
+    terms = {"worthless": "wothless", "pathetic": "pahetic", "idiot": "idot", "moron": "mron", "trash": "tash"}
+    rng, plain = random.Random(3), [f"{a}{b}" for a in ("table", "river", "garden", "window") for b in ("", "s", "side")]
+    text = lambda *more: " ".join([*rng.choices(plain, k=15), *more, *rng.choices(plain, k=15)])
+    rows = [(i, text(list(terms)[i % 5]) if i < 100 else text(), int(i < 100)) for i in range(300)]
+    known = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = learn_toxicity(known.drop("toxic"), known.drop("text"), lambda doc_id: doc_id >= 0)
+    assert set(terms) <= set(model[0])
+    new = [(1000 + i, text(slip)) for i, slip in enumerate(terms.values())] + [(2000 + i, text()) for i in range(5)]
+    out = score_toxicity(spark.createDataFrame(new, "doc_id long, text string"), ["doc_id"], "text", model).collect()
+    assert all((r.score > 0.5) == (r.doc_id < 2000) for r in out), out
