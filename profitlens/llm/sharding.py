@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from profitlens.llm._common import staged
+from profitlens.llm._common import join_on, staged
 
 BINS = 1024           # bins of one histogram step
 TOLERANCE = 1 / 4096  # a split is fixed once its bin holds at most this share of the node's bytes
 MAX_SHARDS = 1 << 16  # the tree (a few numbers for each shard) is held by the driver
 SLICES = 1024         # a shard's slots are numbered in so many slices
 TIE = 1 << 32
+SALTS = 16
 
 
 @dataclass(frozen=True)
@@ -30,10 +31,21 @@ class Node:
     cut: int | None = None  # keys under it go left
 
 
-def string_place(c: Column) -> Column:
-    """A number that orders strings as their first six bytes do; 0 for null or empty."""
-    head = F.rpad(F.substring(F.hex(F.coalesce(c.cast("string"), F.lit(""))), 1, 12), 12, "0")
-    return F.conv(head, 16, 10).cast("double")
+def with_rank(rows: DataFrame, name: str) -> DataFrame:
+    """The string column replaced by its rank (a double from 0) among its different values, null the first of them.
+
+    The values are sorted by range partitions and numbered within them. Ranks come back by a join on the value and a
+    SALTS-fold salt of ``tie``, so a value of a third of the rows is no hot spot."""
+    seen = rows.select(name).distinct().repartitionByRange(name).sortWithinPartitions(name)
+    seen = staged(seen.withColumn("id", F.monotonically_increasing_id()), "shard-values")
+    seen = seen.withColumn("part", F.shiftright("id", 33)).withColumn("at", F.col("id") - F.shiftleft("part", 33))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
+    starts = seen.groupBy("part").count().select("part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
+    ranks = seen.join(starts, "part").select(
+        name, (F.col("start") + F.col("at")).cast("double").alias("rank"),
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")).alias("salt"))
+    found = join_on(rows.withColumn("salt", F.col("tie") % SALTS), ranks, [name, "salt"])
+    return found.drop(name, "salt").withColumnRenamed("rank", name)
 
 
 def _table(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
@@ -152,17 +164,18 @@ def with_slots(rows: DataFrame, order: list[str]) -> DataFrame:
 def shard_documents(documents: DataFrame, shards: int = 16, target_bytes: int | None = None) -> DataFrame:
     """Law ``bytes``: every document in one of the shards of nearly equal bytes, with its slot.
 
-    size is the UTF-8 bytes of the text plus 1 (null: none), the metadata dimensions are lang, source and the logarithm
-    of size. Null lang, source, text or doc_id count as empty; repeated rows each get a slot of their own; extra columns
+    size is the UTF-8 bytes of the text plus 1 (null: none), the metadata dimensions are the ranks of lang and source
+    among their values (null has its own) and the logarithm of size. A null text counts as empty; repeated rows each get a slot of their own; extra columns
     are not read. Empty table: no rows."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     size = (F.octet_length(text) + 1).cast("long")
     crc = F.crc32(text.cast("binary")).cast("long")
     tie = F.xxhash64(F.col("doc_id"), crc, size).bitwiseAND(F.lit(TIE - 1))
     rows = staged(documents.select("doc_id", size.alias("size"), crc.alias("text_crc32"), tie.alias("tie"),
-                                   string_place(F.col("lang")).alias("lang"),
-                                   string_place(F.col("source")).alias("source"),
+                                   F.col("lang").cast("string").alias("lang"),
+                                   F.col("source").cast("string").alias("source"),
                                    F.log2(size).alias("length")), "shard-rows")
+    rows = staged(with_rank(with_rank(rows, "lang"), "source"), "shard-places")
     if target_bytes:
         shards = None
     placed = kd_shards(rows, ["source", "lang", "length"], target_bytes, shards)

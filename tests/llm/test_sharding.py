@@ -55,3 +55,12 @@ def test_odd_rows(odd, empty):
     check(shard_documents(odd), [(r.doc_id, r.text) for r in odd.select("doc_id", "text").collect()])
     assert shard_documents(empty).count() == 0
     assert shard_documents(empty, target_bytes=100).count() == 0
+
+
+def test_sources_with_a_common_beginning_and_a_null_one(spark):
+    """The tree splits by source although all names begin alike and one source is null."""
+    name = F.concat(F.lit("https://common/crawl/"), F.lpad((F.col("id") % 16).cast("string"), 2, "0"))
+    docs = spark.range(1700).select(F.col("id").alias("doc_id"), F.lit("t" * 10).alias("text"), F.lit("en").alias("lang"),
+                                    F.when(F.col("id") < 1600, name).alias("source"))
+    found = shard_documents(docs).join(docs, "doc_id").groupBy("shard").agg(F.countDistinct("source").alias("n")).collect()
+    assert len(found) == 16 and all(r.n <= 3 for r in found)
