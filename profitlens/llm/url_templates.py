@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from profitlens.llm._common import join_on, staged
 
-DEPTH = 4           # levels of the tree; what lies deeper shares the last one
 MAX_CHILDREN = 10   # a segment is variable if its place has more values than this
 MIN_SUPPORT = 4     # and fewer pages for a value, in the mean, than this
 BAND_Z = 1.96       # a branch is mostly allowed (blocked) if the 95 % interval of its share lies above (below) one half
@@ -41,10 +42,8 @@ def first_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> tupl
 def shape_of(path: Column) -> Column:
     """The path with what varies by its form generalised: long hexadecimal runs to {h}, runs of digits to {n}."""
     segments = F.filter(F.split(path, "/"), lambda s: s != "")
-    plain = F.transform(segments, lambda s: F.regexp_replace(F.regexp_replace(
+    return F.transform(segments, lambda s: F.regexp_replace(F.regexp_replace(
         s, r"(?i)[0-9a-f]{8}[0-9a-f-]{8,}", "{h}"), r"[0-9]+", "{n}"))
-    head = F.slice(plain, 1, DEPTH - 1)
-    return F.when(F.size(plain) <= DEPTH, plain).otherwise(F.concat(head, F.array(F.lit("**"))))
 
 
 def _band() -> Column:
@@ -65,7 +64,8 @@ def template_purity(pages: DataFrame) -> DataFrame:
     whose Wilson interval of the allowed share lies above one half (``~+``), below it (``~-``), or holds it (``~``), if
     two or more are of a kind. A node's purity is (allowed + PRIOR * purity of its parent) / (labels + PRIOR); a host's
     parent is the whole table, whose prior is one allowed and one blocked url. So a template without labels takes its
-    parent's purity; a host without any is not held to be worse than one half."""
+    parent's purity; a host without any is not held to be worse than one half. The tree is as deep as the paths: a shape
+    is done at its end, or once it is alone in its branch (its further segments then have no siblings)."""
     label = F.col("label")
     cur = pages.groupBy("host", "shape").agg(
         F.count("*").alias("n"), F.coalesce(F.sum(label), F.lit(0)).cast("long").alias("a"),
@@ -78,11 +78,12 @@ def template_purity(pages: DataFrame) -> DataFrame:
     hosts = hosts.select("host", F.when(F.col("a") + F.col("b") > 0, smooth(F.lit(prior)))
                          .otherwise(F.lit(max(prior, 0.5))).alias("purity"))
     cur = join_on(cur, hosts, ["host"]).withColumn("template", F.lit(""))
-    for level in range(DEPTH):
-        cur = staged(cur.withColumn("seg", F.coalesce(F.get("shape", F.lit(level)), F.lit(""))), "url-level")
+    cur, finished, level = staged(cur, "url-level"), [], 0
+    while True:
+        cur = cur.withColumn("seg", F.coalesce(F.get("shape", F.lit(level)), F.lit("")))
         place = ["host", "template"]
         kids = cur.groupBy(*place, "seg").agg(
-            *[F.sum(c).alias(c) for c in "nab"], F.min("purity").alias("parent")).withColumn("band", _band())
+            *[F.sum(c).alias(c) for c in "nab"], F.min("purity").alias("parent"), F.count("*").alias("shapes")).withColumn("band", _band())
         alls = kids.groupBy(*place).agg(
             F.count("*").alias("values"), F.sum("n").alias("pages"),
             *[F.sum((F.col("band") == b).cast("int")).alias(b) for b in ("~+", "~-", "~")])
@@ -91,17 +92,24 @@ def template_purity(pages: DataFrame) -> DataFrame:
         token = (F.when(F.col("seg") == "", "")
                  .when((F.col("values") > MAX_CHILDREN) & (F.col("pages") < MIN_SUPPORT * F.col("values")), "*")
                  .when(F.col("band").isNotNull() & (alike > 1), F.col("band")).otherwise(F.col("seg")))
-        kids = staged(kids.select(*place, "seg", "a", "b", "parent", token.alias("token")), "url-kids")
+        kids = staged(kids.select(*place, "seg", "a", "b", "parent", "shapes", token.alias("token")), "url-kids")
         nodes = kids.groupBy(*place, "token").agg(F.sum("a").alias("a"), F.sum("b").alias("b"),
-                                                  F.min("parent").alias("parent"))
-        nodes = nodes.select(*place, "token", F.when(F.col("token") == "", F.col("parent"))
+                                                  F.min("parent").alias("parent"), F.sum("shapes").alias("shapes"))
+        nodes = nodes.select(*place, "token", "shapes", F.when(F.col("token") == "", F.col("parent"))
                              .otherwise(smooth(F.col("parent"))).alias("next"))
         step = join_on(kids.select(*place, "seg", "token"), nodes, [*place, "token"])
-        cur = join_on(cur, step.select(*place, "seg", F.col("token").alias("t"), "next"), [*place, "seg"]).select(
-            "host", "shape", "n", "a", "b", F.col("next").alias("purity"),
-            F.when(F.col("t") == "", F.col("template")).otherwise(F.concat("template", F.lit("/"), "t"))
-            .alias("template"))
-    return cur.select("host", "shape", "template", "purity")
+        cur = join_on(cur, step.select(*place, "seg", F.col("token").alias("t"), "next", "shapes"), [*place, "seg"])
+        rest = F.when(F.col("shapes") == 1, F.slice("shape", level + 2, F.greatest(F.size("shape"), F.lit(1)))).otherwise(
+            F.array().cast("array<string>"))
+        cur = staged(cur.select(
+            "host", "shape", "n", "a", "b", F.aggregate(rest, F.col("next"), lambda p, s: smooth(p)).alias("purity"),
+            F.when(F.col("t") == "", F.col("template")).otherwise(F.concat("template", F.lit("/"), F.array_join(
+                F.concat(F.array("t"), rest), "/"))).alias("template"),
+            ((F.col("shapes") == 1) | (F.size("shape") <= level)).alias("done")), "url-level")
+        finished.append(cur.where("done").select("host", "shape", "template", "purity"))
+        cur, level = cur.where(~F.col("done")).drop("done"), level + 1
+        if cur.isEmpty():
+            return functools.reduce(DataFrame.unionByName, finished)
 
 
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id", url_col: str = "url") -> DataFrame:

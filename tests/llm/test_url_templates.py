@@ -94,3 +94,16 @@ def test_empty_table_and_repeated_rows(spark):
     got = judge_urls(df, URL_RULES).collect()
     assert len(got) == 4 and sum(r.verdict == "block" for r in got) == 3
     assert judge_urls(df.limit(0), URL_RULES).count() == 0
+
+
+def test_deep_paths_are_judged_by_their_whole_template(spark):
+    """What differs in the fifth segment is judged apart; a path of hundreds of segments keeps all of them."""
+    rules = [("block", "h.com/a/b/c/spam/1"), ("allow", "h.com/a/b/c/news/1")]
+    df = pages(spark, [("http://h.com/a/b/c/spam/1/x/y{i}", 40), ("http://h.com/a/b/c/news/1/x/y{i}", 40),
+                       ("http://h.com/a/b/c/spam/2/x/y{i}", 5), ("http://h.com/a/b/c/news/2/x/y{i}", 5),
+                       ("http://h.com/" + "/".join(["s"] * 300), 1)])
+    rows = judge_urls(df, rules).collect()
+    assert len(rows) == 91 and {r.verdict for r in rows if "/spam/" in r.path} == {"block"}
+    assert {r.verdict for r in rows if "/news/" in r.path} == {"allow"}
+    assert "/a/b/c/spam/{n}/x/y{n}" in {r.template for r in rows}
+    assert "/" + "/".join(["s"] * 300) in {r.template for r in rows}
