@@ -16,8 +16,9 @@ BITS = 64
 HOT_BUCKET = 4096
 
 
-def fingerprints(df: DataFrame, id_col: str, text_col: str, shingle: int = 3, seed: int = 42) -> DataFrame:
-    """doc_id and the 64-bit SimHash (signed long) of each whole text.
+def fingerprints(df: DataFrame, id_col: str, text_col: str, shingle: int = 3, seed: int = 42,
+                 others: tuple = ()) -> DataFrame:
+    """doc_id, the columns ``others`` and the 64-bit SimHash (signed long) of each whole text.
 
     Words of the text (A-Z lower-cased) form shingles of ``shingle`` words joined by a space, with repeats; fewer words:
     the whole sequence. A bit is 1 if it is set in over half of the shingles' XXH64. Null text, or no word: 0."""
@@ -47,11 +48,12 @@ def fingerprints(df: DataFrame, id_col: str, text_col: str, shingle: int = 3, se
             return int(np.packbits(2 * ones > len(h), bitorder="little").view(np.int64)[0])
 
         for batch in batches:
-            made = pa.array([one(t) for t in batch.column(1).to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), made], ["doc_id", "fp"])
+            made = pa.array([one(t) for t in batch.column(batch.num_columns - 1).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], made], schema.names)
 
-    docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return docs.mapInArrow(run, docs.select("doc_id").schema.add("fp", "long"))
+    docs = df.select(F.col(id_col).alias("doc_id"), *others, F.col(text_col).cast("string").alias("__text"))
+    schema = docs.drop("__text").schema.add("fp", "long")
+    return docs.mapInArrow(run, schema)
 
 
 def _signed(mask: int) -> int:
@@ -163,22 +165,32 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     the component search, which runs in Spark. Null and empty texts have fingerprint zero and link like any other. A
     null doc_id never names a component unless all its documents lack one (then null). Repeated rows stay; an empty
     table gives no rows. Only the two named columns are read, so others cannot clash."""
-    docs = staged(fingerprints(df, id_col, text_col, shingle, seed), "simhash-docs")
+    return _grouped(df, id_col, text_col, shingle, distance, seed).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _grouped(df: DataFrame, id_col: str, text_col: str, shingle: int = 3, distance: int = 3, seed: int = 42,
+             others: tuple = ()) -> DataFrame:
+    """doc_id, ``others``, fp, root (the fingerprint that names the component) and component_id of every row."""
+    docs = staged(fingerprints(df, id_col, text_col, shingle, seed, others), "simhash-docs")
     classes = staged(docs.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-classes")
     edges = staged(links_within(classes.select("fp"), distance).distinct(), "simhash-links")
     roots = connected_components(edges)
     found = (classes.join(roots, classes.fp == roots.node, "left")
              .select("fp", F.coalesce("root", "fp").alias("root"), "least"))
     least = found.groupBy("root").agg(F.min("least").alias("component_id"))
-    found = found.join(least, "root").select("fp", "component_id")
-    return docs.join(found, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return docs.join(found.join(least, "root").select("fp", "root", "component_id"), "fp")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The document with the smallest doc_id of each group of near-duplicates, all columns (rows that repeat this
-    doc_id: one of them)."""
-    found = near_duplicates(docs, id_col, text_col, **options)
-    first = (found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-             .select(F.col("doc_id").alias("__kept")).distinct())
-    return docs.join(first, docs[id_col].eqNullSafe(first["__kept"]), "left_semi").dropDuplicates([id_col])
+    """One document of each group of near-duplicates, all columns: the one with the smallest doc_id, of several rows with
+    this doc_id (or without any) the one with the smallest digest of the text. Groups that share a doc_id, or lack one,
+    each keep theirs."""
+    digest = F.sha2(F.col(text_col).cast("string"), 256)
+    found = _grouped(docs, id_col, text_col, others=(digest.alias("digest"),), **options)
+    first = (found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root")
+             .agg(F.min(F.struct("doc_id", "digest")).alias("kept"))
+             .select(F.col("kept.doc_id").alias("__kept"), F.col("kept.digest").alias("__kept_digest")))
+    own = docs.withColumn("__digest", digest)
+    same = own[id_col].eqNullSafe(first["__kept"]) & own["__digest"].eqNullSafe(first["__kept_digest"])
+    return own.join(first, same, "left_semi").dropDuplicates([id_col, "__digest"]).drop("__digest")

@@ -103,3 +103,15 @@ def test_components(spark):
     want = roots({n for a, b in edges if a != b for n in (a, b)}, [e for e in edges if e[0] != e[1]])
     assert got == want
     assert connected_components(spark.createDataFrame([(1, 1)], "a long, b long")).count() == 0
+
+
+def test_groups_without_or_with_one_id_each_keep_a_document(spark):
+    """Unrelated texts whose ids are null or repeated all stay; copies still go."""
+    from profitlens.llm.simhash import keep_one
+
+    text = lambda i: " ".join(f"w{i}x{j}" for j in range(40))
+    rows = [(None, text(i)) for i in range(6)] + [(7, text(i)) for i in range(10, 14)] + [
+        (None, text(0)), (7, text(10)), (3, text(20)), (4, text(20)), (None, text(20)), (None, None)]
+    got = keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [(None, text(i)) for i in range(6)] + [(7, text(i)) for i in range(10, 14)] + [(3, text(20)), (None, None)]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
