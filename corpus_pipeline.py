@@ -12,19 +12,35 @@ from pyspark.sql import functions as F
 from profitlens.llm._common import fold, read, staged
 from profitlens.session import drop_staged
 
-MIN_LANG_SCORE = 0.02  # documents whose cosine with the nearest language is smaller are rejected
+LANG_DIMS = 2048       # an unrelated text has a cosine of about 0 +- 1 / sqrt(LANG_DIMS) with a language
+NOISE_Z = 3.5          # documents whose cosine with the nearest language is below so many of these are rejected,
+LOW_QUANTILE, LOW_SHARE = 0.001, 0.5  # or below this share of the low quantile of the language's own documents
+
+
+def lang_limits(docs: DataFrame, profiles: dict[str, list]) -> dict[str, float]:
+    """The smallest cosine that a document of each language needs: LOW_SHARE of the LOW_QUANTILE of its own documents'
+    cosines, and never less than the noise of unrelated texts."""
+    from profitlens.llm.langid import predict_language
+
+    noise = NOISE_Z / LANG_DIMS**0.5
+    own = predict_language(docs, [F.col("lang").cast("string").alias("own")], "text", profiles, LANG_DIMS)
+    low = (own.where(F.col("own") == F.col("lang_pred")).groupBy("lang_pred")
+           .agg(F.percentile_approx("score", LOW_QUANTILE, 10_000).alias("q")).collect())  # a row for each language
+    return {n: noise for n in profiles} | {r.lang_pred: max(noise, LOW_SHARE * r.q) for r in low}
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Profiles are learned from the texts and languages that the documents have (those of the training folds). A
-    document goes if no language is found (``und``) or the nearest is farther than MIN_LANG_SCORE; lang becomes the
-    predicted language."""
+    document goes if no language is found (``und``) or its cosine with the nearest is below the language's limit, which
+    the cosines of the training folds give (see lang_limits); lang becomes the predicted language."""
     from profitlens.llm.langid import learn_profiles, predict_language
 
     held_out = F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False))
-    profiles = learn_profiles(docs.where(~held_out), "text", "lang")
-    found = predict_language(docs, [F.struct(*docs.columns).alias("doc")], "text", profiles)
-    found = found.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_LANG_SCORE))
+    profiles = learn_profiles(docs.where(~held_out), "text", "lang", LANG_DIMS)
+    limits = lang_limits(docs.where(~held_out), profiles)
+    found = predict_language(docs, [F.struct(*docs.columns).alias("doc")], "text", profiles, LANG_DIMS)
+    limit = F.create_map(*[F.lit(v) for pair in limits.items() for v in pair])[F.col("lang_pred")] if limits else F.lit(1.0)
+    found = found.where((F.col("lang_pred") != "und") & (F.col("score") >= limit))
     return found.select(*[F.col("lang_pred").alias("lang") if c == "lang" else F.col(f"doc.`{c}`") for c in docs.columns])
 
 

@@ -18,13 +18,14 @@ CACHED_NGRAMS = 1 << 16  # n-gram vectors a task keeps
 class NgramSpace:
     """Vectors of letter trigrams: a letter has a random vector of +1 and -1 drawn from its code point; a trigram binds
     (multiplies) the vectors of its letters, permuted (rolled) by their distance from its end. Vectors are kept for up
-    to CACHED_NGRAMS trigrams and made anew beyond, so memory is bounded for any script."""
+    to CACHED_NGRAMS trigrams (fewer if they are longer than DIMS) and made anew beyond, so memory is bounded for any script."""
 
     def __init__(self, dims: int = DIMS, seed: int = SEED):
         import numpy as np
         import regex
 
         self.np, self.dims, self.seed = np, dims, seed
+        self.cached = max(1, CACHED_NGRAMS * DIMS // dims)
         self.other = regex.compile(r"\P{L}+")
         self.letters: dict[int, object] = {}
         self.clear()
@@ -64,9 +65,9 @@ class NgramSpace:
         """Make room for, and make, the vectors of a batch's codes (any order, with repeats)."""
         np = self.np
         new = np.setdiff1d(codes, self.codes)
-        if len(self.codes) + len(new) > CACHED_NGRAMS:
+        if len(self.codes) + len(new) > self.cached:
             self.clear()
-            new = np.unique(codes)[:CACHED_NGRAMS]
+            new = np.unique(codes)[:self.cached]
         if len(new):
             both = np.concatenate([self.codes, new])
             order = np.argsort(both)

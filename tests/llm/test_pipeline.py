@@ -41,3 +41,17 @@ def test_stages_on_odd_and_empty_tables(spark, odd, empty):
             if name != "bpe":
                 assert cur.columns == docs.columns
     assert {r.doc_id for r in pipeline.language_id(spark, odd, SF).collect()} & {3, 4, 5, 8} == set()
+
+
+def test_unlearned_scripts_go_and_known_texts_stay(spark):
+    import random
+
+    rng = random.Random(7)
+    scripts = [(0x430, 32), (0x3B1, 24), (0x4E00, 3000), (0x627, 28), (0x5D0, 27)]  # Cyrillic, Greek, CJK, Arabic, Hebrew
+    word = lambda first, n: "".join(chr(first + rng.randrange(n)) for _ in range(rng.randint(2, 8)))
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(10**6 + 100 * i + j, " ".join(word(*s) for _ in range(200)), None, "x", 1)
+            for i, s in enumerate(scripts) for j in range(20)]
+    other = spark.createDataFrame(rows, docs.schema)
+    kept = {r.doc_id for r in pipeline.language_id(spark, docs.unionByName(other), SF).select("doc_id").collect()}
+    assert kept == {r.doc_id for r in docs.select("doc_id").collect()}
