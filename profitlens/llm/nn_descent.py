@@ -21,6 +21,7 @@ SETTLED = 0.03    # the descent ends when a smaller share of the links is new
 FOLLOW = 32       # best out-neighbours that the search follows,
 FOLLOW_BACK = 8   # and in-neighbours
 BEAM = 96         # nodes that a query keeps
+ENTRIES = 4       # nodes of each octave of the length that every search starts from, beside its own
 EXPAND = 32       # of them, nodes that are followed at once
 SEED = 17
 
@@ -50,9 +51,10 @@ def distinct_vectors(df: DataFrame, id_col: str, vec_col: str, keep: int) -> Dat
 
 
 def _points(nodes: DataFrame) -> DataFrame:
-    """node and x, the vector as its direction in half precision, its length and one more component that makes all
-    lengths equal (single precision, in units of the greatest length): near points of that sphere have large inner
-    products, so a graph of nearest points serves a search by inner product."""
+    """node and x, the vector as its direction in half precision, its length, and by how much the component that
+    makes all lengths equal falls short of 1 (single precision, in units of the greatest length; the shortfall keeps its
+    precision where the component itself would be rounded to 1): near points of that sphere have large inner products, so
+    a graph of nearest points serves a search by inner product."""
     norm = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)
     top = nodes.agg(F.max(norm)).first()[0] or 1.0
 
@@ -67,7 +69,7 @@ def _points(nodes: DataFrame) -> DataFrame:
             length = np.sqrt((a * a).sum(1) / top)
             rest = np.sqrt(np.maximum(1 - length * length, 0))
             flat = (a / np.maximum(length * np.sqrt(top), 1e-300)[:, None]).astype(np.float16)
-            ends = np.stack([length, rest], 1).astype(np.float32)
+            ends = np.stack([length, length * length / (1 + rest)], 1).astype(np.float32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([e.tobytes() + f.tobytes() for e, f in zip(ends, flat)], pa.binary())],
                 ["node", "x"])
@@ -76,7 +78,7 @@ def _points(nodes: DataFrame) -> DataFrame:
 
 
 def _read(column):
-    """Vectors and the components that complete their lengths, from a column of points."""
+    """Vectors and the shortfalls of the components that complete their lengths, from a column of points."""
     import numpy as np
 
     raw = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
@@ -85,9 +87,11 @@ def _read(column):
 
 
 def _sims(points):
-    """Similarities of all pairs of a few points."""
-    vec, rest = points
-    return vec @ vec.T + rest[:, None] * rest[None, :]
+    """Similarities of all pairs of a few points: minus the squared distance, which short vectors beside a very long one
+    still have digits for."""
+    vec, short = points
+    square = (vec * vec).sum(1)
+    return -(square[:, None] + square[None, :] - 2 * (vec @ vec.T) + (short[:, None] - short[None, :]) ** 2)
 
 
 EDGE = "struct<sim: float, nbr: long, new: boolean>"
@@ -153,7 +157,7 @@ def _update(graph: DataFrame, found: DataFrame, k: int) -> DataFrame:
 
 def _first_lists(points: DataFrame, k: int) -> DataFrame:
     """Neighbours among the RUN nodes that come next to each other in each of ORDERS random orders (by the signs of random
-    projections, then by one projection). The orders are range-partitioned, no bucket is larger than RUN."""
+    projections of the directions, then by one projection; in every second order by the octave of the length first). The orders are range-partitioned, no bucket is larger than RUN."""
 
     def order(batches):
         import numpy as np
@@ -162,13 +166,14 @@ def _first_lists(points: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            vec, rest = _read(batch.column(1))
-            x = np.concatenate([vec, rest[:, None]], 1)
+            vec, _ = _read(batch.column(1))
+            length = np.maximum(np.sqrt((vec.astype(np.float64) ** 2).sum(1)), 1e-300)
+            x, octave = (vec / length[:, None]).astype(np.float32), np.floor(-np.log2(length)).clip(0, 2000).astype(np.int64)
             if planes is None:
                 planes = np.random.default_rng(SEED).standard_normal((ORDERS, BITS + 1, x.shape[1])).astype(np.float32)
             for t in range(ORDERS):
                 p = x @ planes[t].T
-                code = ((p[:, :BITS] > 0) << np.arange(BITS)).sum(1)
+                code = ((p[:, :BITS] > 0) << np.arange(BITS)).sum(1) + (octave << BITS) * (t % 2)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(x), t, np.int32)), pa.array(code.astype(np.int32)),
                      pa.array(p[:, BITS]), *batch.columns], ["t", "code", "p", "node", "x"])
@@ -212,7 +217,7 @@ def _neighbours_of_neighbours(graph: DataFrame, k: int, turn: int) -> DataFrame:
     edges = _edges(graph)
     around = edges.unionByName(_back(edges, turn, REVERSE)).select(F.col("node").alias("via"), "nbr", "new")
     info = graph.select(F.col("node").alias("nbr"), "x", F.when(
-        F.size("l") >= k, F.element_at("l", -1)["sim"]).otherwise(F.lit(-4.0).cast("float")).alias("worst"))
+        F.size("l") >= k, F.element_at("l", -1)["sim"]).otherwise(F.lit(-16.0).cast("float")).alias("worst"))
     # every node meets its at most k + REVERSE neighbours
     met = around.join(info, "nbr").select("via", "nbr", "new", "x", "worst")
     met = met.repartition("via").sortWithinPartitions("via")
@@ -282,9 +287,18 @@ def neighbour_graph(points: DataFrame, k: int = NEIGHBOURS, steps: int = STEPS)
     return graph
 
 
-def greedy_search(graph: DataFrame, queries: DataFrame, beam: int = BEAM) -> DataFrame:
+def entry_points(nodes: DataFrame, points: DataFrame) -> DataFrame:
+    """One row with ``entries``, an array of (node, x): up to ENTRIES long vectors of each octave of the length."""
+    norm = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)
+    octave, slot = F.floor(F.log2("norm") / 2), F.pmod(F.xxhash64("node"), F.lit(ENTRIES))
+    some = (nodes.select("node", norm.alias("norm")).groupBy(octave.alias("octave"), slot.alias("slot"))
+            .agg(F.max(F.struct("norm", "node")).alias("e")).select("e.node"))
+    return points.join(some, "node").agg(F.collect_list(F.struct("node", "x")).alias("entries"))
+
+
+def greedy_search(graph: DataFrame, queries: DataFrame, beam: int = BEAM, entries: DataFrame | None = None) -> DataFrame:
     """(q, l): the nodes (sim, node, done) that a greedy search finds nearest to each query, best first. queries: q, a
-    node of the graph, from which its search starts.
+    node of the graph, from which its search starts; ``entries`` (see entry_points): further nodes that all start from.
 
     A query keeps its ``beam`` best nodes; in each round the best EXPAND of them that were not followed yet are, and the
     neighbours (in both directions) they lead to are compared with the query. The search of all queries runs in common
@@ -323,8 +337,11 @@ def greedy_search(graph: DataFrame, queries: DataFrame, beam: int = BEAM) -> Dat
             run, f"q long, xq binary, l array<{item}>, todo array<long>"), "nn-beam")
 
     own = points.join(queries.select(F.col("q").alias("node")).distinct(), "node", "left_semi")
+    first = F.array(F.struct("node", "x"))
+    if entries is not None:
+        own, first = own.crossJoin(F.broadcast(entries)), F.concat(first, "entries")
     state = step(own.select(F.col("node").alias("q"), F.col("x").alias("xq"), F.array().cast(f"array<{item}>").alias("l"),
-                            F.array(F.struct("node", "x")).alias("seen")))
+                            first.alias("seen")))
     while not state.where(F.size("todo") > 0).isEmpty():
         front = state.select("q", F.explode("todo").alias("node"))
         pairs = front.join(links, "node").select("q", F.explode("nbrs").alias("node"))
@@ -351,7 +368,7 @@ def nearest(df: DataFrame, query: Column, k: int = 20, id_col: str = "vec_id", v
              .agg(F.min(F.col(vec_col).cast("array<double>")).alias("vec")))
     asked = staged(asked.join(nodes.select("node", "vec"), "vec").select("query_id", F.col("node").alias("q")), "nn-asked")
     graph = neighbour_graph(points)
-    found = greedy_search(graph, asked.select("q").distinct())
+    found = greedy_search(graph, asked.select("q").distinct(), entries=entry_points(nodes, points))
     pairs = found.select("q", F.explode("l.node").alias("node")).join(nodes, "node").join(
         nodes.select(F.col("node").alias("q"), F.col("vec").alias("qvec")), "q")
 

@@ -72,3 +72,22 @@ def test_few_rows_and_none(spark):
     assert result(nearest(df, F.col("vec_id") % 20 == 0)) == {20: [(3, 0.5), (4, -1.0)]}
     assert nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
     assert nearest(df.where("vec_id = 20"), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_heavy_tailed_lengths(spark):
+    """One vector 10,000 times as long as the others, and some in between, leave the neighbours of all findable."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(5)
+    v = rng.standard_normal((3000, 32))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    v[0] *= 10_000
+    v[1:30] *= np.exp(rng.uniform(0, 6, 29))[:, None]
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in nearest(df, F.col("vec_id") % 60 == 31).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    sims = v @ v.T
+    np.fill_diagonal(sims, -np.inf)
+    found = [len(got[q] & set(np.argsort(-sims[q])[:20].tolist())) / 20 for q in range(31, 3000, 60)]
+    assert len(got) == 50 and np.mean(found) > 0.85, np.mean(found)
