@@ -96,6 +96,12 @@ def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from profitlens.llm.resampling import resample
+
+    return resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), percent=5).drop("n_words")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)
 }
