@@ -173,9 +173,37 @@ SELECT o.page_id, o.host, o.path, o.rule,
 FROM own o JOIN done d ON o.host = d.host AND o.shape = d.shape
 """
 
+# ---- op12: benchmark decontamination (windows of 10 words, shorter items whole)
+
+_LOWERED = "translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+DECONTAMINATION = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT COALESCE(CAST(item_id AS VARCHAR), '') AS item, {_WORDS} AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item, n, array_to_string(w[s + 1:s + n], ' ') AS win
+  FROM (SELECT item, w, least(len(w), 10) AS n, unnest(range(len(w) - least(len(w), 10) + 1)) AS s
+        FROM b WHERE len(w) > 0) t),
+own AS (
+  SELECT r, s, n, array_to_string(w[s + 1:s + n], ' ') AS win
+  FROM (SELECT r, w, n, unnest(range(len(w) - n + 1)) AS s
+        FROM d, (SELECT DISTINCT n FROM win) l WHERE len(w) >= n) t),
+occ AS (SELECT r, s, n, item FROM own JOIN win USING (n, win)),
+hit AS (SELECT r, count(DISTINCT p) AS k FROM (SELECT r, unnest(range(s, s + n)) AS p FROM occ) t GROUP BY r),
+items AS (
+  SELECT r, count(DISTINCT item) AS k, sha256(array_to_string(list_sort(list(DISTINCT item)), ',')) AS sha
+  FROM occ GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(COALESCE(hit.k, 0) AS BIGINT) AS n_hit,
+       CAST(COALESCE(items.k, 0) AS BIGINT) AS n_items, COALESCE(items.sha, sha256('')) AS items_sha256,
+       COALESCE(hit.k, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
+"""
+
 
 ORACLE_SQL: dict[str, str] = {
     "op1_mixing": _mixing(),
     "op5_url_templates": _urls(),
+    "op12_decontamination": DECONTAMINATION,
     "op8_quality_rules": QUALITY,
 }

@@ -102,6 +102,15 @@ def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), percent=5).drop("n_words")
 
 
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from profitlens.llm.decontaminate import benchmark_hits
+
+    found = benchmark_hits(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)
 }
