@@ -200,10 +200,35 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(COALESCE(hit.k, 0) AS BIG
 FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
 """
 
+# ---- op13: ranked lexical search (10 best of each item)
+
+_TERMS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+SEARCH = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) t GROUP BY r, term),
+total AS (SELECT count(*) AS n, sum(len(w)) AS l FROM d WHERE len(w) > 0),
+size AS (SELECT r, doc_id, CAST(25 + (75 * len(w) * n) // l AS BIGINT) AS m FROM d, total WHERE len(w) > 0),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(n) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, total GROUP BY term),
+item AS (
+  SELECT item_id, term, count(*) AS k FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) t
+  GROUP BY item_id, term),
+scored AS (
+  SELECT item_id, doc_id, r, CAST(sum(k * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM item JOIN weight USING (term) JOIN tf USING (term) JOIN size USING (r) GROUP BY item_id, doc_id, r),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST, r) AS rank
+  FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM placed WHERE rank <= 10
+"""
+
 
 ORACLE_SQL: dict[str, str] = {
     "op1_mixing": _mixing(),
     "op5_url_templates": _urls(),
     "op12_decontamination": DECONTAMINATION,
+    "op13_search": SEARCH,
     "op8_quality_rules": QUALITY,
 }

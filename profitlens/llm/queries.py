@@ -111,6 +111,12 @@ def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from profitlens.llm.search import ranked_search
+
+    return ranked_search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)
 }
