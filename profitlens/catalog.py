@@ -274,7 +274,7 @@ def q_agg13_reconcile(spark, sf_dir):
     f = _facts(spark, sf_dir)
     alloc, unalloc = margin.oi_store_category(f.sales, f.oi, f.category)
     alloc = materialize(alloc, durable=True)  # read by the margin report and by the OI control total
-    cm = margin.company_margin(f.sales, f.coupon, f.oi, f.category, alloc=alloc)
+    cm = materialize(margin.company_margin(f.sales, f.coupon, f.oi, f.category, alloc=alloc), durable=True)
     return finish(reconcile({
         "net_sales": (f.sales, "net_sales", cm, "net_sales"),
         "coupon_cost": (f.coupon, "coupon_cost", cm, "coupon_cost"),
@@ -290,7 +290,7 @@ def _oi_out(alloc, unalloc):
 
 def q_agg13_scorecard(spark, sf_dir):
     f = _facts(spark, sf_dir)
-    card = materialize(stock_plans.category_scorecard(f.sales, f.coupon, f.oi, f.stock))
+    card = materialize(stock_plans.category_scorecard(f.sales, f.coupon, f.oi, f.stock), durable=True)
     raw = {"net_sales": f.sales, "coupon_cost": f.coupon, "oi_amount": margin.supplier_income(f.oi),
            "stock_value": f.stock}
     return finish(reconcile({m: (d, m, card, m) for m, d in raw.items()}))
@@ -302,7 +302,8 @@ def q_agg13_fresh(spark, sf_dir):
     fresh_inc = inc.join(margin.active_categories(f.category, module_name_pattern=fresh.FRESH_PATTERN),
                          "category_id", "left_semi")
     hop1, unalloc = fresh.fresh_oi_hop1(f.sales, f.oi, f.category)
-    hop2 = fresh.fresh_oi(f.sales, f.oi, f.category)
+    hop1 = materialize(hop1, durable=True)  # read by hop 2 and by its own control total
+    hop2 = fresh.fresh_oi(f.sales, f.oi, f.category, hop1)
     return finish(reconcile({
         "oi_amount": (inc, "oi_amount", _oi_out(hop1, unalloc), "amount"),
         "fresh_oi_amount": (fresh_inc, "oi_amount", hop2, "alloc_amount"),
@@ -311,8 +312,8 @@ def q_agg13_fresh(spark, sf_dir):
 
 def q_agg13_chain(spark, sf_dir):
     f = _facts(spark, sf_dir)
-    alloc = materialize(margin.oi_chain_sku(f.sales, f.oi))
-    m = margin.chain_sku_margin(f.sales, f.coupon, f.oi)
+    alloc = materialize(margin.oi_chain_sku(f.sales, f.oi), durable=True)  # read by the report and two totals
+    m = materialize(margin.chain_sku_margin(f.sales, f.coupon, f.oi, alloc), durable=True)
     return finish(reconcile({
         "oi_amount": (margin.supplier_income(f.oi), "oi_amount", alloc, "alloc_amount"),
         "oi_matched": (alloc.where("alloc_level = 1"), "alloc_amount", m.where(F.col("channel") != UNALLOCATED),

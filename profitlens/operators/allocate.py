@@ -9,12 +9,14 @@ Plan shape, chosen for scale:
   the share of the summed weight, so allocated totals are unchanged) — map-side
   partial aggregation, no hot-key skew. Lines without a grain value keep their
   share; only a missing key leaves a line out;
-* one more aggregate gives each group its base and its largest line; it is
-  joined back instead of using ``Window.partitionBy(keys)``, which would put a
-  whole group (e.g. one category) into one task. The joins are on the keys and
-  a salt of the grain (SALTS copies of the one-row-per-group side), so a group
-  that holds a third of the lines is spread over SALTS tasks whatever join
-  Spark picks;
+* those are written once (``materialize``): every level and branch reads them,
+  not the lines. One more aggregate gives each group its base and its largest
+  line and meets the pools; that small table is written too and tells
+  allocated from residual pools. It is joined back instead of using
+  ``Window.partitionBy(keys)``, which would put a whole group (e.g. one category)
+  into one task; ``skew_join`` deals the lines of hot groups over several tasks;
+* the largest line of a group takes what the rounded others leave, so it comes
+  from the small table and needs no second join with the lines;
 * pools that cannot be allocated (no lines, base below ``min_base``, or a
   missing key) are returned as a residual (left anti join) so no money
   disappears. The reference silently loses zero-base pools;
@@ -30,10 +32,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from profitlens.functions.expr import SHARE, UNALLOCATED, WIDE_MONEY
+from profitlens.operators.skew import hot_keys, skew_join
 from profitlens.session import materialize
 
 MIN_BASE = 0.01
-SALTS = 16  # parts that the lines of one group are dealt into
 
 
 def _uniq(cols: Sequence[str]) -> list[str]:
@@ -79,56 +81,39 @@ def allocate(lines: DataFrame, pool: DataFrame, keys: Sequence[str], weight: str
     if pre_aggregated and set(cols) == set(lines.columns) - {weight}:
         lw = lines.where(_all_present(keys)).select(*cols, F.coalesce(F.col(weight), F.lit(0)).alias(weight))
     else:
-        lw = (lines.where(_all_present(keys)).groupBy(*cols)
-              .agg(F.coalesce(F.sum(weight), F.lit(0)).alias(weight)))
+        lw = materialize(lines.where(_all_present(keys)).groupBy(*cols)
+                         .agg(F.coalesce(F.sum(weight), F.lit(0)).alias(weight)), durable=True)
     extra = [c for c in cols if c not in keys]
-    lw = lw.withColumn("_salt", _salt(extra))
     # base and largest line of each group; ties go to the largest grain values
     base = lw.groupBy(*keys).agg(
         F.sum(weight).alias("_base"),
-        F.max(F.struct(F.abs(F.col(weight)), *extra, "_salt")).alias("_top"))
-    usable = F.col("_base") >= F.lit(min_base)
+        F.max(F.struct(F.abs(F.col(weight)).alias("_abs"), *extra, F.col(weight).alias("_w"))).alias("_top"))
+    met = materialize(pl.join(base, keys, "left"), durable=True)  # one row per pool
+    usable = F.coalesce(F.col("_base") >= F.lit(min_base), F.lit(False))
     # strict reference: any pool with lines counts as matched, share 0 when base < min_base
-    matched = base if strict_reference else base.where(usable)
-    ok = matched.join(pl, keys, "inner")
-
-    share = (F.when(usable, F.coalesce(F.try_divide(F.col(weight).cast("double"), F.col("_base").cast("double")),
-                                       F.lit(0.0)))
-             .otherwise(F.lit(0.0)))
-    spread = ok.select(*keys, "_base", amount, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
-    allocated = (lw.join(spread, [*keys, "_salt"], "inner")
-                 .withColumn("_share", share)
-                 .select(*cols, "_salt", F.col(weight),
-                         F.col("_share").cast(SHARE).alias("alloc_share"),
-                         F.col(amount).cast(WIDE_MONEY).alias("pool_amount"),
-                         (F.col("_share") * F.col(amount).cast("double")).cast(WIDE_MONEY).alias("alloc_amount")))
-    if exact:
-        allocated = _absorb_remainder(allocated, ok.where(usable), keys, extra, amount)
-    residual = pl.join(matched.select(*keys), keys, "left_anti")
-    return allocated.drop("_salt"), residual
-
-
-def _salt(grain: Sequence[str]) -> Column:
-    """Part of its group that a line is dealt into, by its grain values."""
-    return F.pmod(F.xxhash64(*grain), F.lit(SALTS)).cast("int") if grain else F.lit(0)
-
-
-def _absorb_remainder(allocated: DataFrame, ok: DataFrame, keys: list[str], grain: list[str], amount: str) -> DataFrame:
-    """Make each group's allocated lines sum exactly to its pool: its largest line
-    takes the rounding remainder. The rounded sums are one hash aggregate; the
-    correction (one row per group, with the salt of the line it is for) meets the
-    lines on the partitioning they already have."""
-    sums = allocated.groupBy(*keys).agg(F.sum("alloc_amount").alias("_sum"))
-    fix = ok.join(sums, keys, "inner").select(
-        *keys, F.col("_top._salt").alias("_salt"), *[F.col(f"_top.{c}").alias(f"_g_{c}") for c in grain],
-        (F.col(amount) - F.col("_sum")).cast(WIDE_MONEY).alias("_diff"))
-    is_top = F.col("_diff").isNotNull()
-    for c in grain:
-        is_top = is_top & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
-    return (allocated.join(fix, [*keys, "_salt"], "left")
-            .withColumn("alloc_amount", F.when(is_top, (F.col("alloc_amount") + F.col("_diff")).cast(WIDE_MONEY))
-                        .otherwise(F.col("alloc_amount")))
-            .drop("_diff", *[f"_g_{c}" for c in grain]))
+    matched = F.col("_base").isNotNull() if strict_reference else usable
+    ok = met.where(matched)
+
+    def shared(rows: DataFrame, weight_col: Column, alloc: Column | None = None) -> DataFrame:
+        share = F.when(usable, F.coalesce(F.try_divide(weight_col.cast("double"), F.col("_base").cast("double")),
+                                          F.lit(0.0))).otherwise(F.lit(0.0))
+        own = share * F.col(amount).cast("double") if alloc is None else alloc
+        return rows.select(*cols, weight_col.alias(weight), share.cast(SHARE).alias("alloc_share"),
+                           F.col(amount).cast(WIDE_MONEY).alias("pool_amount"), own.cast(WIDE_MONEY).alias("alloc_amount"))
+
+    dealt = skew_join(lw, ok, keys, "inner", hot_keys(lw, keys)[0], extra)
+    residual = met.where(~matched).select(*keys, amount)
+    if not exact:
+        return shared(dealt, F.col(weight)), residual
+    top = usable
+    for c in extra:
+        top = top & F.col(c).eqNullSafe(F.col(f"_top.{c}"))
+    rest = shared(dealt.where(~top), F.col(weight))
+    sums = rest.groupBy(*keys).agg(F.sum("alloc_amount").alias("_sum"))
+    tops = ok.where(usable).join(sums, keys, "left").select(
+        "*", *[F.col(f"_top.{c}").alias(c) for c in extra])
+    largest = shared(tops, F.col("_top._w"), F.col(amount) - F.coalesce("_sum", F.lit(0)))
+    return rest.unionByName(largest), residual
 
 
 @dataclass(frozen=True)
@@ -160,11 +145,11 @@ def waterfall(lines: DataFrame, pool: DataFrame, levels: Sequence[Level], weight
                  reported instead of silently dropped.
     """
     out_cols = _uniq([c for lv in levels for c in list(lv.keys) + list(lv.grain)])
-    # One pre-aggregation at the finest grain any level needs; every level
-    # re-aggregates this (much smaller) frame, and Spark reuses its shuffle.
+    # One pre-aggregation at the finest grain any level needs, written once; every
+    # level re-aggregates this (much smaller) table.
     fine_cols = sorted(c for c in out_cols if c in lines.columns)
-    fine = materialize(lines.groupBy(*fine_cols).agg(F.sum(weight).alias(weight)))
-    pending = materialize(pool_rollup(pool, levels[0].keys, amount))
+    fine = materialize(lines.groupBy(*fine_cols).agg(F.sum(weight).alias(weight)), durable=True)
+    pending = pool_rollup(pool, levels[0].keys, amount)
     unallocated = None
     parts = []
     for i, lv in enumerate(levels):
@@ -180,7 +165,7 @@ def waterfall(lines: DataFrame, pool: DataFrame, levels: Sequence[Level], weight
             unallocated = resid.join(scope.select(*scope_keys).distinct(), scope_keys, "left_anti")
             resid = resid.join(scope.select(*scope_keys).distinct(), scope_keys, "left_semi")
         if i + 1 < len(levels):
-            pending = materialize(pool_rollup(resid, levels[i + 1].keys, amount))
+            pending = pool_rollup(resid, levels[i + 1].keys, amount)
         else:
             pending = resid
     kept = pending.select(*[c for c in pending.columns if c in out_cols],
@@ -208,7 +193,7 @@ def reallocate_single(lines: DataFrame, pool: DataFrame, keys: Sequence[str], we
     earlier allocation; it is rolled up to ``keys`` (one row per group) unless the
     caller did."""
     if not pool_is_rolled_up:
-        pool = materialize(pool_rollup(pool, list(keys), amount))
+        pool = pool_rollup(pool, list(keys), amount)
     alloc, resid = allocate(lines, pool, keys, weight, amount, grain, min_base=min_base,
                             pool_is_rolled_up=True)
     out_cols = _uniq(list(keys) + list(grain))

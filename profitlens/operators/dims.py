@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from profitlens.operators.skew import hot_keys, skew_join
+
+
 def first_wins(sources: Sequence[DataFrame], key: str | Sequence[str], attrs: Sequence[str]) -> DataFrame:
     """Master from several sources, first source wins per key (AGG-17, PIPE-03).
 
@@ -34,9 +37,18 @@ def first_wins(sources: Sequence[DataFrame], key: str | Sequence[str], attrs: Se
 
 def enrich(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], attrs: Sequence[str] | None = None) -> DataFrame:
     """Left join a master onto a fact (JN-03). The master must be unique per key
-    (build it with ``first_wins``) so the fact is never multiplied. A plain join:
-    AQE broadcasts the master when its measured bytes allow it, and splits hot
-    keys of the sort-merge join otherwise."""
-    on = [on] if isinstance(on, str) else list(on)
-    cols = on + [a for a in (attrs or dim.columns) if a not in on]
-    return fact.join(dim.select(*cols), on, "left")
+    (build it with ``first_wins``) so the fact is never multiplied."""
+    return enrich_all(fact, [(dim, on, attrs)])
+
+
+def enrich_all(fact: DataFrame, masters: Sequence[tuple]) -> DataFrame:
+    """Left join several masters (master, key, attributes or None for all). Hot keys
+    are dealt out over several tasks (``skew_join``); one pass over the fact's key
+    columns finds those of every master. AQE broadcasts a master when its measured
+    bytes allow it."""
+    keys = [[on] if isinstance(on, str) else list(on) for _, on, *_ in masters]
+    out = fact
+    for (dim, _, *rest), on, hot in zip(masters, keys, hot_keys(fact, *keys)):
+        attrs = (rest[0] if rest else None) or dim.columns
+        out = skew_join(out, dim.select(*on, *[a for a in attrs if a not in on]), on, "left", hot, fact.columns)
+    return out

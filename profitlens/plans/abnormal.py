@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from profitlens.functions.expr import WIDE_MONEY, ratio, round_half_even
 from profitlens.operators.dims import enrich
 from profitlens.operators.rollup import combine
+from profitlens.operators.skew import skew_join
 from profitlens.operators.stats import outside_band
 from profitlens.plans.margin import sales_coupon_margin, store_names
 
@@ -45,7 +46,7 @@ def two_metric_outliers(work: DataFrame, k: float = 6.0) -> DataFrame:
     moments = work.groupBy("category_id").agg(
         F.avg(clean(amt)).alias("_am"), F.stddev_samp(clean(amt)).alias("_as"),
         F.avg(clean(rate)).alias("_rm"), F.stddev_samp(clean(rate)).alias("_rs"))
-    joined = work.select(*keys, amt, rate).join(moments, "category_id", "inner")
+    joined = skew_join(work.select(*keys, amt, rate), moments, ["category_id"])
     return (joined.where(outside_band(amt, "_am", "_as", k))
             .select(*keys, amt, F.when(outside_band(rate, "_rm", "_rs", k), F.col(rate)).alias(rate)))
 

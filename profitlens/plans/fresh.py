@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from profitlens.functions.expr import WIDE_MONEY, matches_any, ratio
 from profitlens.operators.allocate import Level, reallocate_single, waterfall
 from profitlens.operators.rollup import combine, rollup
-from profitlens.session import materialize
 from profitlens.plans.margin import active_categories, sales_coupon_margin, supplier_income
 
 # Fixed value (reference): module / department names of the fresh-food modules
@@ -51,15 +50,15 @@ def fresh_oi_hop1(sales: DataFrame, oi: DataFrame, category: DataFrame) -> tuple
                      scope=active_categories(category, module_name_pattern=FRESH_PATTERN))
 
 
-def fresh_oi(sales: DataFrame, oi: DataFrame, category: DataFrame) -> DataFrame:
+def fresh_oi(sales: DataFrame, oi: DataFrame, category: DataFrame, hop1: DataFrame | None = None) -> DataFrame:
     """PIPE-10 / ALC-07 hop 2: SKU totals of hop 1 spread over stores by the
     SKU's positive store sales; a SKU without store sales keeps its whole amount
     on the sentinel store with share 1. Columns: store, SKU, share, SKU amount,
     store x SKU amount."""
-    hop1, _ = fresh_oi_hop1(sales, oi, category)
-    # SKU totals of hop 1 (AGG-11) are the pool of hop 2: small, read twice
-    sku_amount = materialize(rollup(hop1, ["sku_id"], ["alloc_amount"])
-                             .select("sku_id", F.col("alloc_amount").alias("sku_amount")))
+    if hop1 is None:
+        hop1, _ = fresh_oi_hop1(sales, oi, category)
+    # SKU totals of hop 1 (AGG-11) are the pool of hop 2
+    sku_amount = rollup(hop1, ["sku_id"], ["alloc_amount"]).select("sku_id", F.col("alloc_amount").alias("sku_amount"))
     lines = (fresh_sales(sales, category).where(F.col("net_sales") > 0)
              .select("store_id", "sku_id", "net_sales"))
     out = reallocate_single(lines, sku_amount, ["sku_id"], "net_sales", "sku_amount", ("store_id",),

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 
 from profitlens.functions.expr import MONEY, WIDE_MONEY, matches_any, not_matching, ratio
 from profitlens.operators.allocate import Level, pool_rollup, reallocate_single, waterfall
-from profitlens.operators.dims import enrich, first_wins
+from profitlens.operators.dims import enrich_all, first_wins
 from profitlens.operators.rollup import combine, rollup
-from profitlens.session import materialize
 
 # Fixed values (reference): OI deduction types that are not supplier income
 # ("handling" | "porterage"), and the disabled-category marker.
@@ -123,9 +122,7 @@ def realloc_to_sku(sales: DataFrame, allocated: DataFrame) -> DataFrame:
     """ALC-08: re-allocate an allocated result at category x store x channel down
     to SKU over positive sales lines; unmatched amounts go to the sentinel SKU."""
     lines = sales.where(F.col("net_sales") > 0).select(*STORE_CHANNEL_KEYS, "sku_id", "net_sales")
-    # the waterfall's result is the pool of several branches: one durable intermediate
-    pool = materialize(pool_rollup(allocated.select(*STORE_CHANNEL_KEYS, "alloc_amount"), STORE_CHANNEL_KEYS,
-                                   "alloc_amount"), durable=True)
+    pool = pool_rollup(allocated.select(*STORE_CHANNEL_KEYS, "alloc_amount"), STORE_CHANNEL_KEYS, "alloc_amount")
     return reallocate_single(lines, pool, STORE_CHANNEL_KEYS, "net_sales", "alloc_amount", ("sku_id",),
                              pool_is_rolled_up=True)
 
@@ -187,9 +184,11 @@ def chain_margin(sales: DataFrame, coupon: DataFrame) -> DataFrame:
     return sales_coupon_margin(sales, coupon, CHAIN_KEYS, how="left")
 
 
-def chain_sku_margin(sales: DataFrame, coupon: DataFrame, oi: DataFrame) -> DataFrame:
-    """PIPE-13 (chain): PIPE-04 at category x channel x SKU ⟗ ALC-09 OI."""
-    o = oi_rerolled(oi_chain_sku(sales, oi), CHAIN_KEYS)
+def chain_sku_margin(sales: DataFrame, coupon: DataFrame, oi: DataFrame,
+                     alloc: DataFrame | None = None) -> DataFrame:
+    """PIPE-13 (chain): PIPE-04 at category x channel x SKU ⟗ ALC-09 OI (``alloc``,
+    if the caller has it)."""
+    o = oi_rerolled(oi_chain_sku(sales, oi) if alloc is None else alloc, CHAIN_KEYS)
     return sales_coupon_margin(sales, coupon, CHAIN_KEYS, how="left",
                                extra={"oi": (o, ["alloc_share", "alloc_amount"])})
 
@@ -198,18 +197,18 @@ def enriched_sku_margin(sales: DataFrame, coupon: DataFrame, oi: DataFrame, cate
                         store: DataFrame, modules: Sequence[str]) -> DataFrame:
     """PIPE-14: the store x SKU margin with category, SKU and store names."""
     m = sku_margin_with_oi(sales, coupon, oi, category, modules)
-    m = enrich(enrich(m, category_names(category), "category_id"), store_names(store), "store_id")
-    return enrich(m, sku_master(sales, coupon), "sku_id")
+    return enrich_all(m, [(category_names(category), "category_id"), (store_names(store), "store_id"),
+                          (sku_master(sales, coupon), "sku_id")])
 
 
 def enriched_chain_margin(sales: DataFrame, coupon: DataFrame, oi: DataFrame, category: DataFrame) -> DataFrame:
     """PIPE-14 (chain): the chain margin with SKU and category names."""
-    m = enrich(chain_sku_margin(sales, coupon, oi), sku_master(sales, coupon), "sku_id")
-    return enrich(m, category_names(category), "category_id")
+    return enrich_all(chain_sku_margin(sales, coupon, oi), [(sku_master(sales, coupon), "sku_id"),
+                                                            (category_names(category), "category_id")])
 
 
 def enriched_company_margin(sales: DataFrame, coupon: DataFrame, oi: DataFrame, category: DataFrame,
                             store: DataFrame) -> DataFrame:
     """PIPE-14 (company): the company margin with category and store names."""
-    m = enrich(company_margin(sales, coupon, oi, category), category_names(category), "category_id")
-    return enrich(m, store_names(store), "store_id")
+    return enrich_all(company_margin(sales, coupon, oi, category),
+                      [(category_names(category), "category_id"), (store_names(store), "store_id")])

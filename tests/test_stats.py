@@ -1,3 +1,5 @@
+import pytest
+
 from profitlens.operators.stats import group_quantile, quantile_filter, sigma_outliers
 
 
@@ -33,22 +35,34 @@ def test_exact_quantile_matches_numpy_on_a_hot_group(spark):
         assert abs(got[k] - float(np.percentile(vals, 80))) < 1e-9, k
 
 
-def test_exact_quantile_plan_range_partitions_rows(spark, monkeypatch):
-    import contextlib
-    import io
-
-    from profitlens.operators import stats
+@pytest.mark.parametrize("q", [0.0, 0.25, 0.8, 1.0])
+def test_quantile_by_selection_in_many_passes(spark, q):
+    """Few values settle a group, so brackets are narrowed again and again: ties, heavy tails, infinities, a hot
+    group, NULL and NaN."""
+    import numpy as np
 
-    staged, stage = [], stats.stage
-    monkeypatch.setattr(stats, "stage", lambda frame, label: staged.append(frame) or stage(frame, label))
-    df = spark.createDataFrame([("hot", float(i)) for i in range(500)] + [("g", 1.0)], "k string, v double")
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        quantile_filter(df, "k", "v", 0.8).explain(mode="formatted")
-        staged[0].explain(mode="formatted")  # the ranked rows
-    plan = buf.getvalue()
-    assert "rangepartitioning(k" in plan          # rows of one group spread over many tasks
-    assert "percentile" not in plan.lower().replace("percentile_approx", "")
+    rng = np.random.default_rng(3)
+    rows = [("hot", float(x)) for x in rng.standard_cauchy(4000)]
+    rows += [("ties", float(x)) for x in rng.choice([1.0, 1.0, 1.0, 2.0, -0.5], 900)] + [("one", 7.0)] * 300
+    rows += [(f"g{i % 5}", float(x)) for i, x in enumerate(rng.lognormal(0, 4, 500))]
+    rows += [("two", 1.0), ("two", 2.0), ("inf", float("-inf")), ("inf", 0.0), ("inf", 3.0)] + [("hot", float("nan"))] * 9
+    rows += [("hot", None), ("none", None), (None, 1.0)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    got = {r.k: r._threshold for r in group_quantile(df, "k", "v", q, few=2).collect()}
+    values = {k: np.array([v for g, v in rows if g == k and v is not None and v == v]) for k, _ in rows if k}
+    assert set(got) - {None} == {k for k, v in values.items() if len(v)}
+    for k, v in values.items():
+        if len(v):
+            lo, hi = np.sort(v)[[int(np.floor((len(v) - 1) * q)), int(np.ceil((len(v) - 1) * q))]]
+            want = lo + (hi - lo) * ((len(v) - 1) * q - np.floor((len(v) - 1) * q)) if lo != hi else lo
+            assert np.isclose(got[k], want, rtol=1e-12, atol=0, equal_nan=True), k
+
+
+def test_quantile_neither_sorts_nor_ranges_the_rows(spark):
+    df = spark.createDataFrame([("hot", float(i)) for i in range(9000)] + [("g", 1.0)], "k string, v double")
+    plan = quantile_filter(df, "k", "v", 0.8)._jdf.queryExecution().toString()
+    assert "rangepartitioning" not in plan.lower()
+    assert quantile_filter(df, "k", "v", 0.8).count() == 1801
 
 
 def test_inliers_at_72_sigma_leave_a_row_out(spark):
