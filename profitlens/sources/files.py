@@ -8,8 +8,8 @@ names, and each column is conformed to the fact's declared type.
 
 from __future__ import annotations
 
-import csv
 import re
+import uuid
 from collections.abc import Mapping
 from contextlib import contextmanager
 
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from profitlens.functions.expr import MONEY, conform_code
+from profitlens.sources.headers import catalogue_headers
 
 # Reference column headers and the canonical name each maps to.
 HEADER_ALIASES: dict[str, str] = {
@@ -204,44 +205,61 @@ def with_schema(df: DataFrame, table: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, paths, encoding: str) -> DataFrame:
-    """Lines of the files with their file and place in reading order."""
+    """Lines of the files with their file and block, in reading order."""
     lines = (spark.read.schema("line string").option("sep", "\u0001").option("quote", "")
              .option("encoding", encoding).csv(paths))
     return lines.select("line", F.col("_metadata.file_path").alias("file"),
-                        F.col("_metadata.file_block_start").alias("block"),
-                        F.monotonically_increasing_id().alias("place"))
+                        F.col("_metadata.file_block_start").alias("block"))
 
 
-def _headers(spark: SparkSession, paths, encoding: str, skip_rows: int) -> dict[tuple[str, ...], list[str]]:
-    """Files by header. The first lines of all files are found in one job."""
-    first = F.slice(F.array_sort(F.collect_list(F.struct("place", "line"))), skip_rows + 1, 1)
-    lines = _lines(spark, paths, encoding)
-    starts = lines.where("block = 0").groupBy("file").agg(F.min("place").alias("start"))
-    rows = (lines.where("block = 0").join(starts, "file").where(F.col("place") <= F.col("start") + 2 * skip_rows + 8)
-            .groupBy("file").agg(first.alias("l")).select("file", F.col("l")[0]["line"].alias("line")).collect())
+def _headers(spark: SparkSession, paths, encoding: str, skip_rows: int, catalogue: str | None
+             ) -> dict[tuple[str, ...], list[str]]:
+    """Files by header, from the files' heads or the stored catalogue."""
     out: dict[tuple[str, ...], list[str]] = {}
-    for r in sorted(rows, key=lambda r: r.file):
-        if r.line is not None:
-            header = tuple(next(csv.reader([r.line.lstrip("\ufeff")])))
-            out.setdefault(header, []).append(r.file)
-    return out
-
-
-def read_raw(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8", skip_rows: int = 0) -> DataFrame:
+    for r in catalogue_headers(spark, paths, encoding, skip_rows, catalogue).select("file", "header").collect():
+        if r.header:
+            out.setdefault(tuple(r.header), []).append(r.file)
+    return {h: sorted(files) for h, files in sorted(out.items(), key=lambda x: min(x[1]))}
+
+
+def _after_head(head_rows: int):
+    """Rows (line, file, block) in reading order without the first ``head_rows`` of every file. A partition reads a
+    block of a file at a time, so the rows of a file's first block are counted from where it starts."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        last, seen = None, 0
+        for batch in batches:
+            place = batch.column(1).dictionary_encode()
+            names, codes, block = place.dictionary.to_pylist(), place.indices.to_numpy(), batch.column(2).to_numpy()
+            keep = np.ones(batch.num_rows, bool)
+            starts = np.flatnonzero(np.r_[True, (codes[1:] != codes[:-1]) | (block[1:] != block[:-1])]) if len(codes) else []
+            for start, end in zip(starts, np.r_[starts[1:], len(codes)] if len(codes) else []):
+                here = (names[codes[start]], int(block[start]))
+                before = seen if here == last else 0
+                if here[1] == 0:
+                    keep[start:start + max(0, head_rows - before)][:end - start] = False
+                last, seen = here, before + int(end - start)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep))], ["line"])
+    return run
+
+
+def read_raw(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8", skip_rows: int = 0,
+             catalogue: str | None = None) -> DataFrame:
     """CSV file(s) as text under canonical column names. Every file's own header
     names its columns: files are grouped by header, each group is read at once and
     the groups are put together by name (a column that a file lacks is NULL).
-    ``skip_rows`` lines before the header are left out."""
+    ``skip_rows`` lines before the header are left out. Only the heads of the files
+    are read for their headers, or, with a stored ``catalogue``, only those of new and
+    changed files."""
     _charset_conf(spark, encoding)
     out = None
-    for header, files in _headers(spark, path, encoding, skip_rows).items():
+    for header, files in _headers(spark, path, encoding, skip_rows, catalogue).items():
         schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
         if skip_rows:
-            lines = _lines(spark, files, encoding)
-            starts = lines.where("block = 0").groupBy("file").agg(F.min("place").alias("start"))
             ddl = ", ".join(f"{c} string" for c in schema.names)
-            rows = (lines.join(starts, "file")
-                    .where((F.col("block") > 0) | (F.col("place") > F.col("start") + skip_rows))
+            rows = (_lines(spark, files, encoding).mapInArrow(_after_head(skip_rows + 1), "line string")
                     .select(F.from_csv("line", ddl).alias("r")).select("r.*"))
         else:
             rows = spark.read.schema(schema).option("header", True).option("encoding", encoding).csv(files)
@@ -253,11 +271,11 @@ def read_raw(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8"
 
 
 def read_extract(spark: SparkSession, path: str | list[str], table: str, encoding: str = "UTF-8",
-                 skip_rows: int = 0) -> DataFrame:
+                 skip_rows: int = 0, catalogue: str | None = None) -> DataFrame:
     """IO-01/02/03/15: CSV extract(s) -> conformed fact. ``encoding='GBK'`` reads
     the "ANSI" exports. ``path`` may be a folder, a glob or a list of period files
     whose columns come in any order."""
-    return conform(read_raw(spark, path, encoding, skip_rows), table)
+    return conform(read_raw(spark, path, encoding, skip_rows, catalogue), table)
 
 
 def write_csv(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
@@ -296,19 +314,52 @@ def publish_values(df: DataFrame) -> DataFrame:
     return df.na.fill(fills) if fills else df
 
 
-def replace_table(df: DataFrame, table: str, zero_undefined: bool = True) -> None:
-    """IO-10/11/12: replace a catalog table with ``df`` (validated identifier,
-    no SQL text concatenation)."""
+def _checked(table: str) -> str:
     if not _IDENT.match(table):
         raise ValueError(f"invalid table name {table!r}")
-    (publish_values(df) if zero_undefined else df).write.mode("overwrite").saveAsTable(table)
+    return table
+
+
+def write_version(df: DataFrame, table: str, zero_undefined: bool = True) -> str:
+    """Write ``df`` as a new version of a catalog table, not yet seen by its readers."""
+    version = f"{_checked(table)}__v{uuid.uuid4().hex[:12]}"
+    (publish_values(df) if zero_undefined else df).write.saveAsTable(version)
+    return version
+
+
+def swap_version(spark: SparkSession, table: str, version: str) -> None:
+    """Make a written version the present one: ``table`` is a view, and one catalog
+    operation points it at the version. The version before stays for readers that
+    have started; older ones, and those of writes that died before, are dropped."""
+    base = _checked(table).split(".")[-1]
+    db = table.split(".")[0] if "." in table else spark.catalog.currentDatabase()
+    names = {t.name: t.tableType for t in spark.catalog.listTables(db)}
+    if names.get(base, "VIEW") != "VIEW":  # a plain table becomes the version before
+        before = f"{table}__v0"
+        spark.sql(f"ALTER TABLE {table} RENAME TO {before}")
+    elif base in names:
+        before = spark.sql(f"SHOW TBLPROPERTIES {table} ('profitlens.version')").first().value
+    else:
+        before = None
+    spark.sql(f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ('profitlens.version' = '{_checked(version)}') "
+              f"AS SELECT * FROM {version}")
+    kept = {v.split(".")[-1] for v in (version, before) if v}
+    for name in names:
+        if re.match(rf"{re.escape(base)}__v([0-9a-f]{{12}}|0)$", name) and name not in kept:
+            spark.sql(f"DROP TABLE IF EXISTS {db}.{_checked(name)}")
+
+
+def replace_table(df: DataFrame, table: str, zero_undefined: bool = True) -> None:
+    """IO-10/11/12: replace a catalog table with ``df``. The new rows are written as a
+    table of their own first and swapped in last, so a write that dies leaves the old
+    table as it was (identifiers are validated)."""
+    swap_version(df.sparkSession, table, write_version(df, table, zero_undefined))
 
 
 def replace_jdbc_table(df: DataFrame, url: str, table: str, properties: Mapping[str, str],
                        zero_undefined: bool = True) -> None:
     """IO-10 against an external database over JDBC; credentials come from the caller."""
-    if not _IDENT.match(table):
-        raise ValueError(f"invalid table name {table!r}")
+    _checked(table)
     (publish_values(df) if zero_undefined else df).write.jdbc(url, table, mode="overwrite",
                                                               properties=dict(properties))
 
