@@ -85,3 +85,17 @@ def test_repeated_words():
     assert repeated_words("a b c a b c x".split()) == 6
     assert repeated_words("a a a a".split()) == 4
     assert repeated_words("a b c d".split()) == repeated_words([]) == repeated_words(["a"]) == 0
+
+
+def test_rows_without_an_id_are_not_paired(spark):
+    """Every row is decided by itself: no id, repeated ids, equal rows; as many rows are written as there are."""
+    name = lambda i: "".join("abcdefghij"[int(c)] for c in str(i))
+    good = [" ".join(f"w{name(i)}x{name(j)}" for j in range(60)) for i in range(300)]
+    rows = [(None, t, "s") for t in good] + [(7, t, "s") for t in good[:40]] + [(None, "short", "s")] * 50
+    rows += [(None, good[0], "s")] * 30
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    kept = apply_line_rules(docs)
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == sorted(
+        (r[0] or 0, r[1]) for r in rows if r[1] != "short")
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "__row" in plan and "<=>" not in plan  # joined by the rows' own numbers
