@@ -64,8 +64,8 @@ def tree_budgets(leaves: DataFrame, levels: list[str], weights: list[Column], bu
 
 
 def mix(docs: DataFrame, levels: list[str], weights: list[Column], budget: Column, max_epochs: int = 2,
-        seed: int = 7) -> DataFrame:
-    """docs: doc_id, tokens (long) and the level columns. Returns a row for each document and epoch in the mix: doc_id,
+        seed: int = 7, others: tuple[str, ...] = ()) -> DataFrame:
+    """docs: doc_id, tokens (long), the level columns and ``others``, which are kept. Returns a row for each document and epoch in the mix: doc_id,
     the levels, tokens, epoch (from 0) and take_tokens, the tokens used (fewer than tokens only for the last of a leaf).
 
     ``budget`` is an expression over ``capacity``, all tokens there are (for ``max_epochs`` epochs). A leaf's stream is
@@ -75,20 +75,20 @@ def mix(docs: DataFrame, levels: list[str], weights: list[Column], budget: Colum
     order, and the slice in which the prefix ends is cut again, until only a small part of it is ordered row by row. No
     leaf, however large, meets in one task.
     Null levels are nodes of their own; a null doc_id is ordered as an empty one; null tokens count as 0. Documents
-    without tokens are never taken. Ties (repeated rows) are ordered by doc_id, then tokens. Empty table: no rows."""
+    without tokens are never taken. Ties (repeated rows) are ordered by doc_id, then tokens, then ``others``. Empty table: no rows."""
     docs = docs.withColumn("tokens", F.coalesce("tokens", F.lit(0)).cast("long"))
     leaves = staged(docs.groupBy(*levels).agg(F.sum("tokens").alias("__size")), "mix-leaves")
     budgets = tree_budgets(leaves.withColumn("capacity", F.col("__size") * max_epochs), levels, weights, budget)
     plan = staged(join_on(leaves, budgets, levels).where("__size > 0").select(
         *levels, F.expr("budget div __size").cast("int").alias("__whole"),
         (F.col("budget") % F.col("__size")).alias("__rest")), "mix-plan")
-    own = join_on(docs.where("tokens > 0").select("doc_id", *levels, "tokens"), plan, levels)
+    own = join_on(docs.where("tokens > 0").select("doc_id", *levels, "tokens", *others), plan, levels)
     whole = own.where("__whole > 0").select(
-        "doc_id", *levels, "tokens", F.explode(F.sequence(F.lit(0), F.col("__whole") - 1)).alias("epoch"),
+        "doc_id", *levels, "tokens", *others, F.explode(F.sequence(F.lit(0), F.col("__whole") - 1)).alias("epoch"),
         F.col("tokens").alias("take_tokens"))
     order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("__whole").cast("string"),
                               F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    cols = ["doc_id", *levels, "tokens", F.col("__whole").alias("epoch"), "take_tokens"]
+    cols = ["doc_id", *levels, "tokens", *others, F.col("__whole").alias("epoch"), "take_tokens"]
     out = whole
     part = own.where("__rest > 0").withColumn("__h", order)
     before = Window.partitionBy(*levels).orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
@@ -103,7 +103,7 @@ def mix(docs: DataFrame, levels: list[str], weights: list[Column], budget: Colum
             "__s", "__n", "__before")
         if step + 1 < SLICE_STEPS:
             part = staged(part, "mix-slice")  # one slice of a leaf
-    running = (Window.partitionBy(*levels).orderBy("__h", "doc_id", "tokens")
+    running = (Window.partitionBy(*levels).orderBy("__h", "doc_id", "tokens", *others)
                .rowsBetween(Window.unboundedPreceding, -1))
     cut = (part.withColumn("__at", F.coalesce(F.sum("tokens").over(running), F.lit(0)))
            .where(F.col("__at") < F.col("__rest"))
@@ -139,23 +139,27 @@ def leaf_columns() -> list[Column]:
 
 
 def mix_documents(documents: DataFrame, budget_pct: int = BUDGET_PCT, max_epochs: int = MAX_EPOCHS,
-                  seed: int = 7) -> DataFrame:
+                  seed: int = 7, others: tuple[str, ...] = ()) -> DataFrame:
     """The production mix of a documents table; see ``mix``."""
-    docs = staged(documents.select("doc_id", *leaf_columns(), count_tokens(F.col("text")).alias("tokens")), "mix-docs")
+    docs = staged(documents.select("doc_id", *leaf_columns(), count_tokens(F.col("text")).alias("tokens"), *others), "mix-docs")
     weights = [_by_name("domain", DOMAIN_WEIGHTS), _by_name("lang", LANG_WEIGHTS), F.lit(1)]
     budget = F.expr(f"capacity div {max_epochs} * {budget_pct} div 100")
-    return mix(docs, LEVELS, weights, budget, max_epochs, seed)
+    return mix(docs, LEVELS, weights, budget, max_epochs, seed, others)
 
 
 def apply_mix(documents: DataFrame, **options) -> DataFrame:
     """The documents of the production mix with all their columns, a row for each epoch. A leaf's last document is cut
-    to its first tokens (joined by single spaces) and n_chars, if there, follows the text. Rows that repeat a doc_id and
-    its number of tokens are taken as one document."""
-    taken = (mix_documents(documents, **options).groupBy("doc_id", "tokens", "epoch")
-             .agg(F.max("take_tokens").alias("__take")).select(F.col("doc_id").alias("__id"), F.col("tokens").alias("__tokens"), "__take"))
+    to its first tokens (joined by single spaces) and n_chars, if there, follows the text.
+
+    The documents are written with a digest of the text and a number, which say what was taken: rows without an id, or
+    with a repeated one, are documents of their own, so the mix keeps its budget. Rows of one id and number of tokens
+    are ordered by the digest; those equal in it too are alike, and any of them comes first."""
     cols = documents.columns
-    joined = documents.join(taken, documents["doc_id"].eqNullSafe(taken["__id"])
-                            & (count_tokens(documents["text"]) == taken["__tokens"]))
+    digest = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)
+    own = staged(documents.withColumns({"__key": digest, "__row": F.monotonically_increasing_id()}), "mix-rows")
+    taken = mix_documents(own, others=("__key", "__row"), **options).select(
+        F.col("__row").alias("__own"), F.col("tokens").alias("__tokens"), F.col("take_tokens").alias("__take"))
+    joined = own.join(taken, own["__row"] == taken["__own"])
     words = F.split(F.regexp_replace("text", r"^[\x20\x09-\x0D]+", ""), r"[\x20\x09-\x0D]+")
     text = F.when(F.col("__take") < F.col("__tokens"),
                   F.array_join(F.slice(words, F.lit(1), F.col("__take").cast("int")), " ")).otherwise(F.col("text"))

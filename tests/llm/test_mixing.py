@@ -125,3 +125,16 @@ def test_one_leaf_takes_whole_epochs_and_a_prefix(spark):
         by[r.epoch] += r.take_tokens
     assert dict(by) == {0: 200, 1: 200, 2: 50}
     assert sum(r.take_tokens < r.tokens for r in rows) <= 1
+
+
+def test_rows_without_an_id_keep_the_budget(spark):
+    """Different texts of as many words without an id, and equal rows: the mix and its documents have the same tokens."""
+    from profitlens.llm.mixing import apply_mix, mix_documents
+
+    rows = [(None, " ".join(f"w{i}_{j}" for j in range(100)), "en", "src1") for i in range(200)]
+    rows += [(5, " ".join(f"v{j}" for j in range(100)), "en", "src1")] * 100
+    rows += [(i, f"a b {i}", "de", "src2") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    want = mix_documents(docs).agg({"take_tokens": "sum", "doc_id": "count"}).first()["sum(take_tokens)"]
+    got = apply_mix(docs).collect()
+    assert sum(len(r.text.split()) for r in got) == want and len(got) == mix_documents(docs).count()
