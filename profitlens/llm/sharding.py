@@ -161,6 +161,20 @@ def with_slots(rows: DataFrame, order: list[str]) -> DataFrame:
             .drop("__s", "__i", "__before"))
 
 
+def numbered_ties(rows: DataFrame) -> DataFrame:
+    """Adds ``tie`` to rows with ``same`` (equal for equal rows), ``part`` and ``at`` (the partition and place that each row was
+    written at) and drops these: the hash of the row, and for its second, third, ... copy a hash of that number as well,
+    so that copies can be parted. Copies are numbered within each part and the parts' counts are added up: no task
+    gets more of them than a part has."""
+    counts = rows.groupBy("same", "part").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("same").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each part
+    ahead = counts.select("same", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead"))
+    own = Window.partitionBy("same", "part").orderBy("at")
+    copy = F.col("ahead") + F.row_number().over(own) - 1
+    tie = F.when(copy == 0, F.col("same")).otherwise(F.xxhash64("same", copy)).bitwiseAND(F.lit(TIE - 1))
+    return rows.join(ahead, ["same", "part"]).withColumn("tie", tie).drop("same", "part", "at", "ahead")
+
+
 def shard_documents(documents: DataFrame, shards: int = 16, target_bytes: int | None = None) -> DataFrame:
     """Law ``bytes``: every document in one of the shards of nearly equal bytes, with its slot.
 
@@ -170,11 +184,13 @@ def shard_documents(documents: DataFrame, shards: int = 16, target_bytes: int |
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     size = (F.octet_length(text) + 1).cast("long")
     crc = F.crc32(text.cast("binary")).cast("long")
-    tie = F.xxhash64(F.col("doc_id"), crc, size).bitwiseAND(F.lit(TIE - 1))
-    rows = staged(documents.select("doc_id", size.alias("size"), crc.alias("text_crc32"), tie.alias("tie"),
+    rows = staged(documents.select("doc_id", size.alias("size"), crc.alias("text_crc32"),
+                                   F.xxhash64(F.col("doc_id"), crc, size).alias("same"),
+                                   F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at"),
                                    F.col("lang").cast("string").alias("lang"),
                                    F.col("source").cast("string").alias("source"),
                                    F.log2(size).alias("length")), "shard-rows")
+    rows = numbered_ties(rows)
     rows = staged(with_rank(with_rank(rows, "lang"), "source"), "shard-places")
     if target_bytes:
         shards = None

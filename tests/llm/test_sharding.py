@@ -64,3 +64,18 @@ def test_sources_with_a_common_beginning_and_a_null_one(spark):
                                     F.when(F.col("id") < 1600, name).alias("source"))
     found = shard_documents(docs).join(docs, "doc_id").groupBy("shard").agg(F.countDistinct("source").alias("n")).collect()
     assert len(found) == 16 and all(r.n <= 3 for r in found)
+
+
+def test_equal_rows_are_parted(spark):
+    """A third of the rows is one row without an id: shards of nearly equal bytes all the same."""
+    rows = [(None, "same text " * 20, "en", "s")] * 1000 + [(i, f"text {i} " * (i % 40), "en", f"s{i % 5}") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(5)
+    got = shard_documents(docs, shards=16).collect()
+    sizes, slots = {}, {}
+    for r in got:
+        sizes[r.shard] = sizes.get(r.shard, 0) + r.size
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert len(got) == 3000 and len(sizes) == 16
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    mean = sum(sizes.values()) / 16
+    assert max(sizes.values()) - min(sizes.values()) <= 2 * max(r.size for r in got) + 0.01 * mean
