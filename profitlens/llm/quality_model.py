@@ -114,8 +114,8 @@ def training_sample(df: DataFrame, id_col: str, text_col: str, label_col: str, l
     import numpy as np
 
     out, total = [], 0
-    for r in sorted(rows.mapInArrow(run, "p long, label int, ids binary, counts binary").toLocalIterator(),
-                    key=lambda r: r.p):
+    made = rows.mapInArrow(run, "p long, label int, ids binary, counts binary").orderBy("p", "label", "ids")
+    for r in made.toLocalIterator():  # a part at a time, until the bound is reached
         ids = np.frombuffer(r.ids, np.int32)
         total += len(ids)
         if len(out) >= limit or total > MAX_FEATURES:
@@ -197,5 +197,7 @@ def learn_quality(documents: DataFrame, labels: DataFrame, training, limit: int
     place = F.xxhash64(F.col("doc_id").cast("string"), F.lit(SEED))
     known = labels.where(F.col("quality").isin(0, 1) & training(F.col("doc_id"))).select("doc_id", "quality")
     known = known.orderBy(place).limit(limit)  # the bound of the sample: at most ``limit`` ids and labels
-    rows = documents.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    rows = documents.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(known.dropDuplicates()), "doc_id")
+    # a row for each id and label, however often the id repeats: the text with the smallest digest
+    rows = rows.groupBy("doc_id", "quality").agg(F.min_by("text", F.sha2("text", 256)).alias("text"))
     return train(training_sample(rows, "doc_id", "text", "quality", limit))

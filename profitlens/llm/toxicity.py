@@ -169,12 +169,15 @@ class Scorer:
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, training) -> DataFrame:
     """doc_id, text, toxic of at most MAX_TOXIC and MAX_CLEAN labelled documents (those with the smallest hash of the id
-    among the ids that ``training`` accepts). Only ids and labels are ordered; the bounded list goes to the texts."""
+    among the ids that ``training`` accepts). Only ids and labels are ordered; the bounded list goes to the texts. Of the rows of one
+    id the text with the smallest digest is taken, so the sample has at most as many rows as labels."""
     place = F.xxhash64(F.col("doc_id").cast("string"), F.lit(SEED))
     known = labels.where(F.col("toxic").isin(0, 1) & training(F.col("doc_id"))).select("doc_id", "toxic")
     some = known.where("toxic = 1").orderBy(place).limit(MAX_TOXIC).unionByName(
         known.where("toxic = 0").orderBy(place).limit(MAX_CLEAN))
-    return documents.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(some), "doc_id")
+    found = documents.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(some.dropDuplicates()), "doc_id")
+    # a row for each id and label, however often the id repeats: the text with the smallest digest
+    return found.groupBy("doc_id", "toxic").agg(F.min_by("text", F.sha2("text", 256)).alias("text"))
 
 
 def learn_lexicon(sample: DataFrame) -> dict[str, float]:

@@ -98,3 +98,16 @@ def test_learned_words_are_found_misspelled(spark):
     new = [(1000 + i, text(slip)) for i, slip in enumerate(terms.values())] + [(2000 + i, text()) for i in range(5)]
     out = score_toxicity(spark.createDataFrame(new, "doc_id long, text string"), ["doc_id"], "text", model).collect()
     assert all((r.score > 0.5) == (r.doc_id < 2000) for r in out), out
+
+
+def test_sample_is_bounded_though_an_id_repeats(spark):
+    from profitlens.llm.quality_model import learn_quality, training_sample
+    from profitlens.llm.toxicity import labelled_sample
+
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(500)] + [(2, "b"), (2, None), (3, None), (None, "x")],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 1), (1, 1, 1), (2, 0, 0), (3, 0, 0), (None, 1, 1)], "doc_id long, toxic int, quality int")
+    got = sorted((r.doc_id, r.toxic) for r in labelled_sample(docs, labels, lambda c: c.isNotNull()).collect())
+    assert got == [(1, 1), (2, 0), (3, 0)]
+    assert learn_quality(docs, labels, lambda c: c.isNotNull()) is not None
+    assert len(training_sample(docs.withColumn("quality", docs.doc_id % 2), "doc_id", "text", "quality", 100)) == 100
