@@ -16,7 +16,10 @@ from pyspark.sql import types as T
 from profitlens.functions.expr import (
     UNALLOCATED, conform_code, conform_numeric_code, pattern_match, round_half_even,
 )
-from profitlens.operators.rollup import null_key_report, reconcile, rollup
+from profitlens.operators.control import write_with_totals
+from profitlens.operators.overlap import overlap_report, union_once
+from profitlens.operators.rollup import date_completeness, null_key_report, reconcile, rollup
+from profitlens.operators.states import StateSpec, finish_state, merge_states, period_state, state_outliers
 from profitlens.operators.stats import quantile_filter, sigma_outliers
 from profitlens.plans import abnormal, coupon as coupon_plans, fresh, margin, stock as stock_plans, supplier
 from profitlens.session import materialize
@@ -337,6 +340,67 @@ def q_agg13_null_keys(spark, sf_dir):
     return finish(coupon_plans.union_extracts(parts))
 
 
+def q_agg13_observed(spark, sf_dir):
+    f = _facts(spark, sf_dir)
+    keys = list(margin.STORE_CHANNEL_KEYS)
+    _, totals = write_with_totals(
+        {"sales": (f.sales, keys, ["net_sales", "cost", "gross_margin"]), "coupon": (f.coupon, keys, ["coupon_cost"])},
+        lambda w: margin.sales_coupon_margin(w["sales"], w["coupon"], keys, how="full"),
+        lambda report: materialize(report, durable=True))
+    return finish(totals.drop("recomputed"))
+
+
+def _half_months(df):
+    """The two extracts of each month; undated rows come with the first."""
+    late = F.coalesce(F.dayofmonth("biz_date") > 15, F.lit(False))
+    return [df.where(~late), df.where(late)]
+
+
+def q_agg01_margin_from_states(spark, sf_dir):
+    # the report of PIPE-04, from the states of the extracts instead of their lines
+    f = _facts(spark, sf_dir)
+    merged = {}
+    for name, df, sums in (("sales", f.sales, margin.SALES_MEASURES), ("coupon", f.coupon, ("coupon_cost",))):
+        spec = StateSpec(margin.SKU_KEYS, sums)
+        states = coupon_plans.union_extracts([period_state(e, spec) for e in _half_months(df)])
+        merged[name] = merge_states(states, spec)
+    return finish(margin.sales_coupon_margin(merged["sales"], merged["coupon"], margin.SKU_KEYS, how="left"))
+
+
+def q_agg15_merged_moments(spark, sf_dir):
+    # monthly states by store, merged to the category's whole history
+    f = _facts(spark, sf_dir)
+    spec = StateSpec(("month", "category_id", "store_id"), ("net_sales", "qty"), ("net_sales",))
+    states = materialize(period_state(f.sales.withColumn("month", F.trunc("biz_date", "month")), spec), durable=True)
+    out = finish_state(merge_states(states, spec, ["category_id"]), spec)
+    return finish(out.withColumn("net_sales_std", F.round("net_sales_std", 2)))
+
+
+def q_sta02_state_outliers(spark, sf_dir):
+    # each event against its type's moments over all months, of which only the states are read
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
+    spec = StateSpec(("month", "event_type"), (), ("value",))
+    monthly = ev.withColumn("month", F.coalesce(F.date_format("ts", "yyyy-MM"), F.lit("")))
+    states = materialize(period_state(monthly, spec), durable=True)
+    return state_outliers(ev.drop("ts"), states, spec, "value", CHAIN_K, ["event_type"])
+
+
+def _overlapping(spark, sf_dir):
+    """Extracts of the events' months that overlap: days 13 to 15 and the 5th come again, some others in part."""
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
+    day = F.dayofmonth("ts")
+    return [ev.where((day <= 15) | day.isNull()), ev.where((day > 12) & (F.col("event_id") % 3 != 0)),
+            ev.where((day > 25) & (F.col("event_id") % 2 == 0)), ev.where(day == 5)]
+
+
+def q_pipe01_overlap_check(spark, sf_dir):
+    return overlap_report(_overlapping(spark, sf_dir), "ts")
+
+
+def q_pipe01_union_once(spark, sf_dir):
+    return date_completeness(union_once(_overlapping(spark, sf_dir), "ts"), "ts")
+
+
 def q_pipe04_margin_chain(spark, sf_dir):
     f = _facts(spark, sf_dir)
     return finish(margin.chain_margin(f.sales, f.coupon))

@@ -783,3 +783,38 @@ _NULLS = {"sales": (SKU_KEYS, "net_sales"), "coupon": (SKU_KEYS, "coupon_cost"),
 ORACLE_SQL["agg13_null_keys"] = _sql("", " UNION ALL ".join(
     f"SELECT '{f}' AS fact, count(*) AS dropped_rows, CAST(COALESCE(SUM({m}), 0) AS DOUBLE) AS dropped_amount "
     f"FROM {f} WHERE NOT ({_nn(keys)})" for f, (keys, m) in _NULLS.items()))
+
+_OBSERVED = [("net_sales", "sales"), ("cost", "sales"), ("gross_margin", "sales"), ("coupon_cost", "coupon")]
+_SC = ["category_id", "store_id", "channel"]
+ORACLE_SQL["agg13_observed"] = _sql("", " UNION ALL ".join(
+    f"SELECT '{m}' AS metric, CAST(COALESCE(SUM({m}), 0) AS DOUBLE) AS raw_total, "
+    f"count(*) FILTER (WHERE NOT ({_nn(_SC)})) AS dropped_rows, "
+    f"CAST(COALESCE(SUM({m}) FILTER (WHERE NOT ({_nn(_SC)})), 0) AS DOUBLE) AS dropped_amount, "
+    f"CAST(COALESCE(SUM({m}) FILTER (WHERE {_nn(_SC)}), 0) AS DOUBLE) AS result_total, CAST(0 AS DOUBLE) AS diff "
+    f"FROM {src}" for m, src in _OBSERVED))
+
+ORACLE_SQL["agg01_margin_from_states"] = ORACLE_SQL["pipe04_margin_sku"]
+
+ORACLE_SQL["agg15_merged_moments"] = _sql(
+    "", f"SELECT category_id, count(*) AS n_rows, {_d('SUM(net_sales)', 'net_sales')}, {_d('SUM(qty)', 'qty')}, "
+        "CAST(SUM(net_sales) AS DOUBLE) / count(net_sales) AS net_sales_mean, "
+        "round(stddev_samp(CAST(net_sales AS DOUBLE)), 2) AS net_sales_std FROM sales "
+        f"WHERE {_nn(['category_id', 'store_id', 'biz_date'])} GROUP BY category_id")
+
+ORACLE_SQL["sta02_state_outliers"] = """
+WITH m AS (SELECT event_type, avg(value) AS mu, stddev_samp(value) AS sd FROM events
+           WHERE event_type IS NOT NULL AND NOT isnan(value) GROUP BY event_type)
+SELECT event_id, e.event_type, value FROM events e JOIN m ON e.event_type = m.event_type
+WHERE NOT isnan(value) AND (value > mu + 3 * sd OR value < mu - 3 * sd)"""
+
+# conditions of the overlapping extracts, on a row of events
+_EXTRACTS = ["COALESCE(day(ts) <= 15, TRUE)", "COALESCE(day(ts) > 12 AND event_id % 3 <> 0, FALSE)",
+             "COALESCE(day(ts) > 25 AND event_id % 2 = 0, FALSE)", "COALESCE(day(ts) = 5, FALSE)"]
+ORACLE_SQL["pipe01_overlap_check"] = (
+    "SELECT *, CASE WHEN repeated_rows = 0 THEN 'new' WHEN repeated_rows < n_rows THEN 'partly repeated' "
+    "ELSE 'delivered again' END AS status FROM (" + " UNION ALL ".join(
+        f"SELECT {i + 1} AS extract, CAST(ts AS DATE) AS biz_date, count(*) AS n_rows, "
+        f"count(*) FILTER (WHERE {' OR '.join(_EXTRACTS[:i]) or 'FALSE'}) AS repeated_rows "
+        f"FROM events WHERE {c} GROUP BY CAST(ts AS DATE)" for i, c in enumerate(_EXTRACTS)) + ")")
+ORACLE_SQL["pipe01_union_once"] = ORACLE_SQL["pipe01_union_complete"].replace(
+    "WHERE ts IS NOT NULL", f"WHERE ts IS NOT NULL AND ({' OR '.join(_EXTRACTS)})")
