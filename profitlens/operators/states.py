@@ -100,7 +100,7 @@ def state_outliers(rows: DataFrame, states: DataFrame, spec: StateSpec, col: str
     keys = list(spec.keys if keys is None else keys)
     s = finish_state(merge_states(states, spec, keys), spec)
     s = s.select(*keys, F.col(f"{col}_mean").alias("_mean"), F.col(f"{col}_std").alias("_std"))
-    return skew_join(rows, s, keys).where(outside_band(col, "_mean", "_std", k)).drop("_mean", "_std")
+    return skew_join(rows, s, keys).where(outside_band(col, "_mean", "_std", k)).select(*[f"`{c}`" for c in rows.columns])
 
 
 def store_extract(rows: DataFrame, spec: StateSpec, root: str, name: str, period: str, extract: str = "1") -> int:
