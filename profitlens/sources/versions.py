@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,8 +46,9 @@ def manifest(spark: SparkSession, root: str, version: int | None = None) -> dict
     return json.loads("\n".join(r.value for r in lines))
 
 
-def _commit(spark: SparkSession, root: str, made: Mapping[str, str], partition: dict[str, str]) -> int:
-    """Write the next manifest: the newest one with the given tables' partition replaced."""
+def _commit(spark: SparkSession, root: str, made: Mapping[str, list[dict]], replaced: list[dict[str, str]]) -> int:
+    """Write the next manifest: the newest one, in which the given tables' parts stand for those of the replaced
+    partitions."""
     fc, path = _context(spark, root)
     jvm = spark.sparkContext._jvm
     create = jvm.java.util.EnumSet.of(jvm.org.apache.hadoop.fs.CreateFlag.CREATE)
@@ -56,9 +57,9 @@ def _commit(spark: SparkSession, root: str, made: Mapping[str, str], partition:
     fc.mkdir(path(f"{root}/{MANIFESTS}"), jvm.org.apache.hadoop.fs.permission.FsPermission.getDirDefault(), True)
     while True:
         base = manifest(spark, root)
-        tables = {k: [p for p in v if k not in made or p["partition"] != partition] for k, v in base["tables"].items()}
-        for name, folder in made.items():
-            tables[name] = [*tables.get(name, []), {"partition": partition, "folder": folder}]
+        tables = {k: [p for p in v if k not in made or p["partition"] not in replaced] for k, v in base["tables"].items()}
+        for name, parts in made.items():
+            tables[name] = [*tables.get(name, []), *parts]
         n = base["version"] + 1
         tmp = path(f"{root}/{MANIFESTS}/.{uuid.uuid4().hex}.tmp")
         out = fc.create(tmp, create, no_create_opts)
@@ -78,11 +79,36 @@ def publish_set(reports: Mapping[str, DataFrame], root: str, partition: Mapping[
     each report that is replaced: other parts, and reports that are not given, stay as they are."""
     root = root.rstrip("/")
     spark = next(iter(reports.values())).sparkSession
-    made = {}
+    made, part = {}, dict(partition or {})
     for name, df in reports.items():
-        made[name] = f"{DATA}/{uuid.uuid4().hex}/{name}"
-        df.write.parquet(f"{root}/{made[name]}")
-    return _commit(spark, root, made, dict(partition or {}))
+        folder = f"{DATA}/{uuid.uuid4().hex}/{name}"
+        df.write.parquet(f"{root}/{folder}")
+        made[name] = [{"partition": part, "folder": folder}]
+    return _commit(spark, root, made, [part])
+
+
+def publish_parts(tables: Mapping[str, DataFrame], root: str, column: str, values: Sequence) -> int:
+    """Publish, at once, the parts of all ``tables`` that ``values`` of ``column`` name; returns the version. Each table is
+    written by one job. A part without rows is empty from now on, parts of other values stay as they are."""
+    root = root.rstrip("/")
+    spark = next(iter(tables.values())).sparkSession
+    fc, path = _context(spark, root)
+    made = {}
+    for name, df in tables.items():
+        folder = f"{DATA}/{uuid.uuid4().hex}/{name}"
+        df.write.partitionBy(column).parquet(f"{root}/{folder}")
+        parts = [(v, f"{folder}/{column}={v}") for v in values]
+        made[name] = [{"partition": {column: str(v)}, "folder": f} for v, f in parts if fc.util().exists(path(f"{root}/{f}"))]
+    return _commit(spark, root, made, [{column: str(v)} for v in values])
+
+
+def read_parts(spark: SparkSession, root: str, name: str, column: str, values: Sequence | None = None) -> DataFrame | None:
+    """The published parts of some values (all unless given) in one scan, without ``column``; None if there are none."""
+    root = root.rstrip("/")
+    wanted = None if values is None else {str(v) for v in values}
+    folders = [f"{root}/{p['folder']}" for p in manifest(spark, root)["tables"].get(name, [])
+               if wanted is None or p["partition"][column] in wanted]
+    return spark.read.parquet(*folders) if folders else None
 
 
 def read_published(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame:
