@@ -7,6 +7,7 @@ ratios are DOUBLE quotients of those exact values.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,11 +19,12 @@ from profitlens.functions.expr import (
 )
 from profitlens.operators.control import write_with_totals
 from profitlens.operators.overlap import overlap_report, union_once
+from profitlens.operators.realloc import StoredWaterfall, read_waterfall, update_waterfall
 from profitlens.operators.rollup import date_completeness, null_key_report, reconcile, rollup
 from profitlens.operators.states import StateSpec, finish_state, merge_states, period_state, state_outliers
 from profitlens.operators.stats import quantile_filter, sigma_outliers
 from profitlens.plans import abnormal, coupon as coupon_plans, fresh, margin, stock as stock_plans, supplier
-from profitlens.session import materialize
+from profitlens.session import checkpoint_dir, materialize
 from profitlens.sources.facts import Facts
 from profitlens.sources.testdata import cached_facts, fact_coverage, read_table
 
@@ -356,6 +358,19 @@ def _half_months(df):
     return [df.where(~late), df.where(late)]
 
 
+def q_alc05_late_extract(spark, sf_dir):
+    # ALC-05 as a stored waterfall: the first extracts, then the late ones of both sides
+    f = _facts(spark, sf_dir)
+    scope = margin.active_categories(f.category, modules=MODULES)
+    stored = StoredWaterfall(f"{checkpoint_dir(spark)}/stored/{uuid.uuid4().hex}", "oi", margin.STORE_SKU_LEVELS,
+                             "net_sales", "oi_amount")
+    late = F.coalesce(F.col("supplier_id").endswith("7"), F.lit(False))
+    inc = margin.supplier_income(f.oi)
+    for sales, oi in zip(_half_months(f.sales), (inc.where(~late), inc.where(late))):
+        update_waterfall(stored, sales, oi, scope)
+    return finish(read_waterfall(spark, stored, scope)[0])
+
+
 def q_agg01_margin_from_states(spark, sf_dir):
     # the report of PIPE-04, from the states of the extracts instead of their lines
     f = _facts(spark, sf_dir)

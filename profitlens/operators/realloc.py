@@ -80,8 +80,8 @@ def update_waterfall(stored: StoredWaterfall, lines: DataFrame, pool: DataFrame,
     """Add rows (of the first or of a late extract) to the lines and pools of a stored waterfall; returns the buckets that
     were read and written again (at most ``stored.buckets`` numbers). Afterwards ``read_waterfall`` gives what ``waterfall``
     gives over all rows so far. Corrections are rows with the opposite sign; either side may be empty. ``scope`` must be
-    the same in all updates: another one needs a new store. Rows added twice count twice, so store the extracts that an
-    update took together with its version."""
+    the same in all updates: another one needs a new store. Rows added twice count twice (an update that died before its
+    commit has added none), and of two updates at once the later commit wins the buckets of both: run one at a time."""
     spark, w, amt = lines.sparkSession, stored.weight, stored.amount
     fine = sorted(c for c in stored.columns if c in lines.columns)
     late = materialize(lines.groupBy(*fine).agg(F.sum(w).cast(WIDE_MONEY).alias(w)), durable=True)

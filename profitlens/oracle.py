@@ -818,3 +818,5 @@ ORACLE_SQL["pipe01_overlap_check"] = (
         f"FROM events WHERE {c} GROUP BY CAST(ts AS DATE)" for i, c in enumerate(_EXTRACTS)) + ")")
 ORACLE_SQL["pipe01_union_once"] = ORACLE_SQL["pipe01_union_complete"].replace(
     "WHERE ts IS NOT NULL", f"WHERE ts IS NOT NULL AND ({' OR '.join(_EXTRACTS)})")
+
+ORACLE_SQL["alc05_late_extract"] = ORACLE_SQL["alc05_oi_store_sku"]

@@ -22,6 +22,9 @@ SALES_MEASURES = ("net_sales", "cost", "qty", "gross_margin", "discount_net", "p
 SKU_KEYS = ("category_id", "store_id", "channel", "sku_id")
 STORE_CHANNEL_KEYS = ("category_id", "store_id", "channel")
 CHAIN_KEYS = ("category_id", "channel", "sku_id")
+# ALC-05: supplier x category x store, then category
+STORE_SKU_LEVELS = (Level(("supplier_id", "category_id", "store_id"), ("channel", "sku_id")),
+                    Level(("category_id",), ("sku_id",)))
 
 
 def supplier_income(oi: DataFrame, exclude: str = OI_EXCLUDE_PATTERN) -> DataFrame:
@@ -90,10 +93,8 @@ def oi_store_sku(sales: DataFrame, oi: DataFrame, category: DataFrame,
     the chosen modules by category (L2, lines carry category and SKU only); the
     rest kept whole on the sentinel SKU. Out-of-scope OI is returned separately."""
     lines = sales.select("supplier_id", "category_id", "store_id", "channel", "sku_id", "net_sales")
-    levels = [Level(("supplier_id", "category_id", "store_id"), ("channel", "sku_id")),
-              Level(("category_id",), ("sku_id",))]
     return waterfall(lines, supplier_income(oi).select("supplier_id", "category_id", "store_id", "oi_amount"),
-                     levels, weight="net_sales", amount="oi_amount",
+                     STORE_SKU_LEVELS, weight="net_sales", amount="oi_amount",
                      scope=active_categories(category, modules=modules))
 
 

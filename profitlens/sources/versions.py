@@ -89,14 +89,15 @@ def publish_set(reports: Mapping[str, DataFrame], root: str, partition: Mapping[
 
 def publish_parts(tables: Mapping[str, DataFrame], root: str, column: str, values: Sequence) -> int:
     """Publish, at once, the parts of all ``tables`` that ``values`` of ``column`` name; returns the version. Each table is
-    written by one job. A part without rows is empty from now on, parts of other values stay as they are."""
+    written by one job, its rows brought together by part (large parts split), so files are few. A part without rows is
+    empty from now on, parts of other values stay as they are."""
     root = root.rstrip("/")
     spark = next(iter(tables.values())).sparkSession
     fc, path = _context(spark, root)
     made = {}
     for name, df in tables.items():
         folder = f"{DATA}/{uuid.uuid4().hex}/{name}"
-        df.write.partitionBy(column).parquet(f"{root}/{folder}")
+        df.hint("rebalance", column).write.partitionBy(column).parquet(f"{root}/{folder}")
         parts = [(v, f"{folder}/{column}={v}") for v in values]
         made[name] = [{"partition": {column: str(v)}, "folder": f} for v, f in parts if fc.util().exists(path(f"{root}/{f}"))]
     return _commit(spark, root, made, [{column: str(v)} for v in values])
