@@ -57,6 +57,26 @@ def q_pipe04_margin_sku(spark, sf_dir):
     return finish(margin.sales_coupon_margin(f.sales, f.coupon, margin.SKU_KEYS, how="left"))
 
 
+def _stored_root(spark):
+    return f"{checkpoint_dir(spark)}/stored/{uuid.uuid4().hex}"
+
+
+def q_pipe04_margin_stored(spark, sf_dir):
+    # PIPE-04 from lines stored by category, store and channel: no line is shuffled again
+    f, root = _facts(spark, sf_dir), _stored_root(spark)
+    margin.store_margin_facts(f.sales, f.coupon, root)
+    return finish(margin.stored_margin(spark, root, margin.SKU_KEYS))
+
+
+def q_pipe05_margin_stored(spark, sf_dir):
+    # PIPE-05 from two stored extracts of each month: one row for each key and extract is shuffled
+    f, root = _facts(spark, sf_dir), _stored_root(spark)
+    for i, (sales, coupon) in enumerate(zip(_half_months(f.sales), _half_months(f.coupon))):
+        margin.store_margin_facts(sales, coupon, root, partition={"extract": str(i)})
+    return finish(margin.stored_margin(spark, root, margin.STORE_CHANNEL_KEYS,
+                                       margin.SALES_MEASURES + ("footfall",), how="full"))
+
+
 def q_pipe05_margin_category(spark, sf_dir):
     f = _facts(spark, sf_dir)
     return finish(margin.sales_coupon_margin(f.sales, f.coupon, margin.STORE_CHANNEL_KEYS,
@@ -362,7 +382,7 @@ def q_alc05_late_extract(spark, sf_dir):
     # ALC-05 as a stored waterfall: the first extracts, then the late ones of both sides
     f = _facts(spark, sf_dir)
     scope = margin.active_categories(f.category, modules=MODULES)
-    stored = StoredWaterfall(f"{checkpoint_dir(spark)}/stored/{uuid.uuid4().hex}", "oi", margin.STORE_SKU_LEVELS,
+    stored = StoredWaterfall(_stored_root(spark), "oi", margin.STORE_SKU_LEVELS,
                              "net_sales", "oi_amount")
     late = F.coalesce(F.col("supplier_id").endswith("7"), F.lit(False))
     inc = margin.supplier_income(f.oi)

@@ -23,15 +23,15 @@ def _key_hash(df: DataFrame, keys: Sequence[str], like: DataFrame | None = None)
     return F.xxhash64(*[F.col(f"`{k}`").cast(types[k].dataType) for k in keys])
 
 
-def hot_keys(rows: DataFrame, *keys: Sequence[str]) -> list[Column]:
+def hot_keys(rows: DataFrame, *keys: Sequence[str], parts: int | None = None) -> list[Column]:
     """For each list of key columns a column that holds the same map for all rows: hash of a hot key -> number of tasks
-    that its rows are dealt to (twice its share of spark.sql.shuffle.partitions).
+    that its rows are dealt to (twice its share of ``parts``, spark.sql.shuffle.partitions unless given).
 
     Hot is a key with more rows than a partition has on average. The keys are counted by frequent-items sketches
     (``approx_top_k``: mergeable, of bounded size), one pass over the key columns for all lists, so the map has at most
     SKETCHES * TOP entries and nothing grows with the number of keys. It is a scalar subquery: no job runs while a
     report is built."""
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     each = F.array(*[F.struct(F.lit(i).alias("i"), _key_hash(rows, k).alias("h")) for i, k in enumerate(keys)])
     read = rows.select(F.explode(each).alias("x")).select("x.i", "x.h")
     sketch = (read.groupBy("i", F.pmod("h", F.lit(SKETCHES)).alias("s"))
@@ -49,6 +49,11 @@ def hot_keys(rows: DataFrame, *keys: Sequence[str]) -> list[Column]:
     return [F.get(maps, F.lit(i)) for i in range(len(keys))]
 
 
+def tasks_of(df: DataFrame, keys: Sequence[str], hot: Column, like: DataFrame | None = None) -> Column:
+    """Number of tasks that the rows of each row's key are dealt to: 1 unless it is hot."""
+    return F.coalesce(F.element_at(hot, _key_hash(df, keys, like)), F.lit(1))
+
+
 def skew_join(rows: DataFrame, groups: DataFrame, keys: Sequence[str], how: str = "inner", hot: Column | None = None,
               by: Sequence[str] | None = None) -> DataFrame:
     """``rows`` joined (inner or left) with ``groups``, which has one row for each value of ``keys``.
@@ -62,7 +67,6 @@ def skew_join(rows: DataFrame, groups: DataFrame, keys: Sequence[str], how: str
         hot = hot_keys(rows, keys)[0]
     plain = [f.name for f in rows.schema.fields if f.name not in keys and not isinstance(f.dataType, (T.MapType, T.VariantType))]
     by = [f"`{c}`" for c in (plain if by is None else by)]
-    parts = lambda df: F.coalesce(F.element_at(hot, _key_hash(df, keys, rows)), F.lit(1))
-    part = F.pmod(F.xxhash64(*by), parts(rows)).cast("int") if by else F.lit(0)
-    copies = groups.withColumn("_part", F.explode(F.sequence(F.lit(0), parts(groups) - 1)))
+    part = F.pmod(F.xxhash64(*by), tasks_of(rows, keys, hot)).cast("int") if by else F.lit(0)
+    copies = groups.withColumn("_part", F.explode(F.sequence(F.lit(0), tasks_of(groups, keys, hot, rows) - 1)))
     return rows.withColumn("_part", part).join(copies, [*keys, "_part"], how).drop("_part")

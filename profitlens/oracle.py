@@ -794,6 +794,8 @@ ORACLE_SQL["agg13_observed"] = _sql("", " UNION ALL ".join(
     f"FROM {src}" for m, src in _OBSERVED))
 
 ORACLE_SQL["agg01_margin_from_states"] = ORACLE_SQL["pipe04_margin_sku"]
+ORACLE_SQL["pipe04_margin_stored"] = ORACLE_SQL["pipe04_margin_sku"]
+ORACLE_SQL["pipe05_margin_stored"] = ORACLE_SQL["pipe05_margin_category"]
 
 ORACLE_SQL["agg15_merged_moments"] = _sql(
     "", f"SELECT category_id, count(*) AS n_rows, {_d('SUM(net_sales)', 'net_sales')}, {_d('SUM(qty)', 'qty')}, "

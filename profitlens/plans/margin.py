@@ -5,13 +5,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from profitlens.functions.expr import MONEY, WIDE_MONEY, matches_any, not_matching, ratio
 from profitlens.operators.allocate import Level, pool_rollup, reallocate_single, waterfall
 from profitlens.operators.dims import enrich_all, first_wins
 from profitlens.operators.rollup import combine, rollup
+from profitlens.sources.layout import combine_stored, store_by_keys
 
 # Fixed values (reference): OI deduction types that are not supplier income
 # ("handling" | "porterage"), and the disabled-category marker.
@@ -61,6 +62,11 @@ def with_margin_measures(df: DataFrame) -> DataFrame:
             .withColumn("post_coupon_margin_rate", ratio(pcm, "net_sales")))
 
 
+def _sold():
+    """Marks a line, and so its key, as sales."""
+    return F.lit(1).cast(MONEY)
+
+
 def sales_coupon_margin(sales: DataFrame, coupon: DataFrame, keys: Sequence[str],
                         measures: Sequence[str] = SALES_MEASURES, how: str = "left",
                         extra: dict[str, tuple[DataFrame, Sequence[str]]] | None = None,
@@ -69,7 +75,7 @@ def sales_coupon_margin(sales: DataFrame, coupon: DataFrame, keys: Sequence[str]
     the standard; PIPE-05 with ``how='full'``). ``extra`` adds more facts, e.g.
     allocated OI (PIPE-13); their keys are kept when ``keep_extra``."""
     keys = list(keys)
-    frames = {"sales": sales.select(*keys, *measures, F.lit(1).cast(MONEY).alias("_sold")),
+    frames = {"sales": sales.select(*keys, *measures, _sold().alias("_sold")),
               "coupon": coupon.select(*keys, "coupon_cost")}
     ms = {"sales": [*measures, "_sold"], "coupon": ["coupon_cost"]}
     for tag, (df, cols) in (extra or {}).items():
@@ -79,12 +85,30 @@ def sales_coupon_margin(sales: DataFrame, coupon: DataFrame, keys: Sequence[str]
         keep = "any"
     else:
         keep = ["sales"] + ([t for t in (extra or {})] if keep_extra else [])
-    out = combine(frames, keys, ms, keep=keep)
+    return _margin_of(combine(frames, keys, ms, keep=keep), how)
+
+
+def _margin_of(out: DataFrame, how: str) -> DataFrame:
     if how != "full":  # coupon cost without sales is not part of the report, though another fact keeps its key
         out = out.withColumn("coupon_cost", F.when(F.col("_sold") > 0, F.col("coupon_cost")).otherwise(F.lit(0)))
     return with_margin_measures(out.drop("_sold"))
 
 
+def store_margin_facts(sales: DataFrame, coupon: DataFrame, root: str, keys: Sequence[str] = STORE_CHANNEL_KEYS,
+                       buckets: int | None = None, partition: dict[str, str] | None = None) -> int:
+    """Store the lines of sales and coupon by the keys that PIPE-04 and PIPE-05 share; returns the version."""
+    return store_by_keys({"sales": sales.withColumn("_sold", _sold()), "coupon": coupon}, keys, root, "margin_facts",
+                         buckets, partition)
+
+
+def stored_margin(spark: SparkSession, root: str, keys: Sequence[str], measures: Sequence[str] = SALES_MEASURES,
+                  how: str = "left") -> DataFrame:
+    """PIPE-04 / PIPE-05 from the stored lines, which aren't shuffled again; the same rows as ``sales_coupon_margin``."""
+    out = combine_stored(spark, root, "margin_facts", keys, {"sales": [*measures, "_sold"], "coupon": ["coupon_cost"]},
+                         keep="any" if how == "full" else "sales")
+    return _margin_of(out, how)
+
+
 # ---------------------------------------------------------------- OI waterfalls
 
 def oi_store_sku(sales: DataFrame, oi: DataFrame, category: DataFrame,

@@ -36,7 +36,8 @@ def _numbers(spark: SparkSession, root: str) -> list[int]:
 
 
 def manifest(spark: SparkSession, root: str, version: int | None = None) -> dict:
-    """The manifest of a version (the newest, unless given): {"version", "tables": {name: [{"partition", "folder"}]}}."""
+    """The manifest of a version (the newest, unless given): {"version", "tables": {name: [{"partition", "folder"}]}};
+    a part may say more about itself."""
     root = root.rstrip("/")
     numbers = _numbers(spark, root)
     if not numbers and version is None:
@@ -46,7 +47,7 @@ def manifest(spark: SparkSession, root: str, version: int | None = None) -> dict
     return json.loads("\n".join(r.value for r in lines))
 
 
-def _commit(spark: SparkSession, root: str, made: Mapping[str, list[dict]], replaced: list[dict[str, str]]) -> int:
+def commit_parts(spark: SparkSession, root: str, made: Mapping[str, list[dict]], replaced: list[dict[str, str]]) -> int:
     """Write the next manifest: the newest one, in which the given tables' parts stand for those of the replaced
     partitions."""
     fc, path = _context(spark, root)
@@ -84,7 +85,7 @@ def publish_set(reports: Mapping[str, DataFrame], root: str, partition: Mapping[
         folder = f"{DATA}/{uuid.uuid4().hex}/{name}"
         df.write.parquet(f"{root}/{folder}")
         made[name] = [{"partition": part, "folder": folder}]
-    return _commit(spark, root, made, [part])
+    return commit_parts(spark, root, made, [part])
 
 
 def publish_parts(tables: Mapping[str, DataFrame], root: str, column: str, values: Sequence) -> int:
@@ -100,7 +101,7 @@ def publish_parts(tables: Mapping[str, DataFrame], root: str, column: str, value
         df.hint("rebalance", column).write.partitionBy(column).parquet(f"{root}/{folder}")
         parts = [(v, f"{folder}/{column}={v}") for v in values]
         made[name] = [{"partition": {column: str(v)}, "folder": f} for v, f in parts if fc.util().exists(path(f"{root}/{f}"))]
-    return _commit(spark, root, made, [{column: str(v)} for v in values])
+    return commit_parts(spark, root, made, [{column: str(v)} for v in values])
 
 
 def read_parts(spark: SparkSession, root: str, name: str, column: str, values: Sequence | None = None) -> DataFrame | None:
