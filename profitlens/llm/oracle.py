@@ -122,7 +122,7 @@ def _urls() -> str:
         fits = f"WHEN (host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '/{rest}') THEN "
         rule, verdict = rule + fits + f"'{text}' ", verdict + fits + f"'{kind}' "
     sql = rf"""
-WITH parts AS (
+WITH RECURSIVE parts AS (
   SELECT page_id, translate(COALESCE(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          COALESCE(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
@@ -145,19 +145,28 @@ l{i} AS (SELECT *, COALESCE(shape[{i + 1}], '') AS seg FROM t{i}),
 k{i} AS (SELECT host, template, seg, sum(n) AS n, sum(a) AS a, sum(b) AS b, min(purity) AS parent FROM l{i}
          GROUP BY host, template, seg),
 w{i} AS (SELECT *, a + b AS m, a / (a + b) AS share FROM k{i}),
-d{i} AS (
-  SELECT *, CASE WHEN m > 0 THEN CASE
-         WHEN share + {Z2} / (2 * m) - 1.96e0 * sqrt(share * (1 - share) / m + {Z2} / (4 * m * m)) > 0.5e0 * (1 + {Z2} / m)
-           THEN '~+'
-         WHEN share + {Z2} / (2 * m) + 1.96e0 * sqrt(share * (1 - share) / m + {Z2} / (4 * m * m)) < 0.5e0 * (1 + {Z2} / m)
-           THEN '~-' ELSE '~' END END AS band FROM w{i}),
-a{i} AS (
-  SELECT *, count(*) OVER p AS vals, sum(n) OVER p AS pages,
-         CASE WHEN band IS NOT NULL THEN count(*) OVER (PARTITION BY host, template, band) END AS alike
-  FROM d{i} WINDOW p AS (PARTITION BY host, template)),
+v{i} AS (
+  SELECT *, vals > 10 AND pages < 4 * vals AS wild FROM (
+    SELECT *, count(*) OVER p AS vals, sum(n) OVER p AS pages FROM w{i} WINDOW p AS (PARTITION BY host, template)) t),
+c{i}(host, template, seg, a, b, kind, r) AS (
+  SELECT host, template, seg, a, b, '~', 0 FROM v{i} WHERE seg <> '' AND NOT wild AND m > 0
+  UNION ALL
+  SELECT host, template, seg, a, b, kind || side, r + 1 FROM (
+    SELECT *, max(CAST(side <> '=' AS INT)) OVER (PARTITION BY host, template, kind) AS odd FROM (
+      SELECT *, CASE
+        WHEN share > pool AND share + {Z2} / (2 * m) - 1.96e0 * sqrt(share * (1 - share) / m + {Z2} / (4 * m * m))
+             > pool * (1 + {Z2} / m) THEN '+'
+        WHEN share < pool AND share + {Z2} / (2 * m) + 1.96e0 * sqrt(share * (1 - share) / m + {Z2} / (4 * m * m))
+             < pool * (1 + {Z2} / m) THEN '-' ELSE '=' END AS side FROM (
+        SELECT *, a + b AS m, a / (a + b) AS share,
+               sum(a) OVER (PARTITION BY host, template, kind) / sum(a + b) OVER (PARTITION BY host, template, kind) AS pool
+        FROM c{i}) t1) t2) t3 WHERE odd = 1),
+e{i} AS (
+  SELECT *, count(*) OVER (PARTITION BY host, template, kind) AS members FROM (
+    SELECT host, template, seg, arg_max(kind, r) AS kind FROM c{i} GROUP BY host, template, seg) t),
 k2{i} AS (
-  SELECT *, CASE WHEN seg = '' THEN '' WHEN vals > 10 AND pages < 4 * vals THEN '*'
-                 WHEN band IS NOT NULL AND alike > 1 THEN band ELSE seg END AS token FROM a{i}),
+  SELECT v.*, CASE WHEN v.seg = '' THEN '' WHEN wild THEN '*' WHEN members > 1 THEN kind ELSE v.seg END AS token
+  FROM v{i} v LEFT JOIN e{i} e ON v.host = e.host AND v.template = e.template AND v.seg = e.seg),
 g{i} AS (
   SELECT host, template, token, CASE WHEN token = '' THEN min(parent) ELSE
          (sum(a) + 4e0 * min(parent)) / (sum(a) + sum(b) + 4e0) END AS next FROM k2{i} GROUP BY host, template, token),

@@ -3,7 +3,7 @@ import re
 from pyspark.sql import functions as F
 
 from profitlens.llm.queries import URL_RULES, op5_url_templates
-from profitlens.llm.url_templates import MIN_PURITY, PRIOR, judge_urls
+from profitlens.llm.url_templates import MIN_PURITY, PRIOR, alike_branches, judge_urls
 from llm_cases import SF01
 
 
@@ -78,6 +78,68 @@ def test_similar_branches_are_merged(spark):
     assert any(t.startswith("/~") for t in got) and any(t.startswith("/z") for t in got)
 
 
+def alike_by_hand(shares):
+    """{name: (allowed, blocked)} parted until each group's members are alike."""
+    from math import sqrt
+
+    def side(a, b, pool):
+        n, z = a + b, 1.96
+        mid, reach = a / n + z * z / (2 * n), z * sqrt(a / n * (1 - a / n) / n + z * z / (4 * n * n))
+        lo, hi = (mid - reach) / (1 + z * z / n), (mid + reach) / (1 + z * z / n)
+        return 1 if a / n > pool and lo > pool else -1 if a / n < pool and hi < pool else 0
+
+    groups, out = [dict(shares)], []
+    while groups:
+        g = groups.pop()
+        pool = sum(a for a, _ in g.values()) / sum(a + b for a, b in g.values())
+        parts = {s: {k: v for k, v in g.items() if side(*v, pool) == s} for s in (-1, 0, 1)}
+        if parts[-1] or parts[1]:
+            groups += [x for x in parts.values() if x]
+        else:
+            out.append(frozenset(g))
+    return set(out)
+
+
+def test_branches_are_merged_by_likeness(spark):
+    """Siblings are parted until all of a group are alike, whatever side of one half they lie on."""
+    shares = {"p0": (0, 1000), "p1": (0, 7), "p40": (400, 600), "p41": (410, 590), "p55": (550, 450), "p99": (990, 10),
+              "all": (1000, 0), "few": (1, 1), "one": (1, 0)}
+    rows = [("h", "", k, a, b) for k, (a, b) in shares.items()] + [("i", "", k, *shares["p40"]) for k in "xyz"]
+    kids = spark.createDataFrame(rows, "host string, template string, seg string, a long, b long")
+    got = {}
+    for r in alike_branches(kids).collect():
+        got.setdefault((r.host, r.kind), []).append(r)
+    assert {frozenset(x.seg for x in v) for (h, _), v in got.items() if h == "h"} == alike_by_hand(shares)
+    assert all(len(v) == x.members for v in got.values() for x in v)
+    of = {x.seg: k for k, v in got.items() for x in v}
+    assert of["p40"] == of["p41"] != of["p0"] and of["p55"] != of["all"]
+    assert of["x"] == of["y"] == of["z"] == ("i", "~")
+    assert alike_branches(kids.limit(0)).count() == 0
+
+
+def test_a_branch_of_two_fifths_is_not_merged_with_a_blocked_one(spark):
+    rules = [("allow", "h.com/a/ok"), ("block", "h.com/a/no"), ("block", "h.com/z/no")]
+    df = pages(spark, [("http://h.com/a/ok", 400), ("http://h.com/a/no", 600), ("http://h.com/z/no", 1000),
+                       ("http://h.com/a/else", 1), ("http://h.com/z/else", 1)])
+    got = {r.path: (r.verdict, r.template) for r in judge_urls(df, rules).collect()}
+    assert got["/a/else"] == ("allow", "/a/else") and got["/z/else"] == ("block", "/z/else")
+
+
+def test_long_shared_runs_are_passed_at_once(spark):
+    """Two urls that share a thousand segments need two levels; purity is that of a step for each segment."""
+    run = "/".join(f"{chr(97 + i % 26)}" for i in range(1000))
+    df = pages(spark, [(f"http://h.com/{run}/x", 3), (f"http://h.com/{run}/y", 2), (f"http://h.com/{run}", 1),
+                       ("http://bad.com/de/p/q", 2), ("http://bad.com/de/p/r", 1)])
+    got = {r.path: r for r in judge_urls(df, URL_RULES).collect()}
+    assert got[f"/{run}/x"].template == f"/{run}/x" and got[f"/{run}"].template == f"/{run}"
+    assert got[f"/{run}/x"].purity == 0.5
+    p = 1 / 5  # nothing allowed, three blocked: the whole table, the host, /de, /p, then q and r, which are alike
+    for labels in (3, 3, 3, 3):
+        p = PRIOR * p / (labels + PRIOR)
+    assert got["/de/p/q"].template == got["/de/p/r"].template == "/de/p/~"
+    assert abs(got["/de/p/q"].purity - p) < 1e-12 and got["/de/p/r"].purity == got["/de/p/q"].purity
+
+
 def test_whole_table(spark):
     df = spark.read.parquet(f"{SF01}/pages.parquet")
     got = op5_url_templates(spark, SF01).collect()
