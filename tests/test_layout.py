@@ -36,8 +36,8 @@ def _rows(df):
     return Counter(tuple(r[c] for c in sorted(df.columns)) for r in df.collect())
 
 
-def _line_exchanges(df):
-    """Exchanges below which no sum is finished: those that lines go through."""
+def _exchanges(df):
+    """The plan and the number of its hash exchanges."""
     plan = df._jdf.queryExecution().executedPlan().toString()
     return plan, plan.count("Exchange hashpartitioning")
 
@@ -58,7 +58,7 @@ def test_lines_of_ordinary_keys_are_not_shuffled(spark, scratch_dir):
     store_by_keys(facts, KEYS, scratch_dir, "f", buckets=6)
     for keys in (KEYS, (*KEYS, "sku")):
         # one exchange, of the partial sums of dealt keys; combine sends its lines through one
-        plan, n = _line_exchanges(combine_stored(spark, scratch_dir, "f", keys, MEASURES))
+        plan, n = _exchanges(combine_stored(spark, scratch_dir, "f", keys, MEASURES))
         assert n == 1 and "Bucketed: true" in plan
         dealt_part = plan[plan.index("Exchange hashpartitioning"):]
         # the branch below the exchange starts from sums that are finished within the scan's tasks
@@ -112,7 +112,7 @@ def test_another_session_reads_the_buckets(spark, scratch_dir):
         if t.name.startswith("profitlens_layout_"):
             spark.sql(f"DROP TABLE {t.name}")
     again = combine_stored(spark, scratch_dir, "f", KEYS, MEASURES)
-    assert _rows(again) == want and "Bucketed: true" in _line_exchanges(again)[0]
+    assert _rows(again) == want and "Bucketed: true" in _exchanges(again)[0]
 
 
 def test_empty_facts_and_names(spark, scratch_dir):
