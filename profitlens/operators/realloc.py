@@ -104,6 +104,8 @@ def update_waterfall(stored: StoredWaterfall, lines: DataFrame, pool: DataFrame,
         touched = materialize(_keyed(pools.select(*keys), moved, "left_semi"), durable=True)
         present = pools.where("_n > 0")
         own = skew_join(now.where(_all_present(keys)), touched, keys)  # lines of untouched groups stay out
+        if set(now.columns) == {*keys, *lv.grain, w}:  # several branches read it; coarser levels stage their own sums
+            own = materialize(own, durable=True)
         alloc, left = allocate(own, _keyed(present, touched, "left_semi").drop("_n"), keys, w, amt, lv.grain,
                                min_base=stored.min_base, pool_is_rolled_up=True, pre_aggregated=True)
         alloc = alloc.select(*_uniq([*keys, *lv.grain]), "alloc_share", "alloc_amount")
