@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from profitlens.operators.skew import hot_keys, skew_join
+from profitlens.session import materialize
 
 
 def first_wins(sources: Sequence[DataFrame], key: str | Sequence[str], attrs: Sequence[str]) -> DataFrame:
@@ -44,10 +45,11 @@ def enrich(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], attrs: Sequ
 def enrich_all(fact: DataFrame, masters: Sequence[tuple]) -> DataFrame:
     """Left join several masters (master, key, attributes or None for all). Hot keys
     are dealt out over several tasks (``skew_join``); one pass over the fact's key
-    columns finds those of every master. AQE broadcasts a master when its measured
-    bytes allow it."""
+    columns finds those of every master. The fact is staged, since that pass reads
+    it as well: a report of several shuffles is made once. AQE broadcasts a master
+    when its measured bytes allow it."""
     keys = [[on] if isinstance(on, str) else list(on) for _, on, *_ in masters]
-    out = fact
+    out = fact = materialize(fact, durable=True)
     for (dim, _, *rest), on, hot in zip(masters, keys, hot_keys(fact, *keys)):
         attrs = (rest[0] if rest else None) or dim.columns
         out = skew_join(out, dim.select(*on, *[a for a in attrs if a not in on]), on, "left", hot, fact.columns)

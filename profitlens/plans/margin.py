@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profitlens.functions.expr import MONEY, WIDE_MONEY, matches_any, not_matching, ratio
+from profitlens.functions.expr import WIDE_MONEY, matches_any, not_matching, ratio
 from profitlens.operators.allocate import Level, pool_rollup, reallocate_single, waterfall
 from profitlens.operators.dims import enrich_all, first_wins
 from profitlens.operators.rollup import combine, rollup
@@ -20,6 +20,7 @@ OI_EXCLUDE_PATTERN = "装卸|搬运"
 DISABLED_PATTERN = "删除禁用"
 
 SALES_MEASURES = ("net_sales", "cost", "qty", "gross_margin", "discount_net", "price_comp", "shrink")
+DERIVED = ("margin_rate", "coupon_rate", "post_coupon_margin", "post_coupon_margin_rate")
 SKU_KEYS = ("category_id", "store_id", "channel", "sku_id")
 STORE_CHANNEL_KEYS = ("category_id", "store_id", "channel")
 CHAIN_KEYS = ("category_id", "channel", "sku_id")
@@ -64,7 +65,7 @@ def with_margin_measures(df: DataFrame) -> DataFrame:
 
 def _sold():
     """Marks a line, and so its key, as sales."""
-    return F.lit(1).cast(MONEY)
+    return F.lit(1).cast("long")
 
 
 def sales_coupon_margin(sales: DataFrame, coupon: DataFrame, keys: Sequence[str],
@@ -218,22 +219,31 @@ def chain_sku_margin(sales: DataFrame, coupon: DataFrame, oi: DataFrame,
                                extra={"oi": (o, ["alloc_share", "alloc_amount"])})
 
 
+def _enriched_margin(margin: DataFrame, masters: Sequence[tuple[DataFrame, str]]) -> DataFrame:
+    """A margin report with its masters' names. Derived measures are functions of the
+    others and are taken after the joins, so no join writes or shuffles them."""
+    out = with_margin_measures(enrich_all(margin.drop(*DERIVED), masters))
+    keys = [on for _, on in reversed(masters)]
+    names = [c for c in out.columns if c not in margin.columns]
+    return out.select(*keys, *[c for c in margin.columns if c not in keys], *names)
+
+
 def enriched_sku_margin(sales: DataFrame, coupon: DataFrame, oi: DataFrame, category: DataFrame,
                         store: DataFrame, modules: Sequence[str]) -> DataFrame:
     """PIPE-14: the store x SKU margin with category, SKU and store names."""
     m = sku_margin_with_oi(sales, coupon, oi, category, modules)
-    return enrich_all(m, [(category_names(category), "category_id"), (store_names(store), "store_id"),
-                          (sku_master(sales, coupon), "sku_id")])
+    return _enriched_margin(m, [(category_names(category), "category_id"), (store_names(store), "store_id"),
+                                (sku_master(sales, coupon), "sku_id")])
 
 
 def enriched_chain_margin(sales: DataFrame, coupon: DataFrame, oi: DataFrame, category: DataFrame) -> DataFrame:
     """PIPE-14 (chain): the chain margin with SKU and category names."""
-    return enrich_all(chain_sku_margin(sales, coupon, oi), [(sku_master(sales, coupon), "sku_id"),
-                                                            (category_names(category), "category_id")])
+    return _enriched_margin(chain_sku_margin(sales, coupon, oi), [(sku_master(sales, coupon), "sku_id"),
+                                                                  (category_names(category), "category_id")])
 
 
 def enriched_company_margin(sales: DataFrame, coupon: DataFrame, oi: DataFrame, category: DataFrame,
                             store: DataFrame) -> DataFrame:
     """PIPE-14 (company): the company margin with category and store names."""
-    return enrich_all(company_margin(sales, coupon, oi, category),
-                      [(category_names(category), "category_id"), (store_names(store), "store_id")])
+    return _enriched_margin(company_margin(sales, coupon, oi, category),
+                            [(category_names(category), "category_id"), (store_names(store), "store_id")])
