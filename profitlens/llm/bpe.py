@@ -40,6 +40,12 @@ def encoding(ranks: bytes, pattern: str):
     return tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=table, special_tokens={})
 
 
+def values(column: pa.Array, rows: int = 32):
+    """The Python values of a column, of which few are held at once."""
+    for i in range(0, len(column), rows):
+        yield from column.slice(i, rows).to_pylist()
+
+
 def _rank_file(spark, path: str):
     with open(path, "rb") as f:
         data = f.read(MAX_RANK_BYTES + 1)
@@ -95,7 +101,7 @@ def bpe_encode(df: DataFrame, text_col: str, rank_path: str, pattern: str, out:
             return np.concatenate([enc.encode_to_numpy(p) for p in pieces(text, cut)])
 
         def convert(column):
-            ids = [encode(t) for t in column.to_pylist()]
+            ids = [encode(t) for t in values(column)]
             ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
             flat = np.concatenate([none, *ids]).astype(np.int32)
             return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
@@ -121,7 +127,7 @@ def bpe_decode(df: DataFrame, ids_col: str, rank_path: str, pattern: str, out: s
 
         def convert(column):
             return pa.array([enc.decode_bytes([i for i in ids if i is not None]) if ids else b""
-                             for ids in column.to_pylist()], pa.binary())
+                             for ids in values(column)], pa.binary())
 
         return convert
 

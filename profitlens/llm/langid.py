@@ -13,12 +13,15 @@ SEED = 20240229
 UNIT = 10_000       # length of a text's vector in a prototype
 MAX_LANGUAGES = 2000   # prototypes are held in memory: at most this many languages
 CACHED_NGRAMS = 1 << 16  # n-gram vectors a task keeps
+TEXTS = 64          # texts whose trigrams a task holds at once
+CELLS = 1 << 20     # numbers of unpacked vectors that a task holds at once
 
 
 class NgramSpace:
     """Vectors of letter trigrams: a letter has a random vector of +1 and -1 drawn from its code point; a trigram binds
-    (multiplies) the vectors of its letters, permuted (rolled) by their distance from its end. Vectors are kept for up
-    to CACHED_NGRAMS trigrams (fewer if they are longer than DIMS) and made anew beyond, so memory is bounded for any script."""
+    (multiplies) the vectors of its letters, permuted (rolled) by their distance from its end. Vectors are held as bits
+    (1 for -1), so binding is an exclusive or. They are kept for up to CACHED_NGRAMS trigrams (fewer if they are longer
+    than DIMS) and made anew beyond, so memory is bounded for any script."""
 
     def __init__(self, dims: int = DIMS, seed: int = SEED):
         import numpy as np
@@ -32,14 +35,19 @@ class NgramSpace:
 
     def clear(self):
         self.codes = self.np.empty(0, self.np.int64)
-        self.table = self.np.empty((0, self.dims), self.np.int8)
+        self.table = self.np.empty((0, -(-self.dims // 8)), self.np.uint8)
 
     def letter(self, point: int):
+        bits = self.np.random.Generator(self.np.random.PCG64([self.seed, point])).integers(0, 2, self.dims)
+        return (2 * bits - 1).astype(self.np.int8)
+
+    def packed(self, point: int):
+        """The letter's bits, rolled by 2, 1 and 0."""
         if point not in self.letters:
             if len(self.letters) > 1 << 14:
                 self.letters.clear()
-            bits = self.np.random.Generator(self.np.random.PCG64([self.seed, point])).integers(0, 2, self.dims)
-            self.letters[point] = (2 * bits - 1).astype(self.np.int8)
+            minus = self.letter(point) < 0
+            self.letters[point] = self.np.packbits([self.np.roll(minus, 2), self.np.roll(minus, 1), minus], axis=1)
         return self.letters[point]
 
     def trigrams(self, text: str | None):
@@ -54,12 +62,12 @@ class NgramSpace:
         return codes[a[1:-1] != 32]
 
     def make(self, codes):
-        """Vectors of the codes, a row each."""
+        """Bits of the vectors of the codes, a row each."""
         np, mask = self.np, (1 << 21) - 1
         points, at = np.unique(np.stack([codes >> 42, (codes >> 21) & mask, codes & mask]), return_inverse=True)
         first, second, last = at.reshape(3, -1)
-        letters = np.stack([self.letter(int(p)) for p in points])
-        return np.roll(letters, 2, axis=1)[first] * np.roll(letters, 1, axis=1)[second] * letters[last]
+        letters = np.stack([self.packed(int(p)) for p in points])
+        return letters[first, 0] ^ letters[second, 1] ^ letters[last, 2]
 
     def learn(self, codes):
         """Make room for, and make, the vectors of a batch's codes (any order, with repeats)."""
@@ -73,22 +81,31 @@ class NgramSpace:
             order = np.argsort(both)
             self.codes, self.table = both[order], np.concatenate([self.table, self.make(new)])[order]
 
-    def bundle(self, codes, chunk: int = 4096):
+    def bundle(self, codes):
         """The sum of the vectors of all trigrams (with repeats): exact whole numbers."""
         np = self.np
         found, counts = np.unique(codes, return_counts=True)
-        total = np.zeros(self.dims, np.float64)
-        # a sum of fewer than 2^24 ones and minus ones is exact in single precision
+        minus = np.zeros(self.dims, np.float64)
+        # a sum of fewer than 2^24 ones is exact in single precision
         kind = np.float32 if len(codes) < 1 << 24 else np.float64
+        chunk = max(1, CELLS // self.dims)
         for i in range(0, len(found), chunk):
             part = found[i:i + chunk]
             at = np.minimum(np.searchsorted(self.codes, part), max(0, len(self.codes) - 1))
             known = self.codes[at] == part if len(self.codes) else np.zeros(len(part), bool)
-            rows = self.table[at] if known.all() else np.empty((len(part), self.dims), np.int8)
+            rows = self.table[at] if known.all() else np.empty((len(part), self.table.shape[1]), np.uint8)
             if not known.all():  # beyond the cache
                 rows[known], rows[~known] = self.table[at[known]], self.make(part[~known])
-            total += counts[i:i + chunk].astype(kind) @ rows.astype(kind)
-        return total
+            minus += counts[i:i + chunk].astype(kind) @ np.unpackbits(rows, axis=1, count=self.dims).astype(kind)
+        return len(codes) - 2 * minus
+
+    def bundles(self, texts):
+        """The bundle of each text's trigrams, None for a text without a letter; TEXTS texts are held at once."""
+        for i in range(0, len(texts), TEXTS):
+            part = [self.trigrams(t) for t in texts[i:i + TEXTS]]
+            self.learn(self.np.concatenate(part))
+            for codes in part:
+                yield self.bundle(codes) if len(codes) else None
 
 
 def learn_profiles(df: DataFrame, text_col: str, lang_col: str, dims: int = DIMS, seed: int = SEED) -> dict[str, list]:
@@ -107,12 +124,8 @@ def learn_profiles(df: DataFrame, text_col: str, lang_col: str, dims: int = DIMS
         space, sums = NgramSpace(dims, seed), {}
         for batch in batches:
             texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            texts = [space.trigrams(t) for t in texts]
-            if texts:
-                space.learn(np.concatenate(texts))
-            for codes, lang in zip(texts, langs):
-                if len(codes):
-                    v = space.bundle(codes)
+            for v, lang in zip(space.bundles(texts), langs):
+                if v is not None:
                     sums[lang] = sums.get(lang, 0) + np.rint(v * (UNIT / max(1.0, float(np.linalg.norm(v)))))
         for lang, total in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang] * dims), pa.array(np.arange(dims, dtype=np.int32)),
@@ -149,15 +162,11 @@ def predict_language(df: DataFrame, id_cols: list[str | Column], text_col: str,
         protos /= np.maximum(np.linalg.norm(protos, axis=1, keepdims=True), 1e-300)
         for batch in batches:
             pred, score = [], []
-            texts = [space.trigrams(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
-            if texts:
-                space.learn(np.concatenate(texts))
-            for codes in texts:
-                if not len(codes) or not names:
+            for v in space.bundles(batch.column(batch.num_columns - 1).to_pylist()):
+                if v is None or not names:
                     pred.append("und")
                     score.append(0.0)
                     continue
-                v = space.bundle(codes)
                 near = protos @ v
                 k = int(near.argmax())
                 pred.append(names[k])

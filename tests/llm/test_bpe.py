@@ -63,3 +63,15 @@ def test_raw_bytes_of_cut_characters(spark, enc):
 def test_empty_table(empty):
     assert bpe_decode(bpe_encode(empty, "text", RANKS, public_tokenizers.PATTERN), "token_ids", RANKS,
                       public_tokenizers.PATTERN).count() == 0
+
+
+def test_few_values_are_held_at_once():
+    import pyarrow as pa
+
+    from profitlens.llm.bpe import values
+
+    column = pa.array([None if i % 7 == 0 else [i, None] for i in range(500)]).slice(3, 400)
+    assert list(values(column)) == column.to_pylist() and list(values(column.slice(0, 0))) == []
+    it = values(column)
+    next(it)
+    assert len(it.gi_yieldfrom.__reduce__()[1][0]) <= 32

@@ -52,3 +52,21 @@ def test_nothing_learned_and_empty_tables(odd, empty):
     assert learn_profiles(empty, "text", "lang") == {}
     assert {r.lang_pred for r in predict_language(odd, ["doc_id"], "text", {}).collect()} == {"und"}
     assert predict_language(empty, ["doc_id"], "text", {}).count() == 0
+
+
+def test_memory_of_a_task_is_small():
+    """Thousands of different trigrams, long vectors: neither the table nor a batch's work takes tens of MB."""
+    import random
+    import tracemalloc
+
+    rng = random.Random(3)
+    texts = ["".join(chr(0x4E00 + rng.randrange(300)) for _ in range(20)) for _ in range(400)] + [None, "12"]
+    s = NgramSpace(2048)
+    tracemalloc.start()
+    s.learn(np.concatenate([s.trigrams(t) for t in texts]))
+    bundles = [s.bundle(s.trigrams(t)) for t in texts[:5]]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(s.codes) > 6000 and peak < 16 << 20
+    got = list(NgramSpace(2048).bundles(texts))
+    assert got[-2:] == [None, None] and all((a == b).all() for a, b in zip(got, bundles))
