@@ -74,7 +74,8 @@ def sales_coupon_margin(sales: DataFrame, coupon: DataFrame, keys: Sequence[str]
                         keep_extra: bool = True) -> DataFrame:
     """Sales and coupon cost at one grain (PIPE-04 with ``how='left'``: sales is
     the standard; PIPE-05 with ``how='full'``). ``extra`` adds more facts, e.g.
-    allocated OI (PIPE-13); their keys are kept when ``keep_extra``."""
+    allocated OI (PIPE-13); their keys are kept when ``keep_extra``. Each fact's rows are
+    summed to the grain by the group-by that combines them (AGG-11): they need no rollup before."""
     keys = list(keys)
     frames = {"sales": sales.select(*keys, *measures, _sold().alias("_sold")),
               "coupon": coupon.select(*keys, "coupon_cost")}
@@ -89,6 +90,15 @@ def sales_coupon_margin(sales: DataFrame, coupon: DataFrame, keys: Sequence[str]
     return _margin_of(combine(frames, keys, ms, keep=keep), how)
 
 
+def sold_coupon(sales: DataFrame, coupon: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Coupon cost of the keys that have sales, as PIPE-04 counts it: the key columns and ``coupon_cost``. A report at a
+    coarser grain sums this and the other facts once, without summing every measure at ``keys`` before."""
+    keys = list(keys)
+    out = combine({"sales": sales.select(*keys, _sold().alias("_sold")), "coupon": coupon.select(*keys, "coupon_cost")},
+                  keys, {"sales": ["_sold"], "coupon": ["coupon_cost"]}, keep="sales")
+    return out.drop("_sold")
+
+
 def _margin_of(out: DataFrame, how: str) -> DataFrame:
     if how != "full":  # coupon cost without sales is not part of the report, though another fact keeps its key
         out = out.withColumn("coupon_cost", F.when(F.col("_sold") > 0, F.col("coupon_cost")).otherwise(F.lit(0)))
@@ -164,9 +174,8 @@ def sku_margin_with_oi(sales: DataFrame, coupon: DataFrame, oi: DataFrame, categ
                        modules: Sequence[str]) -> DataFrame:
     """PIPE-13 (store x SKU): PIPE-04 ⟗ ALC-05 re-rolled to category x store x channel x SKU."""
     alloc, _ = oi_store_sku(sales, oi, category, modules)
-    o = oi_rerolled(alloc, SKU_KEYS)
     return sales_coupon_margin(sales, coupon, SKU_KEYS, how="left",
-                               extra={"oi": (o, ["alloc_share", "alloc_amount"])})
+                               extra={"oi": (alloc, ["alloc_share", "alloc_amount"])})
 
 
 def company_margin(sales: DataFrame, coupon: DataFrame, oi: DataFrame, category: DataFrame,
@@ -175,10 +184,9 @@ def company_margin(sales: DataFrame, coupon: DataFrame, oi: DataFrame, category:
     ``alloc`` reuses an ALC-06 result computed by the caller."""
     if alloc is None:
         alloc, _ = oi_store_category(sales, oi, category)
-    o = oi_rerolled(alloc, STORE_CHANNEL_KEYS)
     return sales_coupon_margin(sales, coupon, STORE_CHANNEL_KEYS, how="full",
                                measures=SALES_MEASURES + ("footfall",),
-                               extra={"oi": (o, ["alloc_share", "alloc_amount"])})
+                               extra={"oi": (alloc, ["alloc_share", "alloc_amount"])})
 
 
 def sku_master(sales: DataFrame, coupon: DataFrame, stock: DataFrame | None = None) -> DataFrame:
@@ -200,9 +208,8 @@ def store_names(store: DataFrame) -> DataFrame:
 def partial_sku_margin(sales: DataFrame, coupon: DataFrame, oi: DataFrame, category: DataFrame) -> DataFrame:
     """PIPE-13 (partial): PIPE-04 ⟗ ALC-08, the company-level OI re-allocated to SKU."""
     alloc, _ = oi_store_category(sales, oi, category)
-    o = rollup(realloc_to_sku(sales, alloc), SKU_KEYS, ["alloc_share", "alloc_amount"])
     return sales_coupon_margin(sales, coupon, SKU_KEYS, how="left",
-                               extra={"oi": (o, ["alloc_share", "alloc_amount"])})
+                               extra={"oi": (realloc_to_sku(sales, alloc), ["alloc_share", "alloc_amount"])})
 
 
 def chain_margin(sales: DataFrame, coupon: DataFrame) -> DataFrame:
@@ -214,9 +221,10 @@ def chain_sku_margin(sales: DataFrame, coupon: DataFrame, oi: DataFrame,
                      alloc: DataFrame | None = None) -> DataFrame:
     """PIPE-13 (chain): PIPE-04 at category x channel x SKU ⟗ ALC-09 OI (``alloc``,
     if the caller has it)."""
-    o = oi_rerolled(oi_chain_sku(sales, oi) if alloc is None else alloc, CHAIN_KEYS)
+    if alloc is None:
+        alloc = oi_chain_sku(sales, oi)
     return sales_coupon_margin(sales, coupon, CHAIN_KEYS, how="left",
-                               extra={"oi": (o, ["alloc_share", "alloc_amount"])})
+                               extra={"oi": (alloc, ["alloc_share", "alloc_amount"])})
 
 
 def _enriched_margin(margin: DataFrame, masters: Sequence[tuple[DataFrame, str]]) -> DataFrame:

@@ -11,7 +11,7 @@ from profitlens.functions.expr import WIDE_MONEY, ratio
 from profitlens.operators.dims import enrich
 from profitlens.operators.rollup import combine, rollup
 from profitlens.plans.margin import (
-    category_names, chain_sku_margin, company_margin, sku_margin_with_oi, supplier_income,
+    SALES_MEASURES, SKU_KEYS, category_names, chain_sku_margin, company_margin, oi_store_sku, sold_coupon, supplier_income,
 )
 
 STOCK_MEASURES = ("own_cost", "stock_qty", "stock_value")
@@ -28,9 +28,21 @@ def store_turnover(sales: DataFrame, coupon: DataFrame, oi: DataFrame, stock: Da
                    category: DataFrame, modules: Sequence[str], days: int) -> DataFrame:
     """PIPE-15: store x SKU margin (channel dropped, AGG-12) ⟗ stock; daily stock
     value = stock value / days; turnover days = stock value / own cost (NULL
-    when own cost is 0)."""
-    m = sku_margin_with_oi(sales, coupon, oi, category, modules)
-    return _turnover(m, stock, ["store_id", "category_id", "sku_id"], days)
+    when own cost is 0).
+
+    The margin's measures are sums, so its facts (sales, the coupon cost of sold keys,
+    ALC-05) are summed once, with the stock, at the report's grain. Rows without one of
+    the margin's keys are no part of it."""
+    alloc, _ = oi_store_sku(sales, oi, category, modules)
+    keys = ["store_id", "category_id", "sku_id"]
+    kept = lambda df: df.where(" and ".join(f"`{k}` is not null" for k in SKU_KEYS))
+    facts = {"sales": (kept(sales), SALES_MEASURES), "coupon": (sold_coupon(sales, coupon, SKU_KEYS), ["coupon_cost"]),
+             "oi": (kept(alloc), ["alloc_amount"]), "s": (stock, STOCK_MEASURES)}
+    out = combine({t: df.select(*keys, *ms) for t, (df, ms) in facts.items()}, keys,
+                  {t: list(ms) for t, (_, ms) in facts.items()})
+    out = out.withColumn("post_coupon_margin", (F.col("gross_margin") - F.col("coupon_cost")).cast(WIDE_MONEY))
+    wide = [F.col(c).cast("decimal(38,4)").alias(c) for c in MARGIN_MEASURES]
+    return _with_turnover(out.select(*keys, *wide, *STOCK_MEASURES), days)
 
 
 def category_turnover(sales: DataFrame, coupon: DataFrame, oi: DataFrame, stock: DataFrame,
@@ -44,6 +56,10 @@ def category_turnover(sales: DataFrame, coupon: DataFrame, oi: DataFrame, stock:
 def _turnover(margin: DataFrame, stock: DataFrame, keys: list[str], days: int) -> DataFrame:
     out = combine({"m": margin.select(*keys, *MARGIN_MEASURES), "s": stock.select(*keys, *STOCK_MEASURES)},
                   keys, {"m": list(MARGIN_MEASURES), "s": list(STOCK_MEASURES)})
+    return _with_turnover(out, days)
+
+
+def _with_turnover(out: DataFrame, days: int) -> DataFrame:
     return (out.withColumn("daily_stock_value", ratio("stock_value", F.lit(days), zero_den="null"))
             .withColumn("turnover_days", ratio("stock_value", "own_cost", zero_den="null")))
 

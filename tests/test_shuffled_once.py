@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from profitlens.operators import dims, realloc
 from profitlens.operators.allocate import Level
 from profitlens.operators.dims import enrich
-from profitlens.plans import margin
+from profitlens.plans import margin, stock as stock_plans
 from profitlens.sources.testdata import line_base
 
 JOIN_KEYS = {"l_orderkey", "o_orderkey", "o_custkey", "c_custkey", "p_partkey", "s_suppkey"}
@@ -91,3 +91,51 @@ def test_touched_lines_are_staged_for_their_branches(spark, monkeypatch):
     assert made.count(set(lines.columns)) == 3  # the late lines, all lines, those of touched groups
     got = {(r.sup, r.cat, r.sku): float(r.alloc_amount) for r in realloc.read_waterfall(spark, stored)[0].collect()}
     assert got[("s1", "c1", "k1")] == 6.0 and got[("s1", "c1", "k2")] == 2.0 and sum(got.values()) == 12.0
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString().splitlines()
+
+
+def _facts(spark):
+    codes = "category_id string, store_id string, channel string, sku_id string, "
+    sold = [("c1", "s1", "x", "k1", "p1", 10), ("c1", "s1", "x", "k1", "p1", 6), ("c1", "s1", "y", "k1", "p2", 4),
+            ("c1", "s2", "x", "k2", "p1", 0), ("c1", "s1", None, "k1", "p1", 5), ("c2", "s1", "x", None, "p1", 3),
+            ("c2", "s2", "y", "k3", None, 8), ("c1", "s2", "x", "k2", "p1", None)]
+    money = lambda df, c: df.withColumn(c, F.col(c).cast("decimal(18,4)"))
+    sales = money(spark.createDataFrame(sold, codes + "supplier_id string, net_sales int"), "net_sales")
+    sales = sales.select("*", *[(F.col("net_sales") * n).cast("decimal(18,4)").alias(m)
+                                for n, m in enumerate(margin.SALES_MEASURES) if m != "net_sales"])
+    coupon = money(spark.createDataFrame([("c1", "s1", "x", "k1", 2), ("c1", "s1", "z", "k1", 9), ("c9", "s1", "x", "k1", 7),
+                                          ("c1", "s1", None, "k1", 1), ("c2", "s2", "y", "k3", None)],
+                                         codes + "coupon_cost int"), "coupon_cost")
+    oi = money(spark.createDataFrame([("p1", "c1", "s1", 12), ("p7", "c1", "s9", 5), ("p7", "c8", "s1", 3), (None, "c1", "s1", 1)],
+                                     "supplier_id string, category_id string, store_id string, oi_amount int"), "oi_amount")
+    category = spark.createDataFrame([("c1", "1", "one"), ("c2", "2", "two"), ("c8", "9", "x")],
+                                     "category_id string, module_id string, category_name string")
+    stock = spark.createDataFrame([("c1", "s1", "k1", 2, 3, 4), ("c1", "s1", "k9", 0, 1, 1), (None, "s1", "k1", 1, 1, 1)],
+                                  "category_id string, store_id string, sku_id string, own_cost int, stock_qty int, stock_value int")
+    for c in ("own_cost", "stock_qty", "stock_value"):
+        stock = money(stock, c)
+    return sales, coupon, oi.withColumn("deduction_type", F.lit(None).cast("string")), category, stock
+
+
+def test_allocated_amounts_are_summed_by_the_report_only(spark):
+    sales, coupon, oi, category, _ = _facts(spark)
+    got = margin.partial_sku_margin(sales, coupon, oi, category)
+    on = "Exchange hashpartitioning(category_id#"
+    assert sum(on in x and x.count("channel#") == 1 and "sku_id#" in x for x in _plan(got)) == 1
+    alloc, _ = margin.oi_store_category(sales, oi, category)
+    o = margin.rollup(margin.realloc_to_sku(sales, alloc), margin.SKU_KEYS, ["alloc_share", "alloc_amount"])
+    want = margin.sales_coupon_margin(sales, coupon, margin.SKU_KEYS, extra={"oi": (o, ["alloc_share", "alloc_amount"])})
+    assert got.dtypes == want.dtypes and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_turnover_sums_its_measures_once(spark):
+    sales, coupon, oi, category, stock = _facts(spark)
+    got = stock_plans.store_turnover(sales, coupon, oi, stock, category, ("1", "2"), 31)
+    assert not [x for x in _plan(got) if "Aggregate" in x and "channel#" in x and "discount_net" in x]
+    m = margin.sku_margin_with_oi(sales, coupon, oi, category, ("1", "2"))
+    want = stock_plans._turnover(m, stock, ["store_id", "category_id", "sku_id"], 31)
+    assert got.dtypes == want.dtypes and len(want.collect()) > 4
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
