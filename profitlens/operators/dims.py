@@ -36,20 +36,22 @@ def first_wins(sources: Sequence[DataFrame], key: str | Sequence[str], attrs: Se
     return best.select(*keys, *[F.col(f"_best._v_{a}").alias(a) for a in attrs])
 
 
-def enrich(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], attrs: Sequence[str] | None = None) -> DataFrame:
+def enrich(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], attrs: Sequence[str] | None = None,
+           durable: bool = True) -> DataFrame:
     """Left join a master onto a fact (JN-03). The master must be unique per key
     (build it with ``first_wins``) so the fact is never multiplied."""
-    return enrich_all(fact, [(dim, on, attrs)])
+    return enrich_all(fact, [(dim, on, attrs)], durable)
 
 
-def enrich_all(fact: DataFrame, masters: Sequence[tuple]) -> DataFrame:
+def enrich_all(fact: DataFrame, masters: Sequence[tuple], durable: bool = True) -> DataFrame:
     """Left join several masters (master, key, attributes or None for all). Hot keys
     are dealt out over several tasks (``skew_join``); one pass over the fact's key
     columns finds those of every master. The fact is staged, since that pass reads
-    it as well: a report of several shuffles is made once. AQE broadcasts a master
-    when its measured bytes allow it."""
+    it as well: a report of several shuffles is made once (``durable=False``: no job
+    runs while the report is built). AQE broadcasts a master when its measured bytes
+    allow it."""
     keys = [[on] if isinstance(on, str) else list(on) for _, on, *_ in masters]
-    out = fact = materialize(fact, durable=True)
+    out = fact = materialize(fact, durable=durable)
     for (dim, _, *rest), on, hot in zip(masters, keys, hot_keys(fact, *keys)):
         attrs = (rest[0] if rest else None) or dim.columns
         out = skew_join(out, dim.select(*on, *[a for a in attrs if a not in on]), on, "left", hot, fact.columns)

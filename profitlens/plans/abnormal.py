@@ -84,7 +84,7 @@ def channel_drill(sales: DataFrame, coupon: DataFrame) -> DataFrame:
 
 def abnormal_list(sales: DataFrame, coupon: DataFrame, store: DataFrame, k: float = 6.0) -> DataFrame:
     """PIPE-12 sheet 1: every two-metric outlier with its store's names."""
-    return enrich(two_metric_outliers(working_data(sales, coupon), k), store_names(store), "store_id")
+    return enrich(two_metric_outliers(working_data(sales, coupon), k), store_names(store), "store_id", durable=False)
 
 
 def abnormal_drill(sales: DataFrame, coupon: DataFrame, category: DataFrame, store: DataFrame,
