@@ -10,13 +10,16 @@ Plan shape, chosen for scale:
   partial aggregation, no hot-key skew. Lines without a grain value keep their
   share; only a missing key leaves a line out;
 * those are written once (``materialize``): every level and branch reads them,
-  not the lines. One more aggregate gives each group its base and its largest
-  line and meets the pools; that small table is written too and tells
-  allocated from residual pools. It is joined back instead of using
-  ``Window.partitionBy(keys)``, which would put a whole group (e.g. one category)
-  into one task; ``skew_join`` deals the lines of hot groups over several tasks;
-* the largest line of a group takes what the rounded others leave, so it comes
-  from the small table and needs no second join with the lines;
+  not the lines;
+* a group that is not hot (``hot_keys``: it has no more lines than a partition has
+  on average) is allocated in one task: its lines are shuffled once, to its pool,
+  and windows over the group give base, largest line and rounding remainder. Pools
+  and lines allocated so are written as one table;
+* the lines of hot groups (e.g. one category) aren't gathered: an aggregate gives
+  each its base and largest line, those meet the pools in the same table, and
+  ``skew_join`` joins it back, dealing the lines over several tasks;
+* the largest line of a group takes what the rounded others leave, so in a hot
+  group it comes from the small table and needs no second join with the lines;
 * pools that cannot be allocated (no lines, base below ``min_base``, or a
   missing key) are returned as a residual (left anti join) so no money
   disappears. The reference silently loses zero-base pools;
@@ -28,11 +31,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from profitlens.functions.expr import SHARE, UNALLOCATED, WIDE_MONEY
-from profitlens.operators.skew import hot_keys, skew_join
+from profitlens.operators.skew import hot_keys, key_hash, skew_join, tasks_of
 from profitlens.session import materialize
 
 MIN_BASE = 0.01
@@ -84,36 +87,63 @@ def allocate(lines: DataFrame, pool: DataFrame, keys: Sequence[str], weight: str
         lw = materialize(lines.where(_all_present(keys)).groupBy(*cols)
                          .agg(F.coalesce(F.sum(weight), F.lit(0)).alias(weight)), durable=True)
     extra = [c for c in cols if c not in keys]
+    hot = hot_keys(lw, keys)[0]
     # base and largest line of each group; ties go to the largest grain values
-    base = lw.groupBy(*keys).agg(
-        F.sum(weight).alias("_base"),
-        F.max(F.struct(F.abs(F.col(weight)).alias("_abs"), *extra, F.col(weight).alias("_w"))).alias("_top"))
-    met = materialize(pl.join(base, keys, "left"), durable=True)  # one row per pool
+    base = F.sum(weight)
+    top = F.max(F.struct(F.abs(F.col(weight)).alias("_abs"), *extra, F.col(weight).alias("_w")))
     usable = F.coalesce(F.col("_base") >= F.lit(min_base), F.lit(False))
     # strict reference: any pool with lines counts as matched, share 0 when base < min_base
     matched = F.col("_base").isNotNull() if strict_reference else usable
-    ok = met.where(matched)
+    largest = F.lit(True)
+    for c in extra:
+        largest = largest & F.col(c).eqNullSafe(F.col(f"_top.{c}"))
+
+    def share(weight_col: Column) -> Column:
+        return F.when(usable, F.coalesce(F.try_divide(weight_col.cast("double"), F.col("_base").cast("double")),
+                                         F.lit(0.0))).otherwise(F.lit(0.0))
+
+    def amount_of(weight_col: Column) -> Column:
+        return (share(weight_col) * F.col(amount).cast("double")).cast(WIDE_MONEY)
+
+    # Pools of hot groups with base and largest line; the other pools with their lines, which have one
+    # task's room: the lines are shuffled once, for base, shares and remainder. One table holds both kinds.
+    pools = pl.withColumn("_parts", tasks_of(pl, keys, hot, lw))
+    hot_base = lw.where(tasks_of(lw, keys, hot) > 1).groupBy(*keys).agg(base.alias("_base"), top.alias("_top"))
+    hot_met = pools.where("_parts > 1").join(hot_base, keys, "left")
+    own = Window.partitionBy(*keys)
+    met = (pools.where("_parts = 1").join(lw.where(tasks_of(lw, keys, hot) == 1), keys, "left")
+           .withColumns({"_base": base.over(own), "_top": top.over(own)})
+           .withColumn("_first", largest)
+           .withColumn("_alloc", amount_of(F.col(weight))))
+    if exact:
+        others = F.sum(F.when(~F.col("_first"), F.col("_alloc"))).over(own)
+        met = met.withColumn("_alloc", F.when(F.col("_first") & usable, F.col(amount) - F.coalesce(others, F.lit(0)))
+                             .otherwise(F.col("_alloc")).cast(WIDE_MONEY))
+    # of a pool that its group can't take one row is left
+    met = met.where(F.coalesce(matched, F.lit(False)) | F.coalesce("_first", F.lit(True)))
+    met = met.withColumn("_top", F.when(F.lit(False), F.col("_top")))  # needed no longer
+    met = materialize(met.unionByName(hot_met, allowMissingColumns=True), durable=True)
 
     def shared(rows: DataFrame, weight_col: Column, alloc: Column | None = None) -> DataFrame:
-        share = F.when(usable, F.coalesce(F.try_divide(weight_col.cast("double"), F.col("_base").cast("double")),
-                                          F.lit(0.0))).otherwise(F.lit(0.0))
-        own = share * F.col(amount).cast("double") if alloc is None else alloc
-        return rows.select(*cols, weight_col.alias(weight), share.cast(SHARE).alias("alloc_share"),
-                           F.col(amount).cast(WIDE_MONEY).alias("pool_amount"), own.cast(WIDE_MONEY).alias("alloc_amount"))
+        return rows.select(*cols, weight_col.alias(weight), share(weight_col).cast(SHARE).alias("alloc_share"),
+                           F.col(amount).cast(WIDE_MONEY).alias("pool_amount"),
+                           (amount_of(weight_col) if alloc is None else alloc.cast(WIDE_MONEY)).alias("alloc_amount"))
 
-    dealt = skew_join(lw, ok, keys, "inner", hot_keys(lw, keys)[0], extra)
     residual = met.where(~matched).select(*keys, amount)
+    cold = shared(met.where((F.col("_parts") == 1) & matched), F.col(weight), F.col("_alloc"))
+    # the lines of hot groups that have a pool, as the staged table knows them
+    ok = met.where((F.col("_parts") > 1) & matched).select(*keys, amount, "_base", "_top", "_parts")
+    hot = ok.agg(F.map_from_entries(F.collect_set(F.struct(key_hash(ok, keys, lw).alias("h"), "_parts")))).scalar()
+    ok = ok.drop("_parts")
+    dealt = skew_join(lw.where(tasks_of(lw, keys, hot) > 1), ok, keys, "inner", hot, extra)
     if not exact:
-        return shared(dealt, F.col(weight)), residual
-    top = usable
-    for c in extra:
-        top = top & F.col(c).eqNullSafe(F.col(f"_top.{c}"))
-    rest = shared(dealt.where(~top), F.col(weight))
+        return cold.unionByName(shared(dealt, F.col(weight))), residual
+    rest = shared(dealt.where(~(usable & largest)), F.col(weight))
     sums = rest.groupBy(*keys).agg(F.sum("alloc_amount").alias("_sum"))
     tops = ok.where(usable).join(sums, keys, "left").select(
         "*", *[F.col(f"_top.{c}").alias(c) for c in extra])
-    largest = shared(tops, F.col("_top._w"), F.col(amount) - F.coalesce("_sum", F.lit(0)))
-    return rest.unionByName(largest), residual
+    last = shared(tops, F.col("_top._w"), F.col(amount) - F.coalesce("_sum", F.lit(0)))
+    return cold.unionByName(rest).unionByName(last), residual
 
 
 @dataclass(frozen=True)

@@ -17,7 +17,7 @@ TOP = 64        # keys that one sketch reports,
 TRACKED = 1024  # and those it holds while counting: a key above 0.4 % of its sketch's rows is always found
 
 
-def _key_hash(df: DataFrame, keys: Sequence[str], like: DataFrame | None = None) -> Column:
+def key_hash(df: DataFrame, keys: Sequence[str], like: DataFrame | None = None) -> Column:
     """Hash of the keys; of the types they have in ``like``, since equal numbers of other types hash differently."""
     types = (like or df).schema
     return F.xxhash64(*[F.col(f"`{k}`").cast(types[k].dataType) for k in keys])
@@ -32,7 +32,7 @@ def hot_keys(rows: DataFrame, *keys: Sequence[str], parts: int | None = None) ->
     SKETCHES * TOP entries and nothing grows with the number of keys. It is a scalar subquery: no job runs while a
     report is built."""
     parts = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    each = F.array(*[F.struct(F.lit(i).alias("i"), _key_hash(rows, k).alias("h")) for i, k in enumerate(keys)])
+    each = F.array(*[F.struct(F.lit(i).alias("i"), key_hash(rows, k).alias("h")) for i, k in enumerate(keys)])
     read = rows.select(F.explode(each).alias("x")).select("x.i", "x.h")
     sketch = (read.groupBy("i", F.pmod("h", F.lit(SKETCHES)).alias("s"))
               .agg(F.expr(f"approx_top_k(h, {TOP}, {TRACKED})").alias("top"), F.count("*").alias("n")))
@@ -51,7 +51,7 @@ def hot_keys(rows: DataFrame, *keys: Sequence[str], parts: int | None = None) ->
 
 def tasks_of(df: DataFrame, keys: Sequence[str], hot: Column, like: DataFrame | None = None) -> Column:
     """Number of tasks that the rows of each row's key are dealt to: 1 unless it is hot."""
-    return F.coalesce(F.element_at(hot, _key_hash(df, keys, like)), F.lit(1))
+    return F.coalesce(F.element_at(hot, key_hash(df, keys, like)), F.lit(1))
 
 
 def skew_join(rows: DataFrame, groups: DataFrame, keys: Sequence[str], how: str = "inner", hot: Column | None = None,

@@ -12,6 +12,7 @@ from profitlens.functions.expr import WIDE_MONEY, matches_any, not_matching, rat
 from profitlens.operators.allocate import Level, pool_rollup, reallocate_single, waterfall
 from profitlens.operators.dims import enrich_all, first_wins
 from profitlens.operators.rollup import combine, rollup
+from profitlens.session import materialize
 from profitlens.sources.layout import combine_stored, store_by_keys
 
 # Fixed values (reference): OI deduction types that are not supplier income
@@ -92,11 +93,12 @@ def sales_coupon_margin(sales: DataFrame, coupon: DataFrame, keys: Sequence[str]
 
 def sold_coupon(sales: DataFrame, coupon: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Coupon cost of the keys that have sales, as PIPE-04 counts it: the key columns and ``coupon_cost``. A report at a
-    coarser grain sums this and the other facts once, without summing every measure at ``keys`` before."""
+    coarser grain sums this and the other facts once, without summing every measure at ``keys`` before. It is staged, so
+    its own shuffle is gone before the report's."""
     keys = list(keys)
     out = combine({"sales": sales.select(*keys, _sold().alias("_sold")), "coupon": coupon.select(*keys, "coupon_cost")},
                   keys, {"sales": ["_sold"], "coupon": ["coupon_cost"]}, keep="sales")
-    return out.drop("_sold")
+    return materialize(out.drop("_sold"), durable=True)
 
 
 def _margin_of(out: DataFrame, how: str) -> DataFrame:

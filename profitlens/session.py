@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,12 +55,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+# Spark deletes the shuffle files of a query when it ends, not when the driver happens to collect its garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Queries that are run inside leave no shuffle files on the executors' disks. For those that write a table:
+    nothing reads their shuffles afterwards."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write df as a Parquet table under the shared checkpoint folder and read it
-    back: durable, columnar, and the lineage ends here."""
+    back: durable, columnar, the lineage ends here, and so do the shuffles that made it."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/{label}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with shuffles_deleted(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

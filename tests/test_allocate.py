@@ -94,6 +94,37 @@ def test_preaggregation_equivalence(spark):
     assert got == {"k1": 30.0, "k2": 30.0, "k3": 8.0}
 
 
+def test_groups_of_a_task_are_allocated_as_hot_ones_are(spark, monkeypatch):
+    """Lines of groups that fit a task are shuffled once and staged as they are allocated; the result doesn't tell."""
+    import sys
+
+    kernel = sys.modules["profitlens.operators.allocate"]
+    rows = [(f"g{i % 30}", None if i % 50 == 7 else f"l{i}", _d(i % 11 - 2)) for i in range(300)]
+    rows += [("zero", "a", _d("0.004")), ("zero", "b", _d("0.005")), ("none", "a", None), (None, "a", _d(5)), ("even", "a", _d(2)), ("even", "b", _d(2))]
+    lines = spark.createDataFrame(rows, LINES)
+    pools = [(f"g{i}", _d(100 + i) / 7) for i in range(0, 34, 2)] + [("g0", _d(-3)), ("g2", None)]
+    pools += [("zero", _d(4)), ("none", _d(3)), ("even", _d("0.0001")), (None, _d(9)), (None, _d(1))]
+    pool = spark.createDataFrame([(g, a if a is None else a.quantize(_d("0.0001"))) for g, a in pools], POOL)
+    kept, keep, before = [], kernel.materialize, spark.conf.get("spark.sql.shuffle.partitions")
+
+    def run(parts, **how):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            kept.clear()
+            alloc, rest = allocate(lines, pool, ["g"], "w", "amt", ["line"], **how)
+            return sorted(map(str, alloc.collect())), sorted(map(str, rest.collect()))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+
+    monkeypatch.setattr(kernel, "materialize", lambda df, **kw: kept.append(keep(df, **kw)) or kept[-1])
+    for how in ({}, {"strict_reference": True}, {"exact": False}):
+        hot = run("400", **how)  # each group has more lines than a partition has on average
+        assert kept[-1].where("line is not null").count() == 0
+        cold = run("1", **how)  # none has
+        assert len(cold[0]) > 100 and cold == hot
+        assert kept[-1].where("line is not null").count() > 100  # allocated already, not to be shuffled again
+
+
 def test_hot_key_holding_a_third_of_the_lines(spark):
     # one group carries a third of all lines; results must be exact and whole
     n = 3000

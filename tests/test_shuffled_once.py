@@ -8,6 +8,7 @@ from profitlens.operators import dims, realloc
 from profitlens.operators.allocate import Level
 from profitlens.operators.dims import enrich
 from profitlens.plans import margin, stock as stock_plans
+from profitlens.session import SHUFFLE_CLEANUP, stage
 from profitlens.sources.testdata import line_base
 
 JOIN_KEYS = {"l_orderkey", "o_orderkey", "o_custkey", "c_custkey", "p_partkey", "s_suppkey"}
@@ -139,3 +140,21 @@ def test_turnover_sums_its_measures_once(spark):
     want = stock_plans._turnover(m, stock, ["store_id", "category_id", "sku_id"], 31)
     assert got.dtypes == want.dtypes and len(want.collect()) > 4
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def _shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {blocks.apply(i).getPath() for i in range(blocks.size()) if blocks.apply(i).getName().startswith("shuffle_")}
+
+
+def test_a_staged_table_leaves_no_shuffle_files(spark):
+    before, conf = _shuffle_files(spark), spark.conf.get(SHUFFLE_CLEANUP, None)
+    got = stage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.sum("id").alias("s")), "case")
+    assert not _shuffle_files(spark) - before and spark.conf.get(SHUFFLE_CLEANUP, None) == conf
+    assert got.count() == 7 and got.agg(F.sum("s")).first()[0] == 499500
+
+
+def test_kept_coupon_cost_is_staged_before_the_turnover(spark):
+    sales, coupon, oi, category, stock = _facts(spark)
+    got = stock_plans.store_turnover(sales, coupon, oi, stock, category, ("1", "2"), 31)
+    assert not [x for x in _plan(got) if "Exchange hashpartitioning" in x and "channel#" in x]
