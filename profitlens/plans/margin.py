@@ -12,7 +12,7 @@ from profitlens.functions.expr import WIDE_MONEY, matches_any, not_matching, rat
 from profitlens.operators.allocate import Level, pool_rollup, reallocate_single, waterfall
 from profitlens.operators.dims import enrich_all, first_wins
 from profitlens.operators.rollup import combine, rollup
-from profitlens.session import materialize
+from profitlens.session import materialize, release_materialized, staged_inside
 from profitlens.sources.layout import combine_stored, store_by_keys
 
 # Fixed values (reference): OI deduction types that are not supplier income
@@ -231,7 +231,10 @@ def chain_sku_margin(sales: DataFrame, coupon: DataFrame, oi: DataFrame,
 
 def _enriched_margin(margin: DataFrame, masters: Sequence[tuple[DataFrame, str]]) -> DataFrame:
     """A margin report with its masters' names. Derived measures are functions of the
-    others and are taken after the joins, so no join writes or shuffles them."""
+    others and are taken after the joins, so no join writes or shuffles them. The masters
+    are staged first: their own shuffles are gone by then, and Spark knows the bytes of a
+    small one before it would shuffle the report for it."""
+    masters = [(materialize(dim, durable=True), on) for dim, on in masters]
     out = with_margin_measures(enrich_all(margin.drop(*DERIVED), masters))
     keys = [on for _, on in reversed(masters)]
     names = [c for c in out.columns if c not in margin.columns]
@@ -240,10 +243,14 @@ def _enriched_margin(margin: DataFrame, masters: Sequence[tuple[DataFrame, str]]
 
 def enriched_sku_margin(sales: DataFrame, coupon: DataFrame, oi: DataFrame, category: DataFrame,
                         store: DataFrame, modules: Sequence[str]) -> DataFrame:
-    """PIPE-14: the store x SKU margin with category, SKU and store names."""
-    m = sku_margin_with_oi(sales, coupon, oi, category, modules)
-    return _enriched_margin(m, [(category_names(category), "category_id"), (store_names(store), "store_id"),
-                                (sku_master(sales, coupon), "sku_id")])
+    """PIPE-14: the store x SKU margin with category, SKU and store names. The tables of its waterfall go once the
+    report is staged."""
+    with staged_inside() as own:
+        m = sku_margin_with_oi(sales, coupon, oi, category, modules)
+    out = _enriched_margin(m, [(category_names(category), "category_id"), (store_names(store), "store_id"),
+                               (sku_master(sales, coupon), "sku_id")])
+    release_materialized(own)
+    return out
 
 
 def enriched_chain_margin(sales: DataFrame, coupon: DataFrame, oi: DataFrame, category: DataFrame) -> DataFrame:

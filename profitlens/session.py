@@ -108,15 +108,24 @@ def materialize(df: DataFrame, durable: bool = False) -> DataFrame:
 _STAGED: list[DataFrame] = []
 
 
-def release_materialized() -> int:
-    """Delete the folders of every intermediate that ``materialize`` staged so far;
-    call it once the reports that read them have been written. Returns how many."""
-    n = len(_STAGED)
-    while _STAGED:
-        df = _STAGED.pop()
+@contextlib.contextmanager
+def staged_inside() -> Iterator[list[DataFrame]]:
+    """A list that in the end holds what ``materialize`` staged inside, for ``release_materialized``."""
+    own, n = [], len(_STAGED)
+    yield own
+    own.extend(_STAGED[n:])
+
+
+def release_materialized(staged: list[DataFrame] | None = None) -> int:
+    """Delete the folders of every intermediate that ``materialize`` staged so far (of
+    those in ``staged`` only, if given); call it once the reports that read them have
+    been written. Returns how many."""
+    gone = [df for df in _STAGED if staged is None or any(df is s for s in staged)]
+    _STAGED[:] = [df for df in _STAGED if not any(df is g for g in gone)]
+    for df in gone:
         if df.sparkSession.sparkContext._jsc is not None:  # its session may have been stopped
             drop_staged(df)
-    return n
+    return len(gone)
 
 
 def drop_staged(df: DataFrame) -> None:

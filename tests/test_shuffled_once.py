@@ -8,7 +8,7 @@ from profitlens.operators import dims, realloc
 from profitlens.operators.allocate import Level
 from profitlens.operators.dims import enrich
 from profitlens.plans import margin, stock as stock_plans
-from profitlens.session import SHUFFLE_CLEANUP, stage
+from profitlens.session import _STAGED, SHUFFLE_CLEANUP, release_materialized, stage
 from profitlens.sources.testdata import line_base
 
 JOIN_KEYS = {"l_orderkey", "o_orderkey", "o_custkey", "c_custkey", "p_partkey", "s_suppkey"}
@@ -158,3 +158,22 @@ def test_kept_coupon_cost_is_staged_before_the_turnover(spark):
     sales, coupon, oi, category, stock = _facts(spark)
     got = stock_plans.store_turnover(sales, coupon, oi, stock, category, ("1", "2"), 31)
     assert not [x for x in _plan(got) if "Exchange hashpartitioning" in x and "channel#" in x]
+
+
+def test_an_enriched_report_reads_no_table_of_its_waterfall(spark):
+    sales, coupon, oi, category, _ = _facts(spark)
+    sales = sales.withColumn("sku_name", F.concat("sku_id", F.lit("n")))
+    coupon = coupon.withColumn("sku_name", F.lit("c"))
+    category = category.withColumn("module_name", F.lit("m"))
+    store = spark.createDataFrame([("s1", "f", "one")], "store_id string, store_format string, store_name string")
+    m = margin.sku_margin_with_oi(sales, coupon, oi, category, ("1", "2"))
+    want = m
+    for dim, on in ((margin.category_names(category), "category_id"), (margin.store_names(store), "store_id"),
+                    (margin.sku_master(sales, coupon), "sku_id")):
+        want = want.join(dim, on, "left")
+    rows = sorted(map(str, want.collect()))
+    release_materialized()
+    got = margin.enriched_sku_margin(sales, coupon, oi, category, store, ("1", "2"))
+    assert len(_STAGED) == 4  # three masters and the report
+    assert "Aggregate" not in "".join(x for x in _plan(got) if "_name#" in x)
+    assert got.dtypes == want.dtypes and len(rows) > 4 and sorted(map(str, got.collect())) == rows
